@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import oracle
+import duckdb_oracle
 from orderloom.operators import checks
 from orderloom.operators.dedup import dedup_earliest
 from orderloom.plans import marts, pipeline, quality, reports, staging, trends
@@ -116,7 +116,7 @@ def _stream(dedup: bool) -> Query:
         stream = arrivals.stream_csv(spark, feed, RAW_ORDERS)
         if dedup:
             stream = arrivals.drop_retries(stream)
-        arrivals.load_available(stream, target, marks).awaitTermination()
+        arrivals.finish(arrivals.load_available(stream, target, marks))
         landed = spark.read.parquet(target)
         # Which copy of a retried order is seen first is open, so its arrival time is too.
         return landed.select(*[c for c in RAW_ORDERS.names if not (dedup and c == "load_timestamp")])
@@ -179,4 +179,4 @@ def _as_portable(query: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql(CATEGORIES, REGIONS)
+    return duckdb_oracle.oracle_sql(CATEGORIES, REGIONS)

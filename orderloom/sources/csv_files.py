@@ -10,7 +10,7 @@ from orderloom.schemas import LOADED_AT
 
 # A bulk load reads an unquoted empty field as NULL and a quoted one as the empty
 # string. Spark does the same once the NULL token is one that never occurs.
-_NULL_TOKEN = "\\N"
+NULL_TOKEN = "\\N"
 
 
 def read_csv(
@@ -31,7 +31,7 @@ def read_csv(
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
-        .option("nullValue", _NULL_TOKEN)
+        .option("nullValue", NULL_TOKEN)
         .option("multiLine", multiline)
         .option("enforceSchema", not check_header)
         .option("columnPruning", False)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from orderloom.sources.csv_files import _NULL_TOKEN, stamped
+from orderloom.sources.csv_files import NULL_TOKEN, stamped
+
+_SALT = "_salt"
 
 
 def stream_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
@@ -16,23 +18,35 @@ def stream_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFr
         spark.readStream.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
-        .option("nullValue", _NULL_TOKEN)
+        .option("nullValue", NULL_TOKEN)
         .csv(folder)
     )
 
 
 def drop_retries(
-    stream: DataFrame, key: str = "order_id", arrival: str = "load_timestamp", within: str = "1 hour"
+    stream: DataFrame,
+    key: str = "order_id",
+    arrival: str = "load_timestamp",
+    within: str = "1 hour",
+    salts: int = 16,
 ) -> DataFrame:
     """Drop repeats of a key that arrive within the given time of the first one seen.
 
     Unlike the batch dedup this keeps the first row seen, not the earliest. The
     watermark is on the arrival time: on the order date it would drop late
     orders, which must be kept. Give a time longer than sources deliver out of
-    order, since rows further behind are dropped. State is bounded by that time.
+    order, since rows further behind are dropped; ``finish`` fails when any were.
+
+    Streams have no combine step before the shuffle, so repeats are dropped
+    twice: first per key and salt of the arrival time, which spreads a key that
+    holds much of a batch over ``salts`` tasks, then per key. State holds the
+    keys of the given time only.
     """
-    timed = stream.withColumn(arrival, F.col(arrival).cast("timestamp"))
-    kept = timed.withWatermark(arrival, within).dropDuplicatesWithinWatermark([key])
+    timed = stream.withColumn(arrival, F.col(arrival).cast("timestamp")).withWatermark(arrival, within)
+    if salts > 1:
+        salted = timed.withColumn(_SALT, F.pmod(F.xxhash64(arrival), F.lit(salts)))
+        timed = salted.dropDuplicatesWithinWatermark([key, _SALT]).drop(_SALT)
+    kept = timed.dropDuplicatesWithinWatermark([key])
     return kept.withColumn(arrival, F.col(arrival).cast("timestamp_ntz"))
 
 
@@ -51,3 +65,13 @@ def load_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
         .trigger(availableNow=True)
         .start()
     )
+
+
+def finish(query: StreamingQuery) -> None:
+    """Wait for a load to end; fail if the watermark dropped rows, so that none go unnoticed."""
+    query.awaitTermination()
+    dropped = sum(
+        state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"]
+    )
+    if dropped:
+        raise RuntimeError(f"{dropped} rows arrived behind the watermark and were dropped; allow more time")
