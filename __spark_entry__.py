@@ -80,10 +80,6 @@ def _orphans(key: str, parents: Query) -> Query:
     )
 
 
-def _test_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_tests(marts.build_models(testdata.raw_tables(spark, sf_dir)))
-
-
 def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = testdata.raw_tables(spark, sf_dir)
     delivered = {"customers": "customer", "products": "part", "orders_raw": "orders"}
@@ -150,7 +146,7 @@ def queries() -> dict[str, Query]:
         "test_not_null": _not_null,
         "test_relationships": _orphans("customer_id", _customers),
         "test_relationships_product": _orphans("product_id", _products),
-        "test_suite": _test_suite,
+        "test_suite": _published("test_results"),
         "load_reconciliation": _reconciliation,
         "orphan_audit": lambda spark, sf_dir: quality.orphan_audit(_validated(spark, sf_dir)),
         "duplicate_audit": lambda spark, sf_dir: checks.duplicates(

@@ -22,7 +22,15 @@ from orderloom.sources.csv_files import read_csv, stamped
 from orderloom.sources.tables import Load, load_table, publish, read_published, spread, write_table
 
 STAGES = ("load", "models", "tests", "trends")
-PUBLISHED = ("dim_customers", "dim_products", "fct_orders", "mart_monthly_kpis", "revenue_trends", "orphan_audit")
+PUBLISHED = (
+    "dim_customers",
+    "dim_products",
+    "fct_orders",
+    "mart_monthly_kpis",
+    "revenue_trends",
+    "orphan_audit",
+    "test_results",
+)
 
 
 class PipelineStopped(RuntimeError):
@@ -96,7 +104,9 @@ def run_pipeline(
     stored("marts", "orphan_audit", quality.orphan_audit(validated).coalesce(1))
 
     on_stage("tests")
-    run.tests = _test(validated, customers, products, fact)
+    tests = quality.run_tests(written_models(validated, customers, products, fact))
+    run.tests = stored("marts", "test_results", tests.coalesce(1)).collect()
+    _require_passed(run.tests)
 
     on_stage("trends")
     # The tests have shown order ids to be unique, so the summary need not shuffle them.
@@ -143,13 +153,15 @@ def _require_unique(keys: Mapping[str, tuple[DataFrame, str]]) -> None:
         raise PipelineStopped("models", problems)
 
 
-def _test(validated: DataFrame, customers: DataFrame, products: DataFrame, fact: DataFrame) -> list[Row]:
-    """The declared tests over the written tables; 17 counts come back.
+def written_models(
+    validated: DataFrame, customers: DataFrame, products: DataFrame, fact: DataFrame
+) -> dict[str, DataFrame]:
+    """The written tables under the names of the models they hold, for the tests.
 
     ``stg_orders`` is tested on the validated table, which holds each staged
     order once, so that staging is not computed again.
     """
-    tables = {
+    return {
         "stg_customers": customers,
         "stg_products": products,
         "stg_orders": validated,
@@ -158,10 +170,11 @@ def _test(validated: DataFrame, customers: DataFrame, products: DataFrame, fact:
         "dim_products": products,
         "fct_orders": fact,
     }
-    results = quality.run_tests(tables).collect()
+
+
+def _require_passed(results: list[Row]) -> None:
     problems = [
         f"{r['test']} {r['table_name']}.{r['column_name']}: {r['failures']} failures" for r in results if r["failures"]
     ]
     if problems:
         raise PipelineStopped("tests", problems)
-    return results

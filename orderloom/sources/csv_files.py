@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from orderloom.schemas import LOADED_AT
 
-# A bulk load reads an unquoted empty field as NULL and a quoted one as the empty
-# string. Spark does the same once the NULL token is one that never occurs.
-NULL_TOKEN = "\\N"
+# How a bulk load reads CSV: an unquoted empty field is NULL, a quoted one is the
+# empty string, and a quote inside quotes is written twice. Spark tells the two
+# empty fields apart once its NULL token is one that text cannot contain.
+CSV_OPTIONS = {"header": True, "mode": "FAILFAST", "nullValue": "\u0000", "escape": '"'}
 
 
 def read_csv(
@@ -22,21 +23,14 @@ def read_csv(
 ) -> DataFrame:
     """A CSV feed with a header line, in the declared types.
 
-    A row that does not fit the schema fails the job, and so does a missing
-    path. ``multiline`` accepts quoted line breaks, but a file can then not be
+    A row that does not fit the schema fails the job that reads the offending
+    column, so a load, which reads all of them, is all or nothing. A missing
+    path fails at once. ``multiline`` accepts quoted line breaks, but a file can then not be
     split among tasks; leave it off for feeds without them. ``check_header``
     also fails on renamed or moved columns, which are else taken by position.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("nullValue", NULL_TOKEN)
-        .option("multiLine", multiline)
-        .option("enforceSchema", not check_header)
-        .option("columnPruning", False)
-        .csv(path)
-    )
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
+    return reader.options(multiLine=multiline, enforceSchema=not check_header).csv(path)
 
 
 def read_header(spark: SparkSession, path: str) -> T.StructType:

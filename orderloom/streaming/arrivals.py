@@ -7,20 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from orderloom.sources.csv_files import NULL_TOKEN, stamped
+from orderloom.sources.csv_files import CSV_OPTIONS, stamped
 
 _SALT = "_salt"
 
 
 def stream_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """A folder of CSV files as a stream, read as the batch loader reads them."""
-    return (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("nullValue", NULL_TOKEN)
-        .csv(folder)
-    )
+    return spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(folder)
 
 
 def drop_retries(
