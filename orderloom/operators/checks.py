@@ -17,6 +17,11 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     return counted.filter("n > 1")
 
 
+def is_unique(df: DataFrame, column: str) -> bool:
+    """Whether no non-null value occurs twice. Runs a job; meant for dimension tables."""
+    return unique(df, column).isEmpty()
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column, ``column_name, failures``, from one pass over the table."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,15 +13,17 @@ def dedup_earliest(
 ) -> DataFrame:
     """The earliest row per key by ``arrival``; a missing arrival time loses.
 
-    Equal arrival times are decided by the ``ties`` columns (default: all other
-    columns), so the result does not depend on the order rows are read in.
+    Equal arrival times are decided by the ``ties`` columns and then by all
+    others, so the result does not depend on the order rows are read in.
 
-    The rank filter becomes a group limit that runs before the shuffle as well
-    as after it: each map task sends at most one row per key, so a key that holds
-    a third of all rows costs one row per map task and no single task sees it whole.
+    Ranking rows and keeping the first is the same as taking the smallest row,
+    written as one aggregate so that it combines before the shuffle: each map
+    task sends at most one row per key, and a key that holds a third of all rows
+    costs one row per map task. Grouping by the key's hash first lets the sorts
+    compare whole numbers; ids such as ``ORD-000001`` share long prefixes.
     """
-    if ties is None:
-        ties = [c for c in df.columns if c not in keys and c != arrival]
-    order = [F.col(c).asc_nulls_last() for c in (arrival, *ties)]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    first = [arrival, *(ties or [])]
+    order = first + [c for c in df.columns if c not in keys and c not in first]
+    smallest = F.min(F.struct(F.col(arrival).isNull().alias("_missing"), *order))
+    kept = df.withColumn("_hash", F.xxhash64(*keys)).groupBy("_hash", *keys).agg(smallest.alias("_row"))
+    return kept.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])

@@ -134,11 +134,19 @@ def test_dedup_matches_brute_force(spark, rows):
     assert {tuple(r) for r in dedup_earliest(df, ["k"], "at").collect()} == {row for _, row in expected.values()}
 
 
-def test_dedup_limits_groups_before_the_shuffle(spark):
-    """A hot key must shrink on the map side: one partial group limit below the exchange."""
-    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("at"))
-    plan = dedup_earliest(df, ["k"], "at")._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Final") < plan.index("Exchange hashpartitioning(k") < plan.index("Partial")
+def test_dedup_combines_before_the_shuffle(spark):
+    """A hot key must shrink on the map side: a partial aggregate below the only exchange."""
+    df = spark.range(0, 900_000, 1, 8).select((F.col("id") % 3).alias("k"), F.col("id").alias("at"))
+    deduped = dedup_earliest(df, ["k"], "at")
+    plan = deduped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("partial_min")
+    assert sorted(tuple(r) for r in deduped.collect()) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_given_ties_come_first(spark):
+    df = spark.createDataFrame([("a", 1, 1, 9), ("a", 1, 2, 0)], "k string, at int, x int, y int")
+    assert dedup_earliest(df, ["k"], "at").first().x == 1
+    assert dedup_earliest(df, ["k"], "at", ties=["y"]).first().x == 2
 
 
 def test_staging_is_whole(spark):
