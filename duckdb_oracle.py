@@ -74,7 +74,8 @@ orders_raw AS (
 _STG_ORDERS = """,
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY load_timestamp NULLS LAST,
-           customer_id, product_id, quantity, order_date, source_system) AS rn
+           customer_id NULLS FIRST, product_id NULLS FIRST, quantity NULLS FIRST, order_date NULLS FIRST,
+           source_system NULLS FIRST) AS rn
   FROM orders_raw),
 parsed AS (
   SELECT * REPLACE (
@@ -286,7 +287,7 @@ lines AS (
         "stg_orders": f"{_STAGED} SELECT * FROM stg_orders",
         "dedup_events": """
 SELECT user_id, event_type, event_id, ts FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts NULLS LAST, event_id) AS rn FROM events)
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts NULLS LAST, event_id NULLS FIRST) AS rn FROM events)
 WHERE rn = 1""",
         "int_orders_validated": f"{_JOINED} {validated}",
         "fct_orders": f"{_FACTS} {fact}",

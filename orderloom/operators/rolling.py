@@ -6,14 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 
-def _averages(measure: str, spec, sum_name: str, avg_name: str) -> list[Column]:
+def _added(measure: str, specs: Mapping[str, WindowSpec], names: tuple[str, str]) -> list[Column]:
+    """All sums, then all averages."""
     value = F.col(measure)
-    return [
-        F.sum(value).over(spec).alias(sum_name),
-        F.round(F.avg(value).over(spec), 2).alias(avg_name),
-    ]
+    sums = [F.sum(value).over(spec).alias(names[0].format(suffix)) for suffix, spec in specs.items()]
+    return sums + [F.round(F.avg(value).over(spec), 2).alias(names[1].format(suffix)) for suffix, spec in specs.items()]
 
 
 def rolling_rows(
@@ -31,11 +31,8 @@ def rolling_rows(
     ordering, so Spark evaluates them in one window pass.
     """
     base = Window.partitionBy(*partition).orderBy(order)
-    added: list[Column] = []
-    for suffix, rows in frames.items():
-        spec = base.rowsBetween(1 - rows, Window.currentRow)
-        added += _averages(measure, spec, names[0].format(suffix), names[1].format(suffix))
-    return df.select("*", *added)
+    specs = {suffix: base.rowsBetween(1 - rows, Window.currentRow) for suffix, rows in frames.items()}
+    return df.select("*", *_added(measure, specs, names))
 
 
 def rolling_days(
@@ -53,8 +50,5 @@ def rolling_days(
     day = "_day_number"
     numbered = df.withColumn(day, F.unix_date(F.col(order)))
     base = Window.partitionBy(*partition).orderBy(day)
-    added: list[Column] = []
-    for suffix, days in frames.items():
-        spec = base.rangeBetween(1 - days, Window.currentRow)
-        added += _averages(measure, spec, names[0].format(suffix), names[1].format(suffix))
-    return numbered.select("*", *added).drop(day)
+    specs = {suffix: base.rangeBetween(1 - days, Window.currentRow) for suffix, days in frames.items()}
+    return numbered.select("*", *_added(measure, specs, names)).drop(day)

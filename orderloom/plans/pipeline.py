@@ -19,7 +19,7 @@ from orderloom.plans import marts, quality, staging
 from orderloom.plans.trends import revenue_trends
 from orderloom.schemas import RAW
 from orderloom.sources.csv_files import read_csv, stamped
-from orderloom.sources.tables import Load, load_table, publish, read_published, spread, write_table
+from orderloom.sources.tables import Load, load_table, publish, read_published, spread, written
 
 STAGES = ("load", "models", "tests", "trends")
 PUBLISHED = (
@@ -56,9 +56,11 @@ class Run:
         return spark.read.parquet(self.tables[table])
 
 
-def csv_feeds(spark: SparkSession, paths: Mapping[str, str], multiline: bool = False) -> dict[str, DataFrame]:
-    """The three raw feeds from CSV files, by table name."""
-    return {name: read_csv(spark, paths[name], schema, multiline) for name, schema in RAW.items()}
+def csv_feeds(
+    spark: SparkSession, paths: Mapping[str, str], multiline: bool = False, check_header: bool = True
+) -> dict[str, DataFrame]:
+    """The three raw feeds from CSV files, by table name; renamed or moved columns fail."""
+    return {name: read_csv(spark, paths[name], schema, multiline, check_header) for name, schema in RAW.items()}
 
 
 def run_pipeline(
@@ -77,10 +79,8 @@ def run_pipeline(
     run = Run(run_id, root)
 
     def stored(layer: str, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        path = f"{root}/{run_id}/{layer}/{table}"
-        write_table(df, path, partition_by)
-        run.tables[table] = path
-        return spark.read.parquet(path)
+        run.tables[table] = f"{root}/{run_id}/{layer}/{table}"
+        return written(df, run.tables[table], partition_by)
 
     on_stage("load")
     raw = _load(spark, feeds, run)
@@ -101,7 +101,7 @@ def run_pipeline(
     fact = stored(
         "marts", "fct_orders", fact.withColumn("order_month", month_of(fact.order_date)), ("order_month",)
     )
-    stored("marts", "orphan_audit", quality.orphan_audit(validated).coalesce(1))
+    stored("marts", "orphan_audit", quality.orphan_audit(validated))
 
     on_stage("tests")
     tests = quality.run_tests(written_models(validated, customers, products, fact))
@@ -130,9 +130,10 @@ def _load(spark: SparkSession, feeds: Mapping[str, DataFrame], run: Run) -> dict
         if drift:
             raise PipelineStopped("load", [f"{table}: {line}" for line in drift])
         path = f"{run.root}/{run.run_id}/raw/{table}"
-        run.loads.append(load_table(stamped(feeds[table]), table, path))
+        feed = stamped(feeds[table])
+        run.loads.append(load_table(feed, table, path))
         run.tables[table] = path
-        raw[table] = spark.read.parquet(path)
+        raw[table] = spark.read.schema(feed.schema).parquet(path)
     wrong = [
         f"{load.table}: expected {load.expected} rows, table has {load.actual}"
         for load in run.loads

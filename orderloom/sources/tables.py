@@ -29,6 +29,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def written(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` and read it back: what follows starts from the files, not from ``df``."""
+    write_table(df, path, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_table(df: DataFrame, table: str, path: str) -> Load:
     """Write ``df`` and count it on the way, so the input is read once.
 
@@ -37,7 +43,7 @@ def load_table(df: DataFrame, table: str, path: str) -> Load:
     """
     counter = Observation(f"rows of {table}")
     write_table(df.observe(counter, F.count(F.lit(1)).alias("rows")), path)
-    actual = df.sparkSession.read.parquet(path).count()
+    actual = df.sparkSession.read.schema(df.schema).parquet(path).count()
     return Load(table, path, counter.get["rows"], actual)
 
 

@@ -45,8 +45,8 @@ def test_rows_and_calendar_differ_over_gaps(spark):
 
 def test_columns(spark):
     expected = [
-        "order_date", "daily_revenue", "daily_order_count", "revenue_rolling_7d", "avg_daily_revenue_7d",
-        "revenue_rolling_30d", "avg_daily_revenue_30d",
+        "order_date", "daily_revenue", "daily_order_count", "revenue_rolling_7d", "revenue_rolling_30d",
+        "avg_daily_revenue_7d", "avg_daily_revenue_30d",
     ]
     orders = fact(spark, [(0, "1", "r", "c")])
     assert trends.revenue_trends(orders).columns == expected
