@@ -39,7 +39,7 @@ def load_table(df: DataFrame, table: str, path: str) -> Load:
     """Write ``df`` and count it on the way, so the input is read once.
 
     The count is taken in the writing stage itself, whose tasks count once even
-    when they are repeated after a lost executor. ``df`` must not shuffle.
+    when they are repeated after a lost executor.
     """
     counter = Observation(f"rows of {table}")
     write_table(df.observe(counter, F.count(F.lit(1)).alias("rows")), path)
