@@ -69,6 +69,10 @@ def _on_fact(query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: query(marts.fct_orders(_validated(spark, sf_dir)))
 
 
+def _on_segments(query: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_fact(lambda fact: query(reports.segments_of_orders(fact)))
+
+
 def _monthly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers, products = _customers(spark, sf_dir), _products(spark, sf_dir)
     fact = marts.fct_orders(marts.int_orders_validated(_staged(spark, sf_dir), customers, products))
@@ -179,14 +183,14 @@ def queries() -> dict[str, Query]:
         "duplicate_total": lambda spark, sf_dir: checks.duplicates(testdata.raw_orders(spark, sf_dir), "order_id"),
         "late_arrival_report": lambda spark, sf_dir: quality.late_arrivals(_staged(spark, sf_dir)),
         "bad_date_report": lambda spark, sf_dir: staging.bad_dates(testdata.raw_orders_bad(spark, sf_dir)),
-        "kpi_scorecard": _on_fact(reports.kpi_scorecard),
-        "margin_vs_revenue": _on_fact(reports.margin_vs_revenue),
-        "region_category_heatmap": _on_fact(lambda f: reports.region_category_heatmap(f, CATEGORIES)),
-        "conditional_totals": _on_fact(lambda f: reports.conditional_totals(f, REGIONS)),
-        "kpi_breakdowns": _on_fact(reports.kpi_breakdowns),
-        "top_bottom_performers": _on_fact(reports.top_bottom_performers),
-        "top_categories_by_region": _on_fact(reports.top_categories_by_region),
-        "consistent_top_categories": _on_fact(lambda f: reports.consistent_top_categories(f, n=4)),
+        "kpi_scorecard": _on_segments(reports.kpi_scorecard),
+        "margin_vs_revenue": _on_segments(reports.margin_vs_revenue),
+        "region_category_heatmap": _on_segments(lambda s: reports.region_category_heatmap(s, CATEGORIES)),
+        "conditional_totals": _on_segments(lambda s: reports.conditional_totals(s, REGIONS)),
+        "kpi_breakdowns": _on_segments(reports.kpi_breakdowns),
+        "top_bottom_performers": _on_segments(reports.top_bottom_performers),
+        "top_categories_by_region": _on_segments(reports.top_categories_by_region),
+        "consistent_top_categories": _on_segments(lambda s: reports.consistent_top_categories(s, n=4)),
         "published_monthly_kpis": _published("mart_monthly_kpis"),
         "stream_raw_load": _stream(dedup=False),
         "stream_retry_dedup": _stream(dedup=True),

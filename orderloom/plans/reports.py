@@ -1,47 +1,67 @@
-"""BI summaries. Each first reduces the fact to its segments, then works on those."""
+"""BI summaries over segments.
+
+A segments table has ``region``, ``category``, ``total_revenue``, ``gross_margin``
+and ``order_count``, any number of rows per segment. ``segments_of_months`` takes
+it from the stored monthly mart, so a dashboard reads kilobytes and never the
+orders; ``segments_of_orders`` computes it from a fact.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.money import percent, ratio
 
 
-def segment_totals(orders: DataFrame, by: Sequence[str] = ("region", "category")) -> DataFrame:
-    """Revenue, margin and orders per segment; sums of these are exact at any coarser level."""
-    return orders.groupBy(*by).agg(
+def segments_of_orders(orders: DataFrame) -> DataFrame:
+    return orders.groupBy("region", "category").agg(
         F.sum("revenue").alias("total_revenue"),
         F.sum("gross_margin").alias("gross_margin"),
         F.count("order_id").alias("order_count"),
     )
 
 
-def kpi_scorecard(orders: DataFrame) -> DataFrame:
+def segments_of_months(monthly: DataFrame) -> DataFrame:
+    """An order has one month, region and category, so monthly figures add up exactly."""
+    return monthly.select(
+        "region", "category", "total_revenue", F.col("total_gross_margin").alias("gross_margin"), "order_count"
+    )
+
+
+def _sums() -> list[Column]:
+    return [
+        F.sum("total_revenue").alias("total_revenue"),
+        F.sum("gross_margin").alias("gross_margin"),
+        F.coalesce(F.sum("order_count"), F.lit(0).cast("long")).alias("order_count"),
+    ]
+
+
+def _margin_pct() -> Column:
+    return percent(F.col("gross_margin"), F.col("total_revenue"))
+
+
+def kpi_scorecard(segments: DataFrame) -> DataFrame:
     """Revenue, orders, margin and average order value over everything, in one row."""
-    margin_pct = percent(F.col("gross_margin"), F.col("total_revenue"))
-    order_value = ratio(F.col("total_revenue"), F.col("order_count"))
-    return segment_totals(orders, by=()).select(
+    return segments.agg(*_sums()).select(
         "total_revenue",
         "order_count",
         "gross_margin",
-        margin_pct.alias("margin_pct"),
-        order_value.alias("avg_order_value"),
+        _margin_pct().alias("margin_pct"),
+        ratio(F.col("total_revenue"), F.col("order_count")).alias("avg_order_value"),
     )
 
 
-def margin_vs_revenue(orders: DataFrame) -> DataFrame:
+def margin_vs_revenue(segments: DataFrame) -> DataFrame:
     """Margin against revenue per category, with two average lines.
 
     ``overall_margin_pct`` is total margin over total revenue;
     ``mean_category_margin_pct`` weighs every category alike. ``distance`` is
     measured from the former.
     """
-    categories = segment_totals(orders, by=("category",)).withColumn(
-        "margin_pct", percent(F.col("gross_margin"), F.col("total_revenue"))
-    )
+    categories = segments.groupBy("category").agg(*_sums()).withColumn("margin_pct", _margin_pct())
     # One row of totals, read as a scalar rather than joined.
     lines = categories.agg(
         F.struct(
@@ -49,9 +69,8 @@ def margin_vs_revenue(orders: DataFrame) -> DataFrame:
             ratio(F.sum("margin_pct"), F.count("margin_pct")).alias("mean"),
         )
     ).scalar()
-    return categories.select(
-        "category", "total_revenue", "gross_margin", "margin_pct", lines.alias("lines")
-    ).select(
+    measured = categories.withColumn("lines", lines)
+    return measured.select(
         "category",
         "total_revenue",
         "gross_margin",
@@ -62,61 +81,50 @@ def margin_vs_revenue(orders: DataFrame) -> DataFrame:
     )
 
 
-def region_category_heatmap(orders: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+def region_category_heatmap(segments: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """Revenue by region (rows) and category (columns).
 
     Naming the categories fixes the columns and saves the job that finds them;
     without them every category in the data gets a column.
     """
-    totals = orders.groupBy("region", "category").agg(F.sum("revenue").alias("revenue"))
-    pivoted = totals.groupBy("region").pivot("category", list(categories) if categories else None)
-    return pivoted.agg(F.sum("revenue"))
-
+    cells = segments.groupBy("region").pivot("category", list(categories) if categories else None)
+    return cells.agg(F.sum("total_revenue"))
 
-def kpi_breakdowns(orders: DataFrame) -> DataFrame:
-    """Totals by region, by category and overall. ``grouping_level``: region, category or total.
 
-    Grouping sets run over the segments, not the orders, which they would triple.
-    """
+def kpi_breakdowns(segments: DataFrame) -> DataFrame:
+    """Totals by region, by category and overall. ``grouping_level``: region, category or total."""
     level = (
         F.when((F.grouping("region") == 0), "region").when(F.grouping("category") == 0, "category").otherwise("total")
     )
-    segments = segment_totals(orders)
     return (
         segments.groupingSets([["region"], ["category"], []], "region", "category")
-        .agg(
-            level.alias("grouping_level"),
-            F.sum("total_revenue").alias("total_revenue"),
-            F.sum("order_count").alias("order_count"),
-        )
+        .agg(level.alias("grouping_level"), *_sums())
         .select("region", "category", "grouping_level", "total_revenue", "order_count")
     )
 
 
-def conditional_totals(orders: DataFrame, regions: Sequence[str]) -> DataFrame:
+def conditional_totals(segments: DataFrame, regions: Sequence[str]) -> DataFrame:
     """Revenue per category with one conditional sum per listed region, and the total."""
     sums = [F.sum(F.when(F.col("region") == r, F.col("total_revenue"))).alias(r) for r in regions]
-    return segment_totals(orders).groupBy("category").agg(*sums, F.sum("total_revenue").alias("total_revenue"))
+    return segments.groupBy("category").agg(*sums, F.sum("total_revenue").alias("total_revenue"))
 
 
-def top_bottom_performers(orders: DataFrame) -> DataFrame:
+def top_bottom_performers(segments: DataFrame) -> DataFrame:
     """Best and worst region and category by revenue, margin, margin percent and orders.
 
     Ties go to the name that sorts first. Segments without a name or a measure
     cannot be best or worst.
     """
     measures = ["total_revenue", "gross_margin", "margin_pct", "order_count"]
-    level = F.when(F.grouping("region") == 0, "region").otherwise("category")
-    name = F.when(F.grouping("region") == 0, F.col("region")).otherwise(F.col("category"))
+    is_region = F.grouping("region") == 0
     totals = (
-        segment_totals(orders)
-        .groupingSets([["region"], ["category"]], "region", "category")
+        segments.groupingSets([["region"], ["category"]], "region", "category")
         .agg(
-            level.alias("dimension"),
-            name.alias("name"),
-            *[F.sum(c).alias(c) for c in ("total_revenue", "gross_margin", "order_count")],
+            F.when(is_region, "region").otherwise("category").alias("dimension"),
+            F.when(is_region, F.col("region")).otherwise(F.col("category")).alias("name"),
+            *_sums(),
         )
-        .withColumn("margin_pct", percent(F.col("gross_margin"), F.col("total_revenue")))
+        .withColumn("margin_pct", _margin_pct())
     )
     long = totals.select("dimension", "name", *[F.col(m).cast("decimal(38,2)").alias(m) for m in measures]).unpivot(
         ["dimension", "name"], measures, "measure", "value"
@@ -132,15 +140,16 @@ def top_bottom_performers(orders: DataFrame) -> DataFrame:
     )
 
 
-def top_categories_by_region(orders: DataFrame, n: int = 2) -> DataFrame:
+def top_categories_by_region(segments: DataFrame, n: int = 2) -> DataFrame:
     """The ``n`` categories with the most revenue in each region, ties by name."""
     order = Window.partitionBy("region").orderBy(F.desc("total_revenue"), "category")
-    ranked = segment_totals(orders).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= n).select("region", "category", "total_revenue", "rank")
+    totals = segments.groupBy("region", "category").agg(F.sum("total_revenue").alias("total_revenue"))
+    return totals.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
-def consistent_top_categories(orders: DataFrame, n: int = 2) -> DataFrame:
+def consistent_top_categories(segments: DataFrame, n: int = 2) -> DataFrame:
     """Categories among the top ``n`` of every region."""
-    top = top_categories_by_region(orders, n)
+    top = top_categories_by_region(segments, n)
     regions = top.agg(F.count_distinct("region")).scalar()
-    return top.groupBy("category").agg(F.count("*").alias("regions")).filter(F.col("regions") == regions).select("category")
+    counted = top.groupBy("category").agg(F.count("*").alias("regions"))
+    return counted.filter(F.col("regions") == regions).select("category")
