@@ -7,6 +7,7 @@ lost executor costs its own tasks and not the whole chain of joins.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -18,6 +19,7 @@ from orderloom.operators.lookup import BROADCAST_LIMIT
 from orderloom.plans import marts, quality, staging
 from orderloom.plans.trends import revenue_trends
 from orderloom.schemas import RAW
+from orderloom.sources import jdbc
 from orderloom.sources.csv_files import read_csv, stamped
 from orderloom.sources.tables import Load, load_table, publish, read_published, spread, written
 
@@ -47,7 +49,7 @@ class Run:
     """What a finished run did."""
 
     run_id: str
-    root: str
+    folder: str
     loads: list[Load] = field(default_factory=list)
     tests: list[Row] = field(default_factory=list)
     tables: dict[str, str] = field(default_factory=dict)
@@ -73,13 +75,14 @@ def run_pipeline(
 ) -> Run:
     """Run all stages over ``feeds`` and publish under ``root``, a folder all executors share.
 
-    Running again with the same ``run_id`` replaces that run's tables; a new id
-    leaves earlier runs readable until their folders are removed.
+    Every attempt writes to a folder of its own, also when a ``run_id`` is used
+    again, so what readers see is never overwritten. Folders of replaced and
+    failed attempts stay until they are removed.
     """
-    run = Run(run_id, root)
+    run = Run(run_id, f"{root}/{run_id}/{uuid.uuid4().hex}")
 
     def stored(layer: str, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        run.tables[table] = f"{root}/{run_id}/{layer}/{table}"
+        run.tables[table] = f"{run.folder}/{layer}/{table}"
         return written(df, run.tables[table], partition_by)
 
     on_stage("load")
@@ -122,6 +125,22 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read_published(spark, root, table)
 
 
+def trends_in_database(
+    spark: SparkSession,
+    connection: jdbc.Connection,
+    source: str,
+    target: str,
+    split: jdbc.Split | list[str] | None = None,
+) -> None:
+    """Rolling trends from an order fact kept in a database to a table beside it.
+
+    One action: the fact is read once, by as many tasks as ``split`` says, and
+    only the columns the trends use are fetched.
+    """
+    fact = jdbc.read_table(spark, connection, source, split)
+    jdbc.write_table(revenue_trends(fact), connection, target, connections=1)
+
+
 def _load(spark: SparkSession, feeds: Mapping[str, DataFrame], run: Run) -> dict[str, DataFrame]:
     """Land every feed in the raw layer and compare row counts."""
     raw = {}
@@ -129,7 +148,7 @@ def _load(spark: SparkSession, feeds: Mapping[str, DataFrame], run: Run) -> dict
         drift = checks.schema_drift(feeds[table].schema, declared)
         if drift:
             raise PipelineStopped("load", [f"{table}: {line}" for line in drift])
-        path = f"{run.root}/{run.run_id}/raw/{table}"
+        path = f"{run.folder}/raw/{table}"
         feed = stamped(feeds[table])
         run.loads.append(load_table(feed, table, path))
         run.tables[table] = path

@@ -32,13 +32,14 @@ def drop_retries(
     order, since rows further behind are dropped; ``finish`` fails when any were.
 
     Streams have no combine step before the shuffle, so repeats are dropped
-    twice: first per key and salt of the arrival time, which spreads a key that
-    holds much of a batch over ``salts`` tasks, then per key. State holds the
-    keys of the given time only.
+    twice: first per key and random salt, which spreads a key that holds much of
+    a batch over ``salts`` tasks, then per key. The second step alone decides what
+    is kept, so the salts do not matter to the result. State holds the keys of the
+    given time only.
     """
     timed = stream.withColumn(arrival, F.col(arrival).cast("timestamp")).withWatermark(arrival, within)
     if salts > 1:
-        salted = timed.withColumn(_SALT, F.pmod(F.xxhash64(arrival), F.lit(salts)))
+        salted = timed.withColumn(_SALT, F.floor(F.rand(seed=0) * salts))
         timed = salted.dropDuplicatesWithinWatermark([key, _SALT]).drop(_SALT)
     kept = timed.dropDuplicatesWithinWatermark([key])
     return kept.withColumn(arrival, F.col(arrival).cast("timestamp_ntz"))

@@ -52,11 +52,14 @@ def test_published_tables_equal_the_models(spark, feeds, tmp_path):
 
 
 def test_running_twice_changes_nothing(spark, feeds, tmp_path):
+    """The second attempt gives the same rows, and leaves alone what readers of the first still hold."""
     root = str(tmp_path)
-    pipeline.run_pipeline(spark, feeds, root, "r1")
-    once = pipeline.read_current(spark, root, "fct_orders").count()
-    pipeline.run_pipeline(spark, feeds, root, "r1")
-    assert pipeline.read_current(spark, root, "fct_orders").count() == once
+    first = pipeline.run_pipeline(spark, feeds, root, "r1")
+    once = pipeline.read_current(spark, root, "fct_orders")
+    rows = once.count()
+    second = pipeline.run_pipeline(spark, feeds, root, "r1")
+    assert not set(first.tables.values()) & set(second.tables.values())
+    assert same(once, pipeline.read_current(spark, root, "fct_orders")) and once.count() == rows
 
 
 def test_pruning_by_month_reaches_the_files(spark, feeds, tmp_path):
@@ -109,3 +112,15 @@ def test_short_load_stops_the_run(spark, tmp_path, monkeypatch):
 
 def test_feeds_cover_the_declared_tables(spark, feeds):
     assert {name: df.schema for name, df in feeds.items()} == RAW
+
+
+def test_trends_in_database(spark, monkeypatch):
+    """The database itself is stood in for: what is read from it and written to it is checked."""
+    fact = marts.build_models(testdata.raw_tables(spark, TINY))["fct_orders"]
+    calls = []
+    monkeypatch.setattr(pipeline.jdbc, "read_table", lambda *how: calls.append(how[2:]) or fact)
+    monkeypatch.setattr(pipeline.jdbc, "write_table", lambda df, c, table, connections: calls.append((df, table)))
+    split = pipeline.jdbc.Split("order_date", "1995-01-01", "2001-08-01", 8)
+    pipeline.trends_in_database(spark, pipeline.jdbc.Connection("u", "d"), "marts.fct", "marts.trends", split)
+    assert calls[0] == ("marts.fct", split)
+    assert calls[1][1] == "marts.trends" and same(calls[1][0], trends.revenue_trends(fact))

@@ -41,7 +41,7 @@ def test_only_new_files_are_loaded(spark, feed):
 
 @pytest.mark.parametrize("salts", [1, 16])
 def test_retries_are_dropped_within_and_across_batches(spark, feed, salts):
-    retries = [line("1", f"2024-01-05 10:00:{s:02d}") for s in range(40)]
+    retries = [line("1", f"2024-01-05 10:00:{s:02d}") for s in range(40)] + [line("1", "2024-01-05 10:00:00")] * 40
     feed("a.csv", *retries, line("2", "2024-01-05 10:00:00"))
     feed("b.csv", line("2", "2024-01-05 10:00:09"))
     load(spark, feed, dedup=True, salts=salts)
