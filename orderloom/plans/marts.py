@@ -88,7 +88,10 @@ def one_row_per_order(customers: DataFrame, products: DataFrame) -> bool:
 
 
 def build_models(raw: Mapping[str, DataFrame], limit_bytes: int = BROADCAST_LIMIT) -> dict[str, DataFrame]:
-    """All models over raw tables, as lazy views that feed each other."""
+    """All models over raw tables, as views that feed each other.
+
+    Only the dimensions are read here, to measure them and to check their keys.
+    """
     customers = stg_customers(raw["customers"])
     products = stg_products(raw["products"])
     orders = stg_orders(raw["orders_raw"])

@@ -33,9 +33,8 @@ def drop_retries(
 
     Streams have no combine step before the shuffle, so repeats are dropped
     twice: first per key and random salt, which spreads a key that holds much of
-    a batch over ``salts`` tasks, then per key. The second step alone decides what
-    is kept, so the salts do not matter to the result. State holds the keys of the
-    given time only.
+    a batch over ``salts`` tasks, then per key. State holds the keys of the given
+    time only; a repeat that comes later may be dropped or not, as with any watermark.
     """
     timed = stream.withColumn(arrival, F.col(arrival).cast("timestamp")).withWatermark(arrival, within)
     if salts > 1:

@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from frames import CUSTOMER, PRODUCT, day, dec, order, raw_customers, raw_orders, raw_products
 from hypothesis import HealthCheck, given, settings
@@ -203,3 +205,69 @@ def test_large_dimensions_are_shuffled_and_hot_keys_split(spark, shuffled, hot):
     assert joined.select("order_id", "region").exceptAll(plain.select("order_id", "region")).count() == 0
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     assert joined.count() == orders.count()
+
+
+DATES = {
+    "legacy_pos": {"01/05/2024": "2024-01-05", "2/9/2024": "2024-02-09", "13/45/2024": None, "2024-01-05": None},
+    "web_platform": {"2024-01-05": "2024-01-05", "2024-2-9": "2024-02-09", "01/05/2024": None, None: None},
+    "kiosk": {"2024-01-05": None},
+}
+CUSTOMERS = [("c1", "A", "B", "C", "east", None), ("c2", "A", "B", "C", "west", None)]
+PRODUCTS = [("p1", "x", "toys", "4.10", "10.25"), ("p2", "y", "books", "12.00", "9.99")]
+
+raw_rows = st.lists(
+    st.sampled_from(sorted(DATES)).flatmap(
+        lambda source: st.tuples(
+            st.sampled_from("123456"),
+            st.sampled_from(["c1", "c2", "c9", None]),
+            st.sampled_from(["p1", "p2", "p9"]),
+            st.integers(-2, 5),
+            st.sampled_from(list(DATES[source])),
+            st.integers(0, 60 * 24 * 60).map(lambda m: datetime.datetime(2024, 1, 5) + datetime.timedelta(minutes=m)),
+            st.just(source),
+        )
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+def expected_models(rows):
+    """The whole chain by hand: staged orders, fact and monthly figures."""
+    staged = {}
+    for row in rows:
+        rank = (row[5], *[(v is not None, v) for v in (row[1], row[2], row[3], row[4], row[6])])
+        if row[0] not in staged or rank < staged[row[0]][0]:
+            staged[row[0]] = (rank, row)
+    regions = {c[0]: c[4] for c in CUSTOMERS}
+    prices = {p[0]: (p[2], dec(p[3]), dec(p[4])) for p in PRODUCTS}
+    fact, months = {}, {}
+    for order_id, (_, (_, customer, product, quantity, text, load, source)) in staged.items():
+        if customer not in regions or product not in prices:
+            continue
+        date = DATES[source][text] and day(DATES[source][text])
+        category, cost, price = prices[product]
+        late = None if date is None else (load.date() - date).days > 30
+        revenue, margin = quantity * price, quantity * (price - cost)
+        fact[order_id] = (date, late, regions[customer], category, revenue, margin)
+        key = (date and date.replace(day=1), regions[customer], category)
+        n, units, r, m = months.get(key, (0, 0, 0, 0))
+        months[key] = (n + 1, units + quantity, r + revenue, m + margin)
+    return len(staged), fact, months
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(raw_rows)
+def test_whole_chain_matches_brute_force(spark, rows):
+    built = models(spark, [(*r[:5], r[5].isoformat(), r[6]) for r in rows], CUSTOMERS, PRODUCTS)
+    staged, fact, months = expected_models(rows)
+    assert built["stg_orders"].count() == staged
+    got = built["fct_orders"].collect()
+    assert {
+        r.order_id: (r.order_date, r.is_late_arriving, r.region, r.category, r.revenue, r.gross_margin) for r in got
+    } == fact and len(got) == len(fact)
+    monthly = {
+        (r.order_month, r.region, r.category): (r.order_count, r.units_sold, r.total_revenue, r.total_gross_margin)
+        for r in built["mart_monthly_kpis"].collect()
+    }
+    assert monthly == months
