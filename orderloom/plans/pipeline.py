@@ -19,6 +19,7 @@ from orderloom.operators.lookup import BROADCAST_LIMIT
 from orderloom.plans import marts, quality, staging
 from orderloom.plans.trends import revenue_trends
 from orderloom.schemas import RAW
+from orderloom.session import sized_shuffles
 from orderloom.sources import jdbc
 from orderloom.sources.csv_files import read_csv, stamped
 from orderloom.sources.tables import Load, load_table, publish, read_published, spread, written
@@ -88,6 +89,42 @@ def run_pipeline(
     on_stage("load")
     raw = _load(spark, feeds, run)
 
+    orders = next(load.actual for load in run.loads if load.table == "orders_raw")
+    with sized_shuffles(spark, orders):
+        _build(run, stored, raw, limit_bytes, on_stage)
+    publish(spark, root, run_id, {name: run.tables[name] for name in PUBLISHED})
+    return run
+
+
+def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table of the last published run."""
+    return read_published(spark, root, table)
+
+
+def trends_in_database(
+    spark: SparkSession,
+    connection: jdbc.Connection,
+    source: str,
+    target: str,
+    split: jdbc.Split | list[str] | None = None,
+) -> None:
+    """Rolling trends from an order fact kept in a database to a table beside it.
+
+    One action: the fact is read once, by as many tasks as ``split`` says, and
+    only the columns the trends use are fetched.
+    """
+    fact = jdbc.read_table(spark, connection, source, split)
+    jdbc.write_table(revenue_trends(fact), connection, target, connections=1)
+
+
+def _build(
+    run: Run,
+    stored: Callable[..., DataFrame],
+    raw: Mapping[str, DataFrame],
+    limit_bytes: int,
+    on_stage: Callable[[str], None],
+) -> None:
+    """The stages after the load, on landed raw tables."""
     on_stage("models")
     customers = stored("marts", "dim_customers", staging.stg_customers(raw["customers"]))
     products = stored("marts", "dim_products", staging.stg_products(raw["products"]))
@@ -116,30 +153,6 @@ def run_pipeline(
     stored("marts", "mart_monthly_kpis", marts.mart_monthly_kpis(fact, unique_orders=True))
     stored("marts", "revenue_trends", revenue_trends(fact))
 
-    publish(spark, root, run_id, {name: run.tables[name] for name in PUBLISHED})
-    return run
-
-
-def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table of the last published run."""
-    return read_published(spark, root, table)
-
-
-def trends_in_database(
-    spark: SparkSession,
-    connection: jdbc.Connection,
-    source: str,
-    target: str,
-    split: jdbc.Split | list[str] | None = None,
-) -> None:
-    """Rolling trends from an order fact kept in a database to a table beside it.
-
-    One action: the fact is read once, by as many tasks as ``split`` says, and
-    only the columns the trends use are fetched.
-    """
-    fact = jdbc.read_table(spark, connection, source, split)
-    jdbc.write_table(revenue_trends(fact), connection, target, connections=1)
-
 
 def _load(spark: SparkSession, feeds: Mapping[str, DataFrame], run: Run) -> dict[str, DataFrame]:
     """Land every feed in the raw layer and compare row counts."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +38,33 @@ def get_session(app: str = "orderloom", master: str | None = None, **conf: str)
     return spark
 
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+# A raw order as a shuffled row, and how much of a shuffle one task should sort.
+ROW_BYTES = 128
+PARTITION_BYTES = 256 * 1024 * 1024
+
+# Beyond this many partitions the driver's map of shuffle blocks is the bottleneck;
+# partitions then grow, and their sorts spill.
+MOST_PARTITIONS = 100_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, rows: int, row_bytes: int = ROW_BYTES) -> Iterator[int]:
+    """Enough shuffle partitions for ``rows`` while the block runs.
+
+    Adaptive execution merges small partitions but cannot add any, so the number
+    to start from must fit the data. It is only ever raised here.
+    """
+    before = int(spark.conf.get(_PARTITIONS))
+    needed = min(-(-rows * row_bytes // PARTITION_BYTES), MOST_PARTITIONS)
+    spark.conf.set(_PARTITIONS, str(max(before, needed)))
+    try:
+        yield max(before, needed)
+    finally:
+        spark.conf.set(_PARTITIONS, str(before))
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path every executor can reach.
 

@@ -3,6 +3,7 @@ from frames import CUSTOMER, PRODUCT, order, raw_customers, raw_orders, raw_prod
 
 from orderloom.plans import marts, pipeline, trends
 from orderloom.schemas import LOADED_AT, RAW
+from orderloom.session import MOST_PARTITIONS, sized_shuffles
 from orderloom.sources import testdata
 
 TINY = "/root/testdata/sf0.001"
@@ -91,6 +92,20 @@ def test_a_failed_check_publishes_nothing(spark, tmp_path, case):
     assert pipeline.read_current(spark, root, "fct_orders").count() == 2
 
 
+def test_shuffles_grow_with_the_orders(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with sized_shuffles(spark, rows=10) as few:
+        assert str(few) == before == spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), sized_shuffles(spark, rows=10**9) as many:
+        # 128 GB in pieces of 256 MB.
+        assert many == 477 and spark.conf.get(key) == "477"
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
+    with sized_shuffles(spark, rows=10**13) as most:
+        assert most == MOST_PARTITIONS
+
+
 def test_drifted_feed_stops_the_load(spark, tmp_path):
     feeds = feeds_of(spark, order("1"))
     feeds["orders_raw"] = feeds["orders_raw"].withColumnRenamed("quantity", "qty")
