@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +18,13 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     return counted.filter("n > 1")
 
 
-def is_unique(df: DataFrame, column: str) -> bool:
-    """Whether no non-null value occurs twice. Runs a job; meant for dimension tables."""
-    return unique(df, column).isEmpty()
+def all_unique(keys: Sequence[tuple[DataFrame, str]]) -> bool:
+    """Whether no non-null value occurs twice in any of the key columns.
+
+    Runs one job over all of them; meant for dimension tables.
+    """
+    found = [unique(df, column).select("n") for df, column in keys]
+    return reduce(DataFrame.unionAll, found).isEmpty()
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,18 +72,18 @@ def duplicates(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
 
 def reconcile(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Expected and actual row counts per table, with ``OK`` or ``MISMATCH``."""
-    result = None
-    for name, (expected, actual) in pairs.items():
-        counted = expected.agg(F.count("*").alias("expected_rows")).select(
+    if not pairs:
+        raise ValueError("reconcile needs at least one table")
+    counted = [
+        expected.agg(F.count("*").alias("expected_rows")).select(
             F.lit(name).alias("table_name"),
             "expected_rows",
             actual.agg(F.count("*")).scalar().alias("actual_rows"),
         )
-        result = counted if result is None else result.unionByName(counted)
-    if result is None:
-        raise ValueError("reconcile needs at least one table")
+        for name, (expected, actual) in pairs.items()
+    ]
     same = F.col("expected_rows") == F.col("actual_rows")
-    return result.withColumn("status", F.when(same, "OK").otherwise("MISMATCH"))
+    return reduce(DataFrame.unionAll, counted).withColumn("status", F.when(same, "OK").otherwise("MISMATCH"))
 
 
 def schema_drift(actual: T.StructType, declared: T.StructType) -> list[str]:

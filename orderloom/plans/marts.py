@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.dates import month_of
 from orderloom.functions.money import amount, percent
-from orderloom.operators.checks import is_unique
+from orderloom.operators.checks import all_unique
 from orderloom.operators.lookup import BROADCAST_LIMIT, lookup
 from orderloom.plans.staging import stg_customers, stg_orders, stg_products
 
@@ -82,9 +82,9 @@ def one_row_per_order(customers: DataFrame, products: DataFrame) -> bool:
     """Whether the fact built with these dimensions holds each order at most once.
 
     Staging leaves one row per order, and a join to unique keys adds none, so
-    checking the two dimensions spares a check of all orders. Runs two jobs.
+    checking the two dimensions spares a check of all orders. Runs a job on them.
     """
-    return is_unique(customers, "customer_id") and is_unique(products, "product_id")
+    return all_unique([(customers, "customer_id"), (products, "product_id")])
 
 
 def build_models(raw: Mapping[str, DataFrame], limit_bytes: int = BROADCAST_LIMIT) -> dict[str, DataFrame]:

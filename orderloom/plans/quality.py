@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,7 +93,4 @@ def run_tests(models: Mapping[str, DataFrame]) -> DataFrame:
                 "failures",
             )
         )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result.select("table_name", "test", "column_name", "failures")
+    return reduce(DataFrame.unionByName, parts).select("table_name", "test", "column_name", "failures")

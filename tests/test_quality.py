@@ -20,6 +20,13 @@ def test_unique(spark):
     assert checks.unique(keys(spark, "a", "b"), "k").count() == 0
 
 
+def test_all_unique(spark):
+    good, bad = keys(spark, "a", "b", None, None), keys(spark, "a", "a")
+    assert checks.all_unique([(good, "k"), (good, "k")])
+    assert not checks.all_unique([(good, "k"), (bad, "k")])
+    assert not checks.all_unique([(bad, "k"), (good, "k")])
+
+
 def test_null_counts(spark):
     df = spark.createDataFrame([("a", None), (None, None)], "x string, y int")
     assert {r.column_name: r.failures for r in checks.null_counts(df, ["x", "y"]).collect()} == {"x": 1, "y": 2}
