@@ -28,6 +28,14 @@ from orderloom.sources.csv_files import read_csv  # noqa: E402
 from orderloom.sources.tables import written  # noqa: E402
 from orderloom.streaming import arrivals  # noqa: E402
 
+try:
+    from orderloom.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    # The subpackage may be taken out. Its own missing modules are errors as ever.
+    if (Path(__file__).resolve().parent / "orderloom" / "llm" / "__init__.py").exists():
+        raise
+    llm_queries = None
+
 # The categories and regions of the test tables.
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -195,7 +203,8 @@ def queries() -> dict[str, Query]:
         "stream_raw_load": _stream(dedup=False),
         "stream_retry_dedup": _stream(dedup=True),
     }
-    return {name: _as_portable(query) for name, query in found.items()}
+    registered = {name: _as_portable(query) for name, query in found.items()}
+    return registered | (llm_queries.queries() if llm_queries else {})
 
 
 def _as_portable(query: Query) -> Query:
@@ -203,4 +212,4 @@ def _as_portable(query: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return duckdb_oracle.oracle_sql(CATEGORIES, REGIONS)
+    return duckdb_oracle.oracle_sql(CATEGORIES, REGIONS) | (llm_queries.oracle_sql() if llm_queries else {})
