@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, language, line_dedup, pieces, token_files, url_filter
+from orderloom.llm import decontaminate, exact_dedup, html_extract, language, line_dedup, pieces, token_files, url_filter
 from orderloom.llm.url_filter import ALLOW, BLOCK, Rule
 from orderloom.session import shared_dir
 
@@ -63,12 +63,20 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = line_dedup.line_report(table(spark, sf_dir, "documents"), LINE_SITES)
     kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     return report.select("doc_id", "n_lines", "n_removed", kept)
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs.select("doc_id", "text"), language.learn(docs))
@@ -80,8 +88,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sentencepiece": op1_sentencepiece,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_url_filter": op5_url_filter,
+        "op6_decontaminate": op6_decontaminate,
         "op7_line_dedup": op7_line_dedup,
         "op8_token_files": op8_token_files,
+        "op9_html_extract": op9_html_extract,
         "op10_language": op10_language,
     }
 
