@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, exact_dedup, html_extract, language, line_dedup, pieces, token_files, url_filter
+from orderloom.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    language,
+    line_dedup,
+    near_dedup,
+    pieces,
+    token_files,
+    url_filter,
+)
 from orderloom.llm.url_filter import ALLOW, BLOCK, Rule
 from orderloom.session import shared_dir
 
@@ -53,6 +63,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, folder)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.find_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -86,6 +100,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op3_near_dedup": op3_near_dedup,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_url_filter": op5_url_filter,
         "op6_decontaminate": op6_decontaminate,
