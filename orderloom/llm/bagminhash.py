@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from orderloom.llm.shingles import mixed
+from orderloom.llm.words import mixed
 
 _STEP = np.uint64(0xD1B54A32D192ED03)
 _BUCKET = np.uint64(0x8CB92BA72F3D8DD7)

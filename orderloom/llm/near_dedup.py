@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm import bagminhash, shingles
-from orderloom.llm.common import list_array, steps, text_of
+from orderloom.llm.common import list_array, text_of
 from orderloom.llm.components import components
+from orderloom.llm.words import string_slices
 from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
 from orderloom.session import shared_dir
 from orderloom.sources.tables import written
@@ -27,27 +28,31 @@ def content_key(text: Column) -> Column:
     return F.when(words != "", F.unhex(F.md5(words)))
 
 
+def _parts(first: pa.Array, *others: pa.Array, most: int) -> Iterator[list[pa.Array]]:
+    """Slices of columns of one length, cut by the bytes and the number of the first column's texts."""
+    for i, j in string_slices(first):
+        for k in range(i, j, most):
+            yield [column.slice(k, min(most, j - k)) for column in (first, *others)]
+
+
 def _band_keys(bands: int, rows: int):
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = batch.to_pylist()
             found = [np.zeros((0, bands), np.uint64)]
-            for i, j in steps(texts):
-                for k in range(i, j, shingles.MOST_TEXTS):
-                    part = texts[k : min(k + shingles.MOST_TEXTS, j)]
-                    owners, elements, times = shingles.shingle_bags(part)
-                    signature = bagminhash.signatures(owners, elements, times, len(part), bands * rows)
-                    found.append(bagminhash.band_keys(signature, rows))
-            flat = np.concatenate(found).astype(np.uint64).view(np.int64).ravel()
-            yield list_array(np.full(len(texts), bands), flat, pa.int64())
+            for (part,) in _parts(batch, most=shingles.MOST_TEXTS):
+                signature = bagminhash.signatures(*shingles.shingle_bags(part), len(part), bands * rows)
+                found.append(bagminhash.band_keys(signature, rows))
+            flat = np.concatenate(found).view(np.int64).ravel()
+            yield list_array(np.full(len(batch), bands), flat, pa.int64())
 
     return F.arrow_udf(keys, "array<long>")
 
 
 def _similarities(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for left, right in batches:
-        pairs = zip(left.to_pylist(), right.to_pylist(), strict=True)
-        yield pa.array([shingles.similarity(a, b) for a, b in pairs], pa.float64())
+        parts = _parts(left, right, most=shingles.MOST_TEXTS // 2)
+        found = [shingles.similarities(a, b) for a, b in parts]
+        yield pa.array(np.concatenate([np.zeros(0), *found]))
 
 
 def candidates(nodes: DataFrame) -> DataFrame:

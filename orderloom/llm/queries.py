@@ -16,6 +16,7 @@ from orderloom.llm import (
     line_dedup,
     near_dedup,
     pieces,
+    substring_dedup,
     token_files,
     url_filter,
 )
@@ -63,6 +64,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, folder)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.find_groups(table(spark, sf_dir, "documents"))
 
@@ -100,6 +106,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_near_dedup": op3_near_dedup,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_url_filter": op5_url_filter,

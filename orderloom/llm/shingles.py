@@ -1,97 +1,50 @@
-"""Word shingles of whole texts as 64-bit hashes."""
+"""Word shingles of whole texts as bags of hashes."""
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
-import xxhash
+import pyarrow as pa
 
-from orderloom.llm.chunks import ChunkTable
-from orderloom.llm.common import WORD
+from orderloom.llm.words import window_owners, windows, words_of
 
 SHINGLE = 5
-_WORD = re.compile(WORD)
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mixed(values: np.ndarray) -> np.ndarray:
-    """Every bit of the result depends on every bit of the value."""
-    x = values ^ (values >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class WordHashes(ChunkTable):
-    """A 64-bit hash of every distinct word."""
-
-    def __init__(self):
-        super().__init__()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.clear()
-        self._hashes = np.zeros(0, np.uint64)
-
-    def _learn(self, words: list[str]) -> None:
-        new = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-        self._hashes = np.concatenate((self._hashes, new))
 
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Where each text's words start among all, and the hash of every word."""
-        ends, places = self.places([_WORD.findall(text) for text in texts])
-        return ends, self._hashes[places]
-
-
-WORDS = WordHashes()
-
-
-def windows(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of every run of ``size`` words, over all texts together."""
-    n = len(hashes) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    found = np.zeros(n, np.uint64)
-    for k in range(size):
-        found = found * _FACTOR + hashes[k : k + n]
-    return mixed(found)
+# Texts that shingle_bags handles at once: their numbers have 12 bits beside a shingle's 52.
+MOST_TEXTS = 1 << 12
 
 
-def shingle_bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingle_bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct shingles of all texts: the text's number, the shingle's hash (52 bits), how often.
 
     A text of one to four words has one shingle, all its words; a text without words has none.
     """
-    ends, hashes = WORDS.of(texts)
-    counts = np.diff(ends)
-    whole = windows(hashes, SHINGLE)
-    text = np.repeat(np.arange(len(texts)), counts)[: len(whole)]
-    inside = np.arange(len(whole)) + SHINGLE <= ends[text + 1]
-    values, owners = whole[inside], text[inside]
-    short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
-    if len(short):
-        own = np.array(
-            [np.bitwise_xor.reduce(windows(hashes[ends[i] : ends[i + 1]], int(counts[i]))) for i in short], np.uint64
-        )
-        values, owners = np.concatenate((values, own)), np.concatenate((owners, short))
+    if len(texts) > MOST_TEXTS:
+        raise ValueError(f"at most {MOST_TEXTS} texts at once")
+    words = words_of(texts)
+    counts = np.diff(words.ends)
+    values = windows(words.hashes, SHINGLE)
+    owners, inside = window_owners(words.ends, SHINGLE, len(values))
+    values, owners = values[inside], owners[inside]
+    few = np.flatnonzero((counts > 0) & (counts < SHINGLE))
+    if len(few):
+        whole = [windows(words.hashes[words.ends[i] : words.ends[i + 1]], int(counts[i]))[0] for i in few]
+        values, owners = np.concatenate((values, np.array(whole, np.uint64))), np.concatenate((owners, few))
     keys = (owners.astype(np.uint64) << np.uint64(52)) | (values >> np.uint64(12))
     distinct, times = np.unique(keys, return_counts=True)
     return (distinct >> np.uint64(52)).astype(np.int64), distinct & np.uint64((1 << 52) - 1), times
 
 
-# Texts that share_bags handles at once: their numbers have 12 bits beside a shingle's 52.
-MOST_TEXTS = 1 << 12
-
-
-def similarity(left: str, right: str) -> float:
-    """The weighted Jaccard similarity of two texts' shingle bags; 0 if either has no words."""
-    owners, shingles, times = shingle_bags([left, right])
-    first = owners == 0
-    a, b = shingles[first], shingles[~first]
-    if not len(a) or not len(b):
-        return 0.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    m, n = times[first], times[~first]
-    shared = int(np.minimum(m[i], n[j]).sum())
-    return shared / (int(m.sum()) + int(n.sum()) - shared)
+def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """The weighted Jaccard similarity of the shingle bags of each pair; 0 if either has no words."""
+    n = len(left)
+    owners, shingles, times = shingle_bags(pa.concat_arrays([left, right]))
+    total = np.bincount(owners, weights=times, minlength=2 * n)
+    # Shingles of a pair meet when both sides have the pair's number.
+    keys = ((owners % n).astype(np.uint64) << np.uint64(52)) | shingles
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], times[order]
+    both = np.flatnonzero(keys[1:] == keys[:-1])
+    pair = (keys[both] >> np.uint64(52)).astype(np.int64)
+    shared = np.bincount(pair, weights=np.minimum(counts[both], counts[both + 1]), minlength=n)
+    union = total[:n] + total[n:] - shared
+    return np.divide(shared, union, out=np.zeros(n), where=union > 0)
