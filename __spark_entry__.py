@@ -28,13 +28,17 @@ from orderloom.sources.csv_files import read_csv  # noqa: E402
 from orderloom.sources.tables import written  # noqa: E402
 from orderloom.streaming import arrivals  # noqa: E402
 
-try:
+# The corpus operators and their pipeline may be taken out together; an import error inside them is one as ever.
+if (Path(__file__).resolve().parent / "orderloom" / "llm" / "__init__.py").exists():
+    import corpus_pipeline  # noqa: E402
     from orderloom.llm import queries as llm_queries  # noqa: E402
-except ImportError:
-    # The subpackage may be taken out. Its own missing modules are errors as ever.
-    if (Path(__file__).resolve().parent / "orderloom" / "llm" / "__init__.py").exists():
-        raise
-    llm_queries = None
+
+    CORPUS_QUERIES = llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    CORPUS_SQL = llm_queries.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL is not None:
+        CORPUS_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+else:
+    CORPUS_QUERIES, CORPUS_SQL = {}, {}
 
 # The categories and regions of the test tables.
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -204,7 +208,7 @@ def queries() -> dict[str, Query]:
         "stream_retry_dedup": _stream(dedup=True),
     }
     registered = {name: _as_portable(query) for name, query in found.items()}
-    return registered | (llm_queries.queries() if llm_queries else {})
+    return registered | CORPUS_QUERIES
 
 
 def _as_portable(query: Query) -> Query:
@@ -212,4 +216,4 @@ def _as_portable(query: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return duckdb_oracle.oracle_sql(CATEGORIES, REGIONS) | (llm_queries.oracle_sql() if llm_queries else {})
+    return duckdb_oracle.oracle_sql(CATEGORIES, REGIONS) | CORPUS_SQL
