@@ -9,8 +9,9 @@ import numpy as np
 from orderloom.llm.common import offsets_of, ranges
 
 # Entries of one table. A full one is emptied, which costs time and changes no
-# result; with the keys it takes some 150 MB.
-MOST_CHUNKS = 1_000_000
+# result; with the keys it takes some 60 MB. New chunks are worked on so many at a time.
+MOST_CHUNKS = 300_000
+LEARN_CHUNKS = 50_000
 
 
 class ChunkTable(dict):
@@ -46,7 +47,8 @@ class ChunkTable(dict):
             places[ends[k] : ends[k + 1]] = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
         if self._new:
             new, self._new = self._new, []
-            self._learn(new)
+            for k in range(0, len(new), LEARN_CHUNKS):
+                self._learn(new[k : k + LEARN_CHUNKS])
         return ends, places
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 # How much text one step inside a task handles at once. Arrow batches are cut to
 # it, so memory does not follow the number of long documents in a batch.
-STEP_CHARS = 4_000_000
+STEP_CHARS = 2_000_000
 
 WORD = r"[^\x20\x09-\x0D]+"
 
