@@ -50,15 +50,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids``, and whether decoding gives the text back."""
     model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
-    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), model)
-    decoded = pieces.decode(encoded, model)
-    return decoded.select(
+    coded = pieces.round_trip(docs.select("doc_id", "lang", "source", "text"), model)
+    return coded.select(
         "doc_id",
         "lang",
         "source",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        F.size("pieces.ids").cast("long").alias("n_tokens"),
+        "pieces.ids",
+        (F.col("pieces.decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
 
 

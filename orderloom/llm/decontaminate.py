@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import offsets_of, ranges, steps, text_of
+from orderloom.llm.common import offsets_of, ranges, text_of
+from orderloom.llm.words import text_steps
 
 _WORD = re.compile(r"\w+")
 # A line end, or the end of a sentence, behind which the last part of an item is its answer.
@@ -294,13 +295,10 @@ def with_leaks(
     def leaks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         indexes = _indexes(sent)
         for batch in batches:
-            texts = batch.to_pylist()
             found: list[list[dict]] = []
-            for i, j in steps(texts):
-                by_index = [index.search(texts[i:j]) for index in indexes]
-                found += [[hit for hits in parts for hit in hits] for parts in zip(*by_index, strict=True)] or [
-                    [] for _ in range(i, j)
-                ]
+            for texts in text_steps(batch):
+                by_index = [index.search(texts) for index in indexes] or [[[] for _ in texts]]
+                found += [[hit for hits in parts for hit in hits] for parts in zip(*by_index, strict=True)]
             yield pa.array(found, _HITS)
 
     return docs.withColumn(into, leaks(text_of(text)))

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.chunks import ChunkTable
-from orderloom.llm.common import steps, text_of
+from orderloom.llm.common import text_of
+from orderloom.llm.words import text_steps
 
 UNKNOWN = "und"
 
@@ -187,10 +188,9 @@ def identify(
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parses = _parses(sent.value)
         for batch in batches:
-            texts = batch.to_pylist()
             rows = []
-            for i, j in steps(texts):
-                phrases, letters = parses.counts(texts[i:j])
+            for texts in text_steps(batch):
+                phrases, letters = parses.counts(texts)
                 rows += [_best(parses.languages, p, n) for p, n in zip(phrases.tolist(), letters.tolist(), strict=True)]
             yield pa.array(rows, _RESULT)
 

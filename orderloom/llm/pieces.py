@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.chunks import ChunkIds
-from orderloom.llm.common import list_array, offsets_of, ranges, steps, text_of
+from orderloom.llm.common import list_array, offsets_of, ranges, text_of
+from orderloom.llm.words import text_steps
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
@@ -124,17 +125,13 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids")
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = _pieces(sent.value)
         for batch in batches:
-            texts = batch.to_pylist()
-            parts = [pieces.encode(texts[i:j]) for i, j in steps(texts)]
-            lengths = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.int64)])
-            flat = np.concatenate([p[1] for p in parts] or [np.zeros(0, np.int32)])
-            yield list_array(lengths, flat, pa.int32())
+            parts = [list_array(*pieces.encode(texts), pa.int32()) for texts in text_steps(batch)]
+            yield _concat(parts, pa.list_(pa.int32()))
 
-    return docs.withColumn(into, ids(text_of(text)))
+    return docs.withColumn(into, F.arrow_udf(ids, "array<int>")(text_of(text)))
 
 
 def decode(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -145,23 +142,48 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = _pieces(sent.value)
         for batch in batches:
             lengths = np.diff(batch.offsets.to_numpy())
             values = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
             ends = offsets_of(lengths)
-            texts = []
-            for i, j in _id_steps(lengths):
-                texts += pieces.decode(lengths[i:j], values[ends[i] : ends[j]])
-            yield pa.array(texts, pa.string())
+            parts = [
+                pa.array(pieces.decode(lengths[i:j], values[ends[i] : ends[j]]), pa.string())
+                for i, j in _id_steps(lengths)
+            ]
+            yield _concat(parts, pa.string())
 
     present = F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>"))
-    return docs.withColumn(into, decoded(present))
+    return docs.withColumn(into, F.arrow_udf(decoded, "string")(present))
 
 
-def _id_steps(lengths: np.ndarray, limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def round_trip(docs: DataFrame, model: bytes, text: str = "text", into: str = "pieces") -> DataFrame:
+    """Add a struct ``ids, decoded``: what :func:`encode` and, from these ids, :func:`decode` give.
+
+    Both are done in one visit to the Python workers.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces = _pieces(sent.value)
+        for batch in batches:
+            parts = []
+            for texts in text_steps(batch):
+                lengths, ids = pieces.encode(texts)
+                columns = [list_array(lengths, ids, pa.int32()), pa.array(pieces.decode(lengths, ids), pa.string())]
+                parts.append(pa.StructArray.from_arrays(columns, names=["ids", "decoded"]))
+            yield _concat(parts, kind)
+
+    return docs.withColumn(into, F.arrow_udf(both, "struct<ids:array<int>,decoded:string>")(text_of(text)))
+
+
+def _concat(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays([part.cast(kind) for part in parts]) if parts else pa.array([], kind)
+
+
+def _id_steps(lengths: np.ndarray, limit: int = 500_000) -> Iterator[tuple[int, int]]:
     start, size = 0, 0
     for i, n in enumerate(lengths):
         if size and size + n > limit:

@@ -46,10 +46,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = pieces.encode(docs, model).drop("text")
-    decoded = pieces.decode(encoded, model)
+    coded = pieces.round_trip(docs, model).select("doc_id", "pieces.ids", "pieces.decoded")
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded.select(
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined, 256).alias("ids_sha256"),

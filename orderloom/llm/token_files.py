@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.llm.chunks import ChunkIds
-from orderloom.llm.common import offsets_of, steps, text_of
+from orderloom.llm.common import offsets_of, text_of
 from orderloom.llm.eliasfano import EliasFano
+from orderloom.llm.words import text_steps
 
 # Ids of one block, unless a single document has more.
 BLOCK_IDS = 1 << 20
@@ -211,18 +212,18 @@ def write(docs: DataFrame, folder: str, spec: bytes, end_id: int, key: str = "do
         words = _words(sent.value)
         part, block, done, filling = TaskContext.get().partitionId(), 0, 0, _Block()
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, j in steps(texts):
-                lengths, flat = words.encode(texts[i:j])
+            keys = iter(batch.column(0).to_pylist())
+            for texts in text_steps(batch.column(1)):
+                lengths, flat = words.encode(texts)
                 ends = offsets_of(lengths)
-                for k in range(j - i):
+                for k in range(len(texts)):
                     ids = np.append(flat[ends[k] : ends[k + 1]], np.int32(end_id))
                     if filling.size and (
                         filling.size + len(ids) > BLOCK_IDS or len(filling.keys) >= BLOCK_DOCS
                     ):
                         yield filling.row(part, block, done, words.width)
                         block, done, filling = block + 1, done + filling.size, _Block()
-                    filling.add(keys[i + k], ids)
+                    filling.add(next(keys), ids)
         if filling.keys:
             yield filling.row(part, block, done, words.width)
 

@@ -11,6 +11,7 @@ import pyarrow as pa
 from orderloom.llm.common import offsets_of, ranges
 
 # Bytes of text that one step inside a task handles at once, unless a single text has more.
+# Arrow batches are cut to it, so memory does not follow the long documents in a batch.
 STEP_BYTES = 4 << 20
 
 # Words are what lies between these bytes, space and tab to carriage return. No
@@ -86,6 +87,12 @@ def string_slices(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[in
         start = stop
 
 
+def text_steps(texts: pa.Array, limit: int = STEP_BYTES // 2) -> Iterator[list[str]]:
+    """The texts as Python strings, a few at a time."""
+    for i, j in string_slices(texts, limit):
+        yield texts.slice(i, j - i).to_pylist()
+
+
 def _offsets(texts: pa.Array) -> np.ndarray:
     kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     raw = np.frombuffer(texts.buffers()[1], kind) if len(texts) else np.zeros(1, kind)
