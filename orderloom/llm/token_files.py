@@ -32,6 +32,9 @@ from orderloom.llm.words import text_steps
 BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 1 << 16
 
+# Distinct words that a worker remembers, some 200 MB with their ids.
+MOST_WORDS = 1_000_000
+
 # White space ends a word for sure; so does a punctuation mark behind nothing but Latin letters.
 # Elsewhere a word goes on up to the next white space.
 _CHUNK = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \t\n\r,.;:!?]|\Z)|[^ \t\n\r]+")
@@ -95,7 +98,7 @@ class Words:
             ),
             None,
         )
-        self.table = ChunkIds(self._encode_chunks)
+        self.table = ChunkIds(self._encode_chunks, MOST_WORDS)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
