@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -14,6 +15,12 @@ MOST_CHUNKS = 300_000
 LEARN_CHUNKS = 50_000
 
 
+def flattened(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The lengths of all lists, and their numbers one after another."""
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return lengths, np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum()))
+
+
 class ChunkTable(dict):
     """Numbers distinct chunks, and hands new ones to ``_learn`` many at a time.
 
@@ -53,9 +60,9 @@ class ChunkTable(dict):
 
 
 class ChunkIds(ChunkTable):
-    """The ids of every distinct chunk, as ``encode_many`` gives them."""
+    """The ids of every distinct chunk; ``encode_many`` gives their numbers and all of them."""
 
-    def __init__(self, encode_many: Callable[[list[str]], Sequence[Sequence[int]]], most: int = MOST_CHUNKS):
+    def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MOST_CHUNKS):
         super().__init__(most)
         self._encode = encode_many
         self._forget()
@@ -74,9 +81,7 @@ class ChunkIds(ChunkTable):
         return np.diff(offsets_of(lengths)[ends]), flat
 
     def _learn(self, chunks: list[str]) -> None:
-        encoded = self._encode(chunks)
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.int32, int(lengths.sum()))
+        lengths, flat = self._encode(chunks)
         starts = len(self._ids) + np.cumsum(lengths) - lengths
         self._starts = np.concatenate((self._starts, starts))
         self._lengths = np.concatenate((self._lengths, lengths))

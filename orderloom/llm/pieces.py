@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.chunks import ChunkIds
+from orderloom.llm.chunks import ChunkIds, flattened
 from orderloom.llm.common import list_array, offsets_of, ranges, text_of
 from orderloom.llm.words import text_steps
 
@@ -56,20 +56,18 @@ class Pieces:
             return None
         return piece.replace(MARK, " ").encode()
 
-    def _encode_chunks(self, chunks: list[str]) -> list[list[int]]:
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # The library puts a marker in front of every text, so the first one of a chunk is left out.
         encoded = self.model.encode([chunk[1:] for chunk in chunks], num_threads=1)
         alone = [self.model.piece_to_id(MARK)]
-        return [ids if len(chunk) > 1 else alone for chunk, ids in zip(chunks, encoded, strict=True)]
+        return flattened([ids if len(chunk) > 1 else alone for chunk, ids in zip(chunks, encoded, strict=True)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of every text, and the ids of all."""
         if self.splits:
             marked = (" " + text.replace(MARK, " ") if text else "" for text in texts)
             return self.table.ids([_CHUNK.findall(text) for text in marked])
-        encoded = self.model.encode(texts, num_threads=1)
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        return lengths, np.fromiter((i for ids in encoded for i in ids), np.int32, int(lengths.sum()))
+        return flattened(self.model.encode(texts, num_threads=1))
 
     def decode(self, lengths: np.ndarray, ids: np.ndarray) -> list[str]:
         """The text of every document, from the number of its ids and the ids of all."""

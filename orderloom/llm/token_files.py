@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.chunks import ChunkIds
+from orderloom.llm.chunks import ChunkIds, flattened
 from orderloom.llm.common import offsets_of, text_of
 from orderloom.llm.eliasfano import EliasFano
 from orderloom.llm.words import text_steps
@@ -103,28 +103,26 @@ class Words:
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_chunks(self, chunks: list[str], together: int = 64) -> list[np.ndarray]:
+    def _encode_chunks(self, chunks: list[str], together: int = 64) -> tuple[np.ndarray, np.ndarray]:
         """Ids of every chunk; many go through the library in one call, a special token between them."""
         if self._separator is None:
-            return self._encode(chunks)
+            return flattened(self._encode(chunks))
         mark, content = self._separator
         lines = [chunks[i : i + together] for i in range(0, len(chunks), together)]
-        found = []
-        for line, ids in zip(lines, self._encode([content.join(line) for line in lines]), strict=True):
-            array = np.array(ids, np.int32)
-            parts = np.split(array, np.flatnonzero(array == mark))
-            parts = parts[:1] + [p[1:] for p in parts[1:]]
-            # A chunk that holds the special token itself makes one part too many.
-            found += parts if len(parts) == len(line) else self._encode(line)
-        return found
+        # The token ends every chunk here, the last of a line too.
+        encoded = self._encode([content.join(line) + content for line in lines])
+        if any(ids.count(mark) != len(line) for line, ids in zip(lines, encoded, strict=True)):
+            # A chunk holds the special token itself.
+            return flattened(self._encode(chunks))
+        _, flat = flattened(encoded)
+        ends = np.flatnonzero(flat == mark)
+        return np.diff(ends, prepend=-1) - 1, flat[flat != mark]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of every text, and the ids of all."""
         if self.splits:
             return self.table.ids([_CHUNK.findall(text) for text in texts])
-        encoded = self._encode(texts)
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        return lengths, np.fromiter((i for ids in encoded for i in ids), np.int32, int(lengths.sum()))
+        return flattened(self._encode(texts))
 
 
 # The normalizers and the pattern for which a text may be cut into words as above.
