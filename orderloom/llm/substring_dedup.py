@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import fresh, text_of
+from orderloom.llm.common import fresh, ranges, text_of
 from orderloom.llm.suffix import WordAutomaton, covered
-from orderloom.llm.words import Words, kept_texts, string_slices, window_owners, windows, words_of
+from orderloom.llm.words import Words, kept_texts, stretches, string_slices, window_owners, windows, words_of
 from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
 from orderloom.session import shared_dir
 from orderloom.sources.tables import written
@@ -28,8 +28,8 @@ WINDOW = 20
 ANCHOR = 8
 # Text whose windows one bucket holds on average, words of one reference shard, words streamed through a copy of it.
 BUCKET_BYTES = 4 << 20
-SHARD_WORDS = 100_000
-STREAM_WORDS = 1_000_000
+SHARD_WORDS = 50_000
+STREAM_WORDS = 300_000
 LEAST_BUCKETS = 256
 # Stands for a missing key: behind all others.
 LAST = (1 << 63) - 1
@@ -72,7 +72,7 @@ def _merged(columns: list[np.ndarray]) -> list[np.ndarray]:
 
 def _repeats(hashes: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Pieces that repeat the first window of their hash, and which windows are no repeats."""
-    order = np.argsort(hashes, kind="stable")
+    order = np.argsort(hashes)
     ordered = hashes[order]
     same = ordered[1:] == ordered[:-1]
     several = np.zeros(len(order), bool)
@@ -118,8 +118,9 @@ def _packed(ids: np.ndarray, words: Words, window: int, anchor: int, buckets: in
     doc, place = ids[owner], at - words.ends[owner]
     pieces, new = _repeats(hashes, doc, place)
     if len(pieces[0]):
+        # Repeats among these texts pass through the buckets' tasks as they are.
         data = [column.astype("<i8").tobytes() for column in pieces]
-        yield _row(-1, data[0], data[1], data[2], data[3] + data[4])
+        yield _row(-1 - int(pieces[0][0] % buckets), data[0], data[1], data[2], data[3] + data[4])
     at, doc, place, owner, least, smallest, hashes = (
         column[new] for column in (at, doc, place, owner, least, smallest, hashes)
     )
@@ -135,7 +136,7 @@ def _packed(ids: np.ndarray, words: Words, window: int, anchor: int, buckets: in
     bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-2))
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         runs = order[a:b]
-        places = _spread(heads[runs], sizes[runs])
+        places = ranges(heads[runs], sizes[runs])
         yield _row(
             int(bucket[runs[0]]),
             doc[heads[runs]].astype("<i8").tobytes(),
@@ -145,10 +146,6 @@ def _packed(ids: np.ndarray, words: Words, window: int, anchor: int, buckets: in
         )
 
 
-def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-
-
 def _row(bucket: int, docs: bytes, places: bytes, sizes: bytes, hashes: bytes) -> pa.RecordBatch:
     values = [[bucket], [docs], [places], [sizes], [hashes]]
     kinds = [pa.int64()] + [pa.binary()] * 4
@@ -165,24 +162,22 @@ def _pieces(columns: list[np.ndarray]) -> pa.Table:
 
 
 def _bucket_pieces(group: pa.Table) -> pa.Table:
-    """The repeats among all windows of one bucket."""
+    """The repeats among all windows of one bucket, or those that were found before."""
     rows = group.to_pylist()
+    if rows[0]["bucket"] < 0:
+        return pa.concat_tables(_own_pieces(row) for row in rows)
     doc = np.concatenate([np.frombuffer(r["docs"], "<i8") for r in rows])
     place = np.concatenate([np.frombuffer(r["places"], "<i4") for r in rows]).astype(np.int64)
     sizes = np.concatenate([np.frombuffer(r["sizes"], "u1") for r in rows]).astype(np.int64)
     hashes = np.concatenate([np.frombuffer(r["hashes"], "<u8") for r in rows])
-    inside = _spread(np.zeros(len(sizes), np.int64), sizes)
-    pieces, _ = _repeats(hashes, np.repeat(doc, sizes), np.repeat(place, sizes) + inside)
+    pieces, _ = _repeats(hashes, np.repeat(doc, sizes), ranges(place, sizes))
     return _pieces(pieces)
 
 
-def _own_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            own = row["hashes"]
-            columns = [np.frombuffer(x, "<i8") for x in (row["docs"], row["places"], row["sizes"])]
-            columns += [np.frombuffer(x, "<i8") for x in (own[: len(own) // 2], own[len(own) // 2 :])]
-            yield from _pieces(columns).to_batches()
+def _own_pieces(row: dict) -> pa.Table:
+    refs = np.frombuffer(row["hashes"], "<i8")
+    columns = [np.frombuffer(row[name], "<i8") for name in ("docs", "places", "sizes")]
+    return _pieces([*columns, refs[: len(refs) // 2], refs[len(refs) // 2 :]])
 
 
 def repeated_pieces(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, folder: str | None = None) -> DataFrame:
@@ -196,41 +191,43 @@ def repeated_pieces(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     sent = docs.select("doc", "text").mapInArrow(_packer(window, min(anchor, window), buckets), _PACKED)
-    sent = written(sent, f"{folder}/windows")
-    across = sent.filter("bucket >= 0").groupBy("bucket").applyInArrow(_bucket_pieces, _PIECE)
-    within = sent.filter("bucket < 0").mapInArrow(_own_pieces, _PIECE)
-    return written(across.unionAll(within), f"{folder}/pieces")
+    return written(sent.groupBy("bucket").applyInArrow(_bucket_pieces, _PIECE), f"{folder}/pieces")
 
 
 def _stretches(window: int):
-    """For each document with pieces: the merged pieces with the words they cover."""
+    """For documents with pieces: the merged pieces with the words they cover."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1)
-            pieces = batch.column(2).to_pylist()
-            for k, (doc, listed) in enumerate(zip(docs, pieces, strict=True)):
-                words = words_of(texts.slice(k, 1), hashed=False)
-                rows = sorted({(p["place"], p["size"], p["ref_doc"], p["ref_place"]) for p in listed})
-                place, size, ref_doc, ref_place = (np.array(c, np.int64) for c in zip(*rows, strict=True))
-                merged = _merged([np.zeros(len(rows), np.int64), place, size, ref_doc, ref_place])
-                spans = zip(*(column.tolist() for column in merged), strict=True)
-                table = [
-                    {
-                        "doc": doc,
-                        "place": at,
-                        "ref_doc": ref,
-                        "ref_place": ref_at,
-                        "size": n,
-                        "words": words.joined(at, at + n + window - 1),
-                    }
-                    for _, at, n, ref, ref_at in spans
-                ]
-                yield pa.RecordBatch.from_pylist(table, _STRETCH)
+            for i, j in string_slices(batch.column(1)):
+                yield _cut(batch.slice(i, j - i), window)
 
     return found
 
 
+def _cut(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
+    docs = batch.column(0).to_numpy(zero_copy_only=False)
+    words = words_of(batch.column(1), hashed=False)
+    counts = np.diff(batch.column(2).offsets.to_numpy()).astype(np.int64)
+    row = np.repeat(np.arange(len(docs)), counts)
+    place, size, ref_doc, ref_place = (
+        batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in range(2, 6)
+    )
+    order = np.lexsort((place, row))
+    row, place, size, ref_doc, ref_place = (column[order] for column in (row, place, size, ref_doc, ref_place))
+    # Rows that repeat a key have the same pieces more than once.
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1])
+    row, place, size, ref_doc, ref_place = _merged([c[new] for c in (row, place, size, ref_doc, ref_place)])
+    # Texts under one key may differ in length; a stretch ends with its own.
+    first = words.ends[row] + place
+    last = np.minimum(first + size + window - 1, words.ends[row + 1])
+    first = np.minimum(first, last)
+    columns = [docs[row], place, ref_doc, ref_place, size]
+    arrays = [pa.array(c.astype(np.int64)).cast(k.type) for c, k in zip(columns, _STRETCH, strict=False)]
+    return pa.RecordBatch.from_arrays([*arrays, stretches(words, first, last)], schema=_STRETCH)
+
+
 _STRETCH = pa.schema(
     [
         ("doc", pa.int64()),
@@ -273,25 +270,27 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, limit_bytes: int = BRO
     folder = shared_dir(spark, "substrings")
     pieces = repeated_pieces(docs, window, folder=folder)
     # A document's own pieces, bounded by its words.
-    listed = pieces.groupBy("doc").agg(F.collect_list(F.struct("place", "size", "ref_doc", "ref_place")).alias("pieces"))
+    listed = pieces.groupBy("doc").agg(
+        *[F.collect_list(name).alias(name) for name in ("place", "size", "ref_doc", "ref_place")]
+    )
     holders = broadcast_if_small(pieces.select("doc").distinct(), limit_bytes)
     texts = docs.select("doc", "text").join(holders, "doc", "left_semi")
     # Rows that repeat a key have the same places; each text has its own stretches there.
     schema = "doc long, place int, ref_doc long, ref_place int, size int, words string"
-    stretches = texts.join(listed, "doc").mapInArrow(_stretches(window), schema)
-    stretches = written(stretches, f"{folder}/candidates")
+    cut = texts.join(listed, "doc").mapInArrow(_stretches(window), schema)
+    found = written(cut, f"{folder}/candidates")
 
-    ranges = stretches.groupBy("ref_doc").agg(
+    extents = found.groupBy("ref_doc").agg(
         F.min("ref_place").alias("first"), F.max(F.col("ref_place") + F.col("size") + (window - 1)).alias("last")
     )
-    ranges = written(ranges, f"{folder}/ranges")
-    wanted = broadcast_if_small(ranges, limit_bytes)
-    total = ranges.agg(F.coalesce(F.sum(F.col("last") - F.col("first")), F.lit(0))).first()[0]
+    extents = written(extents, f"{folder}/extents")
+    wanted = broadcast_if_small(extents, limit_bytes)
+    total = extents.agg(F.coalesce(F.sum(F.col("last") - F.col("first")), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
     shard = F.pmod(F.xxhash64("ref_doc"), F.lit(shards).cast("long")).alias("shard")
     cut = docs.select(F.col("doc").alias("ref_doc"), "text").join(wanted, "ref_doc")
     references = cut.select(shard, _cut_words(F.col("text"), F.col("first"), F.col("last")).alias("words"))
-    candidates = stretches.select(shard, "doc", "place", "size", "words")
+    candidates = found.select(shard, "doc", "place", "size", "words")
     # A shard that many documents repeat is copied, and its candidates are dealt to the copies.
     loads = candidates.groupBy("shard").agg(F.sum(F.col("size").cast("long") + (window - 1)).alias("load"))
     copies = written(
@@ -313,13 +312,15 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, limit_bytes: int = BRO
 def _cut_words(text: Column, first: Column, last: Column) -> Column:
     def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, firsts, lasts in batches:
-            yield pa.array(
-                [
-                    words_of(texts.slice(k, 1), hashed=False).joined(a, b)
-                    for k, (a, b) in enumerate(zip(firsts.to_pylist(), lasts.to_pylist(), strict=True))
-                ],
-                pa.string(),
-            )
+            parts = []
+            for i, j in string_slices(texts):
+                words = words_of(texts.slice(i, j - i), hashed=False)
+                start, stop = (
+                    words.ends[:-1] + c.slice(i, j - i).to_numpy(zero_copy_only=False) for c in (firsts, lasts)
+                )
+                stop = np.minimum(stop, words.ends[1:])
+                parts.append(stretches(words, np.minimum(start, stop), stop))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return F.arrow_udf(cut, "string")(text, first, last)
 

@@ -12,7 +12,7 @@ from orderloom.llm.common import offsets_of, ranges
 
 # Bytes of text that one step inside a task handles at once, unless a single text has more.
 # Arrow batches are cut to it, so memory does not follow the long documents in a batch.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 # Words are what lies between these bytes, space and tab to carriage return. No
 # character of more bytes contains one of them.
@@ -69,12 +69,6 @@ class Words:
     ends: np.ndarray
     hashes: np.ndarray
 
-    def joined(self, first: int, last: int) -> str:
-        """The words from ``first`` up to ``last``, joined by one space."""
-        return b" ".join(
-            self.data[a:b].tobytes() for a, b in zip(self.starts[first:last], self.stops[first:last], strict=True)
-        ).decode()
-
 
 def string_slices(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of at most ``limit`` bytes, or of one longer text."""
@@ -87,7 +81,7 @@ def string_slices(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[in
         start = stop
 
 
-def text_steps(texts: pa.Array, limit: int = STEP_BYTES // 2) -> Iterator[list[str]]:
+def text_steps(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[list[str]]:
     """The texts as Python strings, a few at a time."""
     for i, j in string_slices(texts, limit):
         yield texts.slice(i, j - i).to_pylist()
@@ -151,17 +145,25 @@ def window_owners(ends: np.ndarray, size: int, n: int) -> tuple[np.ndarray, np.n
     return owner, np.arange(n) + size <= ends[owner + 1]
 
 
-def kept_texts(words: Words, kept: np.ndarray) -> pa.Array:
-    """The kept words of every text, joined by one space."""
-    chosen = np.flatnonzero(kept)
-    owner = np.searchsorted(words.ends, chosen, "right") - 1
-    first = np.ones(len(chosen), bool)
-    first[1:] = owner[1:] != owner[:-1]
+def joined(words: Words, chosen: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Texts of chosen words joined by one space: text ``i`` has ``chosen[bounds[i]:bounds[i + 1]]``."""
+    spaced = np.ones(len(chosen), bool)
+    spaced[bounds[:-1][bounds[:-1] < bounds[1:]]] = False
     # A word is copied behind a space unless it is the first of its text.
     sizes = words.stops[chosen] - words.starts[chosen]
-    places = offsets_of(sizes + ~first)
+    places = offsets_of(sizes + spaced)
     out = np.full(int(places[-1]), 0x20, np.uint8)
-    into = ranges(places[:-1] + ~first, sizes)
-    out[into] = words.data[ranges(words.starts[chosen], sizes)]
-    bounds = places[np.searchsorted(chosen, words.ends)].astype(np.int32)
-    return pa.StringArray.from_buffers(len(words.ends) - 1, pa.py_buffer(bounds.tobytes()), pa.py_buffer(out.tobytes()))
+    out[ranges(places[:-1] + spaced, sizes)] = words.data[ranges(words.starts[chosen], sizes)]
+    ends = places[bounds].astype(np.int32)
+    return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(ends.tobytes()), pa.py_buffer(out.tobytes()))
+
+
+def kept_texts(words: Words, kept: np.ndarray) -> pa.Array:
+    """The kept words of every text, joined by one space."""
+    chosen = np.flatnonzero(kept)
+    return joined(words, chosen, np.searchsorted(chosen, words.ends))
+
+
+def stretches(words: Words, first: np.ndarray, last: np.ndarray) -> pa.Array:
+    """The words from ``first[i]`` up to ``last[i]``, joined by one space."""
+    return joined(words, ranges(first, last - first), offsets_of(last - first))
