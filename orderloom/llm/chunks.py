@@ -10,8 +10,8 @@ import numpy as np
 from orderloom.llm.common import offsets_of, ranges
 
 # Entries of one table. A full one is emptied, which costs time and changes no
-# result; with the keys it takes some 60 MB. New chunks are worked on so many at a time.
-MOST_CHUNKS = 300_000
+# result; with the keys it takes some 40 MB. New chunks are worked on so many at a time.
+MOST_CHUNKS = 200_000
 LEARN_CHUNKS = 50_000
 
 

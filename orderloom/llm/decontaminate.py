@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import offsets_of, ranges, text_of
 from orderloom.llm.words import text_steps
+from orderloom.llm.worker import keep
 
 _WORD = re.compile(r"\w+")
 # A line end, or the end of a sentence, behind which the last part of an item is its answer.
@@ -232,28 +233,10 @@ _HITS = pa.list_(
     )
 )
 
-_INDEXES: dict[int, list[Index]] = {}
-
-
-def _indexes(sent) -> list[Index]:
-    """The worker's indexes for one broadcast benchmark, built once."""
-    if sent.id not in _INDEXES:
-        _INDEXES.clear()
-        shards, share = sent.value
-        _INDEXES[sent.id] = [Index(shard, share) for shard in shards]
-    return _INDEXES[sent.id]
-
-
-class _Sent:
-    """A broadcast value with a name that workers can tell it by."""
-
-    def __init__(self, spark, value):
-        self._broadcast = spark.sparkContext.broadcast(value)
-        self.id = hash(repr(value))
-
-    @property
-    def value(self):
-        return self._broadcast.value
+def _indexes(shards: list[list[tuple[int | None, str]]], share: float) -> list[Index]:
+    """The worker's indexes for one benchmark."""
+    key = ("indexes", share, tuple(map(tuple, shards)))
+    return keep(key, lambda: [Index(shard, share) for shard in shards])
 
 
 def with_leaks(
@@ -289,11 +272,11 @@ def with_leaks(
         raise ValueError(f"{size} bytes of test items are more than the {most_bytes} that may be broadcast")
     rows = sorted((tuple(row) for row in whole.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     shards = [rows[i : i + INDEX_ITEMS] for i in range(0, len(rows), INDEX_ITEMS)]
-    sent = _Sent(spark, (shards, share))
+    sent = spark.sparkContext.broadcast(shards)
 
     @F.arrow_udf(f"array<{_HIT}>")
     def leaks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        indexes = _indexes(sent)
+        indexes = _indexes(sent.value, share)
         for batch in batches:
             found: list[list[dict]] = []
             for texts in text_steps(batch):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator, Sequence
 
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.chunks import ChunkTable
 from orderloom.llm.common import text_of
 from orderloom.llm.words import text_steps
+from orderloom.llm.worker import keep
 
 UNKNOWN = "und"
 
@@ -112,9 +112,8 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total
 
 
-@functools.lru_cache(maxsize=1)
 def _parses(samples: tuple[tuple[str, str], ...]) -> Parses:
-    return Parses(samples)
+    return keep(("parses", samples), lambda: Parses(samples))
 
 
 def held_out(key: str = "doc_id") -> Column:

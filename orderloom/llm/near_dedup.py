@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from orderloom.llm import bagminhash, shingles
 from orderloom.llm.common import list_array, text_of
 from orderloom.llm.components import components
-from orderloom.llm.words import string_slices
+from orderloom.llm.words import kept_texts, string_slices, words_of
 from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
 from orderloom.session import shared_dir
 from orderloom.sources.tables import written
@@ -22,10 +23,22 @@ BANDS, ROWS = 30, 5
 SIMILARITY = 0.8
 
 
+def _content_keys(texts: pa.Array) -> pa.Array:
+    """MD5 of the words of every text, joined by one space; NULL without words."""
+    words = words_of(texts, hashed=False)
+    joined = kept_texts(words, np.ones(len(words.starts), bool))
+    return pa.array([hashlib.md5(t.encode()).digest() if t else None for t in joined.to_pylist()], pa.binary())
+
+
 def content_key(text: Column) -> Column:
     """16 bytes that texts with the same words in the same order share; NULL without words."""
-    words = F.btrim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
-    return F.when(words != "", F.unhex(F.md5(words)))
+
+    def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = [_content_keys(part) for (part,) in _parts(batch, most=len(batch))]
+            yield pa.concat_arrays(found) if found else pa.array([], pa.binary())
+
+    return F.arrow_udf(keys, "binary")(text)
 
 
 def _parts(first: pa.Array, *others: pa.Array, most: int) -> Iterator[list[pa.Array]]:
@@ -35,17 +48,21 @@ def _parts(first: pa.Array, *others: pa.Array, most: int) -> Iterator[list[pa.Ar
             yield [column.slice(k, min(most, j - k)) for column in (first, *others)]
 
 
-def _band_keys(bands: int, rows: int):
-    def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _signed(bands: int, rows: int):
+    """The content key of every text, and a hash for each band of its signature."""
+
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [np.zeros((0, bands), np.uint64)]
+            nodes, keys = [pa.array([], pa.binary())], [np.zeros((0, bands), np.uint64)]
             for (part,) in _parts(batch, most=shingles.MOST_TEXTS):
+                nodes.append(_content_keys(part))
                 signature = bagminhash.signatures(*shingles.shingle_bags(part), len(part), bands * rows)
-                found.append(bagminhash.band_keys(signature, rows))
-            flat = np.concatenate(found).view(np.int64).ravel()
-            yield list_array(np.full(len(batch), bands), flat, pa.int64())
+                keys.append(bagminhash.band_keys(signature, rows))
+            flat = np.concatenate(keys).view(np.int64).ravel()
+            lists = list_array(np.full(len(batch), bands), flat, pa.int64())
+            yield pa.StructArray.from_arrays([pa.concat_arrays(nodes), lists], names=["node", "bands"])
 
-    return F.arrow_udf(keys, "array<long>")
+    return F.arrow_udf(signed, "struct<node:binary,bands:array<long>>")
 
 
 def _similarities(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -111,8 +128,8 @@ def near_groups(
     spark = docs.sparkSession
     root = shared_dir(spark, "near-dedup")
     read = docs.select(F.col(f"`{key}`").cast("long").alias("id"), text_of(text).alias("text"))
-    read = read.withColumn("node", content_key(F.col("text"))).filter("node IS NOT NULL")
-    signed = read.select("id", "node", _band_keys(bands, rows)("text").alias("bands"))
+    signed = read.select("id", _signed(bands, rows)("text").alias("signed")).select("id", "signed.*")
+    signed = signed.filter("node IS NOT NULL")
     nodes = signed.groupBy("node").agg(
         F.first("bands").alias("bands"), F.min("id").alias("least"), F.count("*").alias("n")
     )
@@ -121,7 +138,8 @@ def near_groups(
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     few = broadcast_if_small(wanted, limit_bytes)
-    texts = read.select("node", "text").join(few, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    keyed = read.select(content_key(F.col("text")).alias("node"), "text")
+    texts = keyed.join(few, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     texts = written(texts, f"{root}/texts")
 
     likely = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select("best.a", "b")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.chunks import ChunkIds, flattened
 from orderloom.llm.common import list_array, offsets_of, ranges, text_of
 from orderloom.llm.words import text_steps
+from orderloom.llm.worker import keep
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
@@ -99,9 +99,8 @@ def _decoded(data: bytes) -> str | None:
     return text[1:] if text.startswith(" ") else text
 
 
-@functools.lru_cache(maxsize=2)
 def _pieces(model: bytes) -> Pieces:
-    return Pieces(model)
+    return keep(("pieces", model), lambda: Pieces(model))
 
 
 def read_model(path: str) -> bytes:

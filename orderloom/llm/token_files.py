@@ -9,7 +9,7 @@ Blocks follow each other in ascending ``doc_id`` order by ``(part, block)``.
 
 from __future__ import annotations
 
-import functools
+import json
 import os
 import re
 import zlib
@@ -27,6 +27,7 @@ from orderloom.llm.chunks import ChunkIds, flattened
 from orderloom.llm.common import offsets_of, text_of
 from orderloom.llm.eliasfano import EliasFano
 from orderloom.llm.words import text_steps
+from orderloom.llm.worker import keep
 
 # Ids of one block, unless a single document has more.
 BLOCK_IDS = 1 << 20
@@ -132,8 +133,6 @@ _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 def _word_by_word(spec: str) -> bool:
     """Whether the tokenizer drops white space and treats every word alone."""
-    import json
-
     found = json.loads(spec)
     steps_before = (found.get("normalizer") or {}).get("normalizers") or []
     splitters = (found.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -148,9 +147,8 @@ def _word_by_word(spec: str) -> bool:
     )
 
 
-@functools.lru_cache(maxsize=2)
 def _words(spec: bytes) -> Words:
-    return Words(spec)
+    return keep(("words", spec), lambda: Words(spec))
 
 
 def read_spec(path: str) -> bytes:
