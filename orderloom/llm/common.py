@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,16 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def visit(function: Callable, kind: str) -> Callable[..., Column]:
+    """A function over Arrow batches that is called once per row.
+
+    Filters on its result would otherwise be pushed below it with a second call
+    inside, in a second set of Python workers; Spark does not copy what it
+    takes for nondeterministic.
+    """
+    return F.arrow_udf(function, kind).asNondeterministic()
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indexes ``starts[i] .. starts[i] + lengths[i] - 1`` of all ranges, one after another."""
     total = int(lengths.sum())

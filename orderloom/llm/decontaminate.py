@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import offsets_of, ranges, text_of
+from orderloom.llm.common import offsets_of, ranges, text_of, visit
 from orderloom.llm.words import text_steps
 from orderloom.llm.worker import keep
 
@@ -274,7 +274,6 @@ def with_leaks(
     shards = [rows[i : i + INDEX_ITEMS] for i in range(0, len(rows), INDEX_ITEMS)]
     sent = spark.sparkContext.broadcast(shards)
 
-    @F.arrow_udf(f"array<{_HIT}>")
     def leaks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         indexes = _indexes(sent.value, share)
         for batch in batches:
@@ -284,7 +283,7 @@ def with_leaks(
                 found += [[hit for hits in parts for hit in hits] for parts in zip(*by_index, strict=True)]
             yield pa.array(found, _HITS)
 
-    return docs.withColumn(into, leaks(text_of(text)))
+    return docs.withColumn(into, visit(leaks, f"array<{_HIT}>")(text_of(text)))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

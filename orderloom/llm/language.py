@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.chunks import ChunkTable
-from orderloom.llm.common import text_of
+from orderloom.llm.common import text_of, visit
 from orderloom.llm.words import text_steps
 from orderloom.llm.worker import keep
 
@@ -183,7 +183,6 @@ def identify(
     """
     sent = docs.sparkSession.sparkContext.broadcast(samples)
 
-    @F.arrow_udf("lang_pred string, score double, rate double")
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parses = _parses(sent.value)
         for batch in batches:
@@ -193,7 +192,7 @@ def identify(
                 rows += [_best(parses.languages, p, n) for p, n in zip(phrases.tolist(), letters.tolist(), strict=True)]
             yield pa.array(rows, _RESULT)
 
-    return docs.withColumn(into, predicted(text_of(text)))
+    return docs.withColumn(into, visit(predicted, "lang_pred string, score double, rate double")(text_of(text)))
 
 
 def _best(languages: list[str], phrases: list[int], letters: int) -> dict:

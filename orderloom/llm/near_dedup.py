@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm import bagminhash, shingles
-from orderloom.llm.common import list_array, text_of
+from orderloom.llm.common import list_array, text_of, visit
 from orderloom.llm.components import components
-from orderloom.llm.words import kept_texts, string_slices, words_of
+from orderloom.llm.words import string_slices
 from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
 from orderloom.session import shared_dir
 from orderloom.sources.tables import written
@@ -25,9 +25,9 @@ SIMILARITY = 0.8
 
 def _content_keys(texts: pa.Array) -> pa.Array:
     """MD5 of the words of every text, joined by one space; NULL without words."""
-    words = words_of(texts, hashed=False)
-    joined = kept_texts(words, np.ones(len(words.starts), bool))
-    return pa.array([hashlib.md5(t.encode()).digest() if t else None for t in joined.to_pylist()], pa.binary())
+    # Of bytes, split() cuts at just the blanks that end a word.
+    found = (b" ".join(text.encode().split()) for text in texts.to_pylist())
+    return pa.array([hashlib.md5(words).digest() if words else None for words in found], pa.binary())
 
 
 def content_key(text: Column) -> Column:
@@ -38,7 +38,7 @@ def content_key(text: Column) -> Column:
             found = [_content_keys(part) for (part,) in _parts(batch, most=len(batch))]
             yield pa.concat_arrays(found) if found else pa.array([], pa.binary())
 
-    return F.arrow_udf(keys, "binary")(text)
+    return visit(keys, "binary")(text)
 
 
 def _parts(first: pa.Array, *others: pa.Array, most: int) -> Iterator[list[pa.Array]]:
@@ -62,7 +62,7 @@ def _signed(bands: int, rows: int):
             lists = list_array(np.full(len(batch), bands), flat, pa.int64())
             yield pa.StructArray.from_arrays([pa.concat_arrays(nodes), lists], names=["node", "bands"])
 
-    return F.arrow_udf(signed, "struct<node:binary,bands:array<long>>")
+    return visit(signed, "struct<node:binary,bands:array<long>>")
 
 
 def _similarities(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -99,7 +99,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    measured = both.select("a", "b", F.arrow_udf(_similarities, "double")("left", "right").alias("similarity"))
+    measured = both.select("a", "b", visit(_similarities, "double")("left", "right").alias("similarity"))
     return measured.filter(F.col("similarity") >= similarity).select("a", "b")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.chunks import ChunkIds, flattened
-from orderloom.llm.common import list_array, offsets_of, ranges, text_of
+from orderloom.llm.common import list_array, offsets_of, ranges, text_of, visit
 from orderloom.llm.words import text_steps
 from orderloom.llm.worker import keep
 
@@ -128,7 +128,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids")
             parts = [list_array(*pieces.encode(texts), pa.int32()) for texts in text_steps(batch)]
             yield _concat(parts, pa.list_(pa.int32()))
 
-    return docs.withColumn(into, F.arrow_udf(ids, "array<int>")(text_of(text)))
+    return docs.withColumn(into, visit(ids, "array<int>")(text_of(text)))
 
 
 def decode(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -152,7 +152,7 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded
             yield _concat(parts, pa.string())
 
     present = F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>"))
-    return docs.withColumn(into, F.arrow_udf(decoded, "string")(present))
+    return docs.withColumn(into, visit(decoded, "string")(present))
 
 
 def round_trip(docs: DataFrame, model: bytes, text: str = "text", into: str = "pieces") -> DataFrame:
@@ -173,7 +173,7 @@ def round_trip(docs: DataFrame, model: bytes, text: str = "text", into: str = "p
                 parts.append(pa.StructArray.from_arrays(columns, names=["ids", "decoded"]))
             yield _concat(parts, kind)
 
-    return docs.withColumn(into, F.arrow_udf(both, "struct<ids:array<int>,decoded:string>")(text_of(text)))
+    return docs.withColumn(into, visit(both, "struct<ids:array<int>,decoded:string>")(text_of(text)))
 
 
 def _concat(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import fresh, ranges, text_of
+from orderloom.llm.common import fresh, ranges, text_of, visit
 from orderloom.llm.suffix import WordAutomaton, covered
 from orderloom.llm.words import Words, kept_texts, stretches, string_slices, window_owners, windows, words_of
 from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
@@ -322,7 +322,7 @@ def _cut_words(text: Column, first: Column, last: Column) -> Column:
                 parts.append(stretches(words, np.minimum(start, stop), stop))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
-    return F.arrow_udf(cut, "string")(text, first, last)
+    return visit(cut, "string")(text, first, last)
 
 
 def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -383,7 +383,7 @@ def remove_repeats(
     ).join(listed, "doc", "left")
     whole = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
     left = rows.withColumn(
-        "left", F.arrow_udf(_without, "struct<text:string,n_words:long,n_removed:long>")(whole, F.col("spans"))
+        "left", visit(_without, "struct<text:string,n_words:long,n_removed:long>")(whole, F.col("spans"))
     )
     own = [F.col("left.text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
     return left.select(*own, F.col("left.n_words").alias(n_words), F.col("left.n_removed").alias(n_removed))
