@@ -1,0 +1,323 @@
+"""Every operator on whole tables: brute force, and rows that are empty, missing, long, tied or repeated."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import corpus_pipeline
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+import sentencepiece
+import tokenizers
+from pyspark.sql import functions as F
+
+from orderloom.llm import (
+    components,
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    language,
+    line_dedup,
+    near_dedup,
+    pieces,
+    queries,
+    substring_dedup,
+    token_files,
+    url_filter,
+)
+from orderloom.session import shared_dir
+
+SF = "/root/testdata/sf0.001"
+MODEL = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+SPEC = token_files.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ids string, left string, row string"
+LONG = " ".join(f"word{i}" for i in range(30_000))
+ROWS = [
+    (1, "the same text here " * 10, "en"),
+    (2, "the same text here " * 10, "en"),
+    (2, "the same text here " * 10, "en"),
+    (3, None, None),
+    (4, "", "en"),
+    (5, " \t\n\x0b ", "en"),
+    (None, "a row without a key", "en"),
+    (None, None, None),
+    (6, LONG, "en"),
+    (7, LONG + " end", "en"),
+    (8, "one", "en"),
+    (9, "12 34 !!", "de"),
+    (10, "日本語 テキスト", None),
+]
+
+
+@pytest.fixture(scope="module")
+def messy(spark):
+    rows = [(i, t, lang, f"s{k % 3}", k, "x", "y", "z") for k, (i, t, lang) in enumerate(ROWS)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return pq.read_table(f"{SF}/documents.parquet").to_pylist()
+
+
+def _bare(text):
+    return re.sub(r"[\x20\x09-\x0D]", "", text or "")
+
+
+def _sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_sentencepiece(spark, documents, messy):
+    library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    got = {r.doc_id: r for r in queries.op1_sentencepiece(spark, SF).collect()}
+    assert len(got) == len(documents)
+    for d in documents:
+        ids = library.encode(d["text"] or "")
+        assert got[d["doc_id"]][1:] == (len(ids), _sha(",".join(map(str, ids))), _sha(library.decode(ids)))
+    coded = pieces.encode(messy, MODEL)
+    assert coded.columns == messy.columns
+    for row in pieces.decode(coded, MODEL, into="left").collect():
+        assert row.ids == library.encode(row.text or "") and row.left == library.decode(row.ids)
+    assert pieces.round_trip(messy.limit(0), MODEL).count() == 0
+
+
+def test_token_files(spark, documents, messy):
+    library = tokenizers.Tokenizer.from_str(SPEC.decode())
+
+    def check(rows, got):
+        start = 0
+        encoded = [(k, library.encode(t or "", add_special_tokens=False).ids + [2]) for k, t in rows]
+        want = []
+        for k, ids in encoded:
+            want.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            start += len(ids)
+        assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+
+    check(sorted((d["doc_id"], d["text"]) for d in documents), queries.op8_token_files(spark, SF).collect())
+    folder = shared_dir(spark, "tokens")
+    # Ties have an order of their own, so only texts that differ by key are compared one by one.
+    single = messy.filter("doc_id > 2")
+    token_files.write(single, folder, SPEC, 2)
+    check(sorted((r.doc_id, r.text) for r in single.collect()), token_files.digests(spark, folder).collect())
+    assert token_files.read(spark, folder).filter("doc_id = 3").first().ids == [2]
+    token_files.write(messy, folder, SPEC, 2)
+    assert token_files.digests(spark, folder).count() == len(ROWS)
+    token_files.write(messy.limit(0), folder, SPEC, 2)
+    assert token_files.digests(spark, folder).count() == 0
+
+
+def _brute_substrings(rows):
+    tokens = [(k, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for k, t in rows]
+    first = {}
+    for k, w in tokens:
+        for p in range(len(w) - 19):
+            key = tuple(w[p : p + 20])
+            first[key] = min(first.get(key, (k, p)), (k, p))
+    found = []
+    for k, w in tokens:
+        keep = [True] * len(w)
+        for p in range(len(w) - 19):
+            if first[tuple(w[p : p + 20])] < (k, p):
+                keep[p : p + 20] = [False] * 20
+        found.append((k, len(w), len(w) - sum(keep), " ".join(x for x, y in zip(w, keep, strict=True) if y)))
+    return found
+
+
+def test_substring_dedup(spark, documents, messy):
+    want = {(k, n, r, _sha(t)) for k, n, r, t in _brute_substrings([(d["doc_id"], d["text"]) for d in documents])}
+    assert set(map(tuple, queries.op2_substring_dedup(spark, SF).collect())) == want
+    left = substring_dedup.remove_repeats(messy)
+    assert left.columns == [*messy.columns, "n_words", "n_removed"]
+    rows = [(r.doc_id if r.doc_id is not None else substring_dedup.LAST, r.n_words, r.n_removed, r.text) for r in left.collect()]
+    brute = _brute_substrings([(substring_dedup.LAST if k is None else k, t) for k, t, _ in ROWS])
+    assert Counter(rows) == Counter(brute)
+    looped = spark.createDataFrame([(1, "a b c " * 40), (2, "c a b " * 9)], "doc_id long, text string")
+    for limit in (0, 1 << 20):
+        got = substring_dedup.remove_repeats(looped, limit_bytes=limit).collect()
+        assert {(r.doc_id, r.n_words, r.n_removed, r.text) for r in got} == set(
+            _brute_substrings([(r.doc_id, r.text) for r in looped.collect()])
+        )
+    assert substring_dedup.remove_repeats(messy.limit(0)).count() == 0
+
+
+def _brute_groups(rows):
+    def bag(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        n = min(5, len(w))
+        return Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if n else Counter()
+
+    bags = [bag(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(bags):
+        for j in range(i):
+            b = bags[j]
+            if a and b and not a.isdisjoint(b) if isinstance(a, set) else a and b and a.keys() & b.keys():
+                if sum((a & b).values()) >= 0.8 * sum((a | b).values()):
+                    x, y = sorted((top(i), top(j)), key=lambda k: rows[k][0])
+                    parent[y] = x
+    return {rows[i][0]: rows[top(i)][0] for i in range(len(rows))}
+
+
+def test_near_dedup(spark, documents, messy):
+    want = _brute_groups([(d["doc_id"], d["text"]) for d in documents])
+    got = {r.doc_id: r.class_id for r in queries.op3_near_dedup(spark, SF).collect()}
+    assert got == want
+    found = {(r.doc_id, r.class_id, r.class_size, r.kept) for r in near_dedup.find_groups(messy, limit_bytes=0).collect()}
+    assert {(1, 1, 3, True), (2, 1, 3, False), (3, 3, 1, True), (6, 6, 2, True), (7, 6, 2, False)} <= found
+    left = near_dedup.remove_near_copies(messy)
+    assert left.columns == messy.columns
+    kept = [r.doc_id for r in left.collect()]
+    assert sorted(k for k in kept if k is not None) == [1, 3, 4, 5, 6, 8, 9, 10] and kept.count(None) == 2
+    twice = spark.createDataFrame([(None, "a b c d e f g"), (None, "a b c d e f g"), (3, "x"), (3, "x")], "doc_id long, text string")
+    assert near_dedup.remove_near_copies(twice).count() == 2
+    assert near_dedup.find_groups(messy.limit(0)).count() == 0
+
+
+def test_near_dedup_of_one_large_group(spark):
+    body = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(body[:k] + [f"new{i}"] + body[k + 1 :])) for i, k in enumerate(range(0, 200, 2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.class_id for r in near_dedup.find_groups(docs).collect()} == {0}
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (101, 102), (7, 7)]
+    found = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 104)}
+
+
+def test_exact_dedup(spark, messy):
+    rows = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(messy).collect()}
+    assert {(1, 1, 3, True), (2, 1, 3, False), (3, 5, 4, False), (5, 5, 4, True), (None, 5, 4, False)} <= rows
+    # A digest that many contents share changes nothing.
+    weak = exact_dedup.exact_groups(messy, digest=lambda c: F.lit("same"))
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(weak.collect(), key=key) == sorted(exact_dedup.exact_groups(messy).collect(), key=key)
+    assert exact_dedup.exact_groups(messy.limit(0)).count() == 0
+
+
+def test_url_filter(spark):
+    urls = [
+        None, "", "no scheme", "http://", "HTTP://Www.Example.COM/en/1?x#y", "https://a.example.com/en/", "x://example.com/en",
+        "http://sub.www.example.com/en/2", "http://b.net/es/1", "http://net/fr/", "http://c.net/de/1", "http://comx/", "a://b://c/d",
+        "http://spam-casino.example.org/en/1", "http://É.org?q/p", "http://notexample.com/en/", "http://x.org/\n/p",
+    ]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit("clash"))
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    got = {r.page_id: r for r in url_filter.judge(pages, queries.URL_RULES, model).collect()}
+    for k, url in enumerate(urls):
+        rest = (url or "").split("://", 1)[1] if "://" in (url or "") else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+        fits = [r for r in queries.URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fits, key=lambda r: len(r.text), default=None)
+        assert (got[k].host, got[k].path, got[k].rule) == (host, path, best and best.text), url
+        assert got[k].verdict == (best.verdict if best else ("block" if got[k].score >= 0.7 else "allow"))
+    assert got[13].verdict == "block" and got[0].verdict == "allow"
+    judged = queries.op5_url_filter(spark, SF)
+    hosts = {r.host for r in judged.filter("rule IS NULL AND verdict = 'block'").collect()}
+    assert not [h for h in hosts if "-" not in h]
+    assert url_filter.train(url_filter.labelled_urls(spark).filter("label = 0")).intercept < 0
+
+
+def test_line_dedup(spark, messy):
+    rows = [(i, f"line of all\nown {i}\n\n  line of all \t", f"s{i}") for i in range(5)]
+    rows += [(9, "line of all", None), (10, "line of all\nrare", "s1"), (11, None, "s2"), (11, None, "s2"), (12, "rare\nrare", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = line_dedup.line_report(docs, 4)
+    got = Counter(map(tuple, left.collect()))
+    want = Counter([(i, f"own {i}\n", 4, 2) for i in range(5)])
+    want += Counter([(9, "line of all", 1, 0), (10, "rare", 2, 1), (11, None, 1, 0), (11, None, 1, 0), (12, "rare\nrare", 2, 0)])
+    assert got == want
+    assert line_dedup.remove_spread_lines(messy, 2).columns == messy.columns
+    assert line_dedup.remove_spread_lines(messy, 2).count() == len(ROWS)
+    assert line_dedup.line_report(docs.limit(0), 4).count() == 0
+    # Sketches only settle lines far from the threshold.
+    many = spark.range(3000).selectExpr("id AS doc_id", "'everywhere\nelse ' || id AS text", "CAST(id AS string) AS source")
+    near = line_dedup.spread_lines(many, 3000).count(), line_dedup.spread_lines(many, 3001).count()
+    assert near == (1, 0)
+
+
+def test_decontamination(spark, messy):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = queries.op6_decontaminate(spark, SF)
+    hit = {r.doc_id for r in found.collect()}
+    assert hit and found.filter("overlap < 0.8").count() == 0
+    left = decontaminate.remove_leaking(docs, items)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {r.doc_id for r in docs.collect()} - hit
+    assert decontaminate.remove_leaking(messy, items).count() == len(ROWS)
+    assert decontaminate.find_leaks(messy, items.limit(0)).count() == 0
+    assert decontaminate.find_leaks(messy.limit(0), items).count() == 0
+    odd = spark.createDataFrame([(1, None), (None, "one"), (3, ""), (3, "the same text here")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(messy, odd).collect()} == {(1, 3), (2, 3), (8, None)}
+    with pytest.raises(ValueError):
+        decontaminate.find_leaks(docs, items, most_bytes=10)
+
+
+def test_html_extraction(spark):
+    frame = "<body><div class=top>Site name</div><div class=body><p>Text {0}</p><p>and more of it, {0}</p></div><div>All rights</div>"
+    rows = [(i, f"http://h.org/{i}", frame.format(i)) for i in range(12)] + [(50, None, None), (51, "x", ""), (52, "http://i.org/", "<p>a")]
+    pages = spark.createDataFrame(rows + rows[-1:], "page_id long, url string, html string")
+    got = sorted(map(tuple, html_extract.extract(pages).collect()), key=str)
+    want = [(i, f"http://h.org/{i}", f"Text {i}\n\nand more of it, {i}") for i in range(12)]
+    want = [(*r, len(r[2])) for r in want] + [(50, None, "", 0), (51, "x", "", 0)] + [(52, "http://i.org/", "a", 1)] * 2
+    assert got == sorted(want, key=str)
+    assert html_extract.extract(pages.limit(0)).count() == 0
+    for r, source in zip(
+        queries.op9_html_extract(spark, SF).orderBy("page_id").collect(),
+        spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").collect(),
+        strict=True,
+    ):
+        inside = re.search(r"<article>(.*?)(</article>|\Z)", source.html, re.S)[1]
+        parts = (" ".join(html_extract.markup.plain(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", inside))
+        assert r.text == "\n\n".join(p for p in parts if p)
+
+
+def test_language(spark, documents, messy):
+    got = {r.doc_id: r for r in queries.op10_language(spark, SF).collect()}
+    held = [d for d in documents if zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2]
+    assert {d["doc_id"] for d in held} == {k for k, r in got.items() if r.held_out}
+    assert np.mean([got[d["doc_id"]].lang_pred == d["lang"] for d in held]) > 0.95
+    assert all(0 <= r.score <= 1 for r in got.values())
+    samples = language.learn(spark.read.parquet(f"{SF}/documents.parquet"))
+    found = {r.doc_id: r.lang_pred for r in language.identify(messy, samples, into="row").selectExpr("doc_id", "row.*").collect()}
+    assert {found[k] for k in (3, 4, 5, 9)} == {"und"} and found[1] == "en"
+    assert language.learn(messy.limit(0)) == ()
+    assert {r.lang_pred for r in language.identify(messy, (), into="l").select("l.*").collect()} == {"und"}
+
+
+def test_pipeline_stages(spark, documents):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language_id", "line_dedup", "near_dedup", "decontamination", "sentencepiece"
+    ]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    done = corpus_pipeline.run(spark, SF).collect()
+    library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id: r.ids for r in done} == {k: library.encode(t) for k, t in texts.items()}
+    # One document of each group of copies is left, and no benchmark item.
+    assert len(set(_brute_groups(list(texts.items())).values())) == len(texts)
+
+
+def test_sql_of_the_queries(spark):
+    from comparison import differences
+
+    for name, sql in queries.oracle_sql().items():
+        assert not differences(queries.queries()[name](spark, SF), SF, sql)[0], name
+    assert duckdb.__version__
