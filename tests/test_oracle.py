@@ -13,10 +13,12 @@ ORACLE = contract.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    corpus = set(contract.CORPUS_QUERIES)
+    assert set(QUERIES) - corpus == set(ORACLE) - corpus
+    assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, name):
     problems, _ = differences(QUERIES[name](spark, SF_DIR), SF_DIR, ORACLE[name])
     assert not problems
