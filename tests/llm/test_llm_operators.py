@@ -321,3 +321,10 @@ def test_sql_of_the_queries(spark):
     for name, sql in queries.oracle_sql().items():
         assert not differences(queries.queries()[name](spark, SF), SF, sql)[0], name
     assert duckdb.__version__
+
+
+@pytest.mark.parametrize("name", ["op4_exact_dedup", "op5_url_filter", "op7_line_dedup"])
+def test_native_queries_need_no_python(spark, name, capsys):
+    queries.queries()[name](spark, SF).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Scan" in plan and not re.search("Python|Pandas|Arrow|Cartesian|BroadcastNestedLoop", plan)
