@@ -7,41 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from orderloom.operators.dedup import dedup_earliest
 from orderloom.sources.csv_files import CSV_OPTIONS, stamped
 
-_SALT = "_salt"
+BATCH = "batch"
 
 
-def stream_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """A folder of CSV files as a stream, read as the batch loader reads them."""
-    return spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(folder)
-
-
-def drop_retries(
-    stream: DataFrame,
-    key: str = "order_id",
-    arrival: str = "load_timestamp",
-    within: str = "1 hour",
-    salts: int = 16,
+def stream_csv(
+    spark: SparkSession, folder: str, schema: T.StructType, max_files: int | None = None, check_header: bool = True
 ) -> DataFrame:
-    """Drop repeats of a key that arrive within the given time of the first one seen.
+    """A folder of CSV files as a stream, read as the batch loader reads them.
 
-    Unlike the batch dedup this keeps the first row seen, not the earliest. The
-    watermark is on the arrival time: on the order date it would drop late
-    orders, which must be kept. Give a time longer than sources deliver out of
-    order, since rows further behind are dropped; ``finish`` fails when any were.
-
-    Streams have no combine step before the shuffle, so repeats are dropped
-    twice: first per key and random salt, which spreads a key that holds much of
-    a batch over ``salts`` tasks, then per key. State holds the keys of the given
-    time only; a repeat that comes later may be dropped or not, as with any watermark.
+    ``max_files`` bounds a micro-batch, so that a long backlog is loaded in many
+    steps and a failure repeats one of them. Renamed or moved columns fail.
     """
-    timed = stream.withColumn(arrival, F.col(arrival).cast("timestamp")).withWatermark(arrival, within)
-    if salts > 1:
-        salted = timed.withColumn(_SALT, F.floor(F.rand(seed=0) * salts))
-        timed = salted.dropDuplicatesWithinWatermark([key, _SALT]).drop(_SALT)
-    kept = timed.dropDuplicatesWithinWatermark([key])
-    return kept.withColumn(arrival, F.col(arrival).cast("timestamp_ntz"))
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", not check_header)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.csv(folder)
 
 
 def load_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -61,11 +44,38 @@ def load_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
+def load_without_retries(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "order_id", arrival: str = "load_timestamp"
+) -> StreamingQuery:
+    """Like :func:`load_available`, with each key landed once, however late its repeats are.
+
+    A micro-batch keeps the earliest row of every key, combined before the
+    shuffle, and then only keys that no earlier batch has landed. There is no
+    watermark, so no row is dropped for being late, and no state to outgrow
+    memory: what was seen is the landed table itself, of which the key column is read.
+    Every batch overwrites a folder of its own, so one that is repeated after a failure
+    lands once. Of repeats in different batches the one loaded first stays.
+    """
+    spark = stream.sparkSession
+    landed = stamped(stream).schema
+    spark.createDataFrame([], landed).write.mode("overwrite").parquet(f"{path}/{BATCH}=-1")
+    with_batch = T.StructType([*landed.fields, T.StructField(BATCH, T.LongType())])
+
+    def land(batch: DataFrame, number: int) -> None:
+        seen = batch.sparkSession.read.schema(with_batch).parquet(path).filter(F.col(BATCH) < number)
+        seen = seen.select(F.col(key).alias("_seen"))
+        first = dedup_earliest(batch, [key], arrival)
+        new = first.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+        stamped(new).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+
+    return (
+        stream.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def finish(query: StreamingQuery) -> None:
-    """Wait for a load to end; fail if the watermark dropped rows, so that none go unnoticed."""
+    """Wait for a load to end, and fail if it failed."""
     query.awaitTermination()
-    dropped = sum(
-        state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"]
-    )
-    if dropped:
-        raise RuntimeError(f"{dropped} rows arrived behind the watermark and were dropped; allow more time")
