@@ -340,9 +340,11 @@ FROM segments GROUP BY GROUPING SETS ((region), (category), ())""",
         "top_bottom_performers": _performers(),
         "top_categories_by_region": f"{_top(2)} SELECT region, category, revenue::DOUBLE AS total_revenue, rank FROM top",
         "consistent_top_categories": f"""{_top(4)}
-SELECT category FROM top GROUP BY category HAVING count(*) = (SELECT count(DISTINCT region) FROM top)""",
+SELECT category FROM top GROUP BY category HAVING count(*) = (SELECT count(*) FROM (SELECT DISTINCT region FROM top))""",
         "csv_load": f"WITH {_RAW_ORDERS} SELECT {raw_columns} FROM orders_raw",
         "published_monthly_kpis": f"{_FACTS} {_monthly()}",
+        "csv_reconciliation": f"""WITH {_RAW_ORDERS}
+SELECT 'orders_raw' AS table_name, count(*) AS expected_rows, count(*) AS actual_rows, 'OK' AS status FROM orders_raw""",
         "stream_raw_load": f"WITH {_RAW_ORDERS} SELECT {raw_columns} FROM orders_raw",
         "stream_retry_dedup": f"WITH {_RAW_ORDERS} SELECT DISTINCT order_id, customer_id, product_id, quantity, order_date, source_system FROM orders_raw",
     }

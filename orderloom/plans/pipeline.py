@@ -73,9 +73,13 @@ def run_pipeline(
     run_id: str,
     limit_bytes: int = BROADCAST_LIMIT,
     on_stage: Callable[[str], None] = lambda stage: None,
+    delivered: Mapping[str, int] | None = None,
 ) -> Run:
     """Run all stages over ``feeds`` and publish under ``root``, a folder all executors share.
 
+    ``delivered`` has the rows that the sources hold, by table, as a manifest or
+    ``csv_files.delivered_rows`` counts them; a load that lands others stops the run.
+
     Every attempt writes to a folder of its own, also when a ``run_id`` is used
     again, so what readers see is never overwritten. Folders of replaced and
     failed attempts stay until they are removed.
@@ -87,7 +91,7 @@ def run_pipeline(
         return written(df, run.tables[table], partition_by)
 
     on_stage("load")
-    raw = _load(spark, feeds, run)
+    raw = _load(spark, feeds, run, delivered or {})
 
     orders = next(load.actual for load in run.loads if load.table == "orders_raw")
     with sized_shuffles(spark, orders):
@@ -154,7 +158,9 @@ def _build(
     stored("marts", "revenue_trends", revenue_trends(fact))
 
 
-def _load(spark: SparkSession, feeds: Mapping[str, DataFrame], run: Run) -> dict[str, DataFrame]:
+def _load(
+    spark: SparkSession, feeds: Mapping[str, DataFrame], run: Run, delivered: Mapping[str, int]
+) -> dict[str, DataFrame]:
     """Land every feed in the raw layer and compare row counts."""
     raw = {}
     for table, declared in RAW.items():
@@ -163,7 +169,7 @@ def _load(spark: SparkSession, feeds: Mapping[str, DataFrame], run: Run) -> dict
             raise PipelineStopped("load", [f"{table}: {line}" for line in drift])
         path = f"{run.folder}/raw/{table}"
         feed = stamped(feeds[table])
-        run.loads.append(load_table(feed, table, path))
+        run.loads.append(load_table(feed, table, path, delivered.get(table)))
         run.tables[table] = path
         raw[table] = spark.read.schema(feed.schema).parquet(path)
     wrong = [

@@ -85,9 +85,13 @@ def region_category_heatmap(segments: DataFrame, categories: Sequence[str] | Non
     """Revenue by region (rows) and category (columns).
 
     Naming the categories fixes the columns and saves the job that finds them;
-    without them every category in the data gets a column.
+    all others, and segments without one, then add up in the column ``others``.
+    Without them every category in the data gets a column.
     """
-    cells = segments.groupBy("region").pivot("category", list(categories) if categories else None)
+    if not categories:
+        return segments.groupBy("region").pivot("category").agg(F.sum("total_revenue"))
+    known = F.when(F.col("category").isin(*categories), F.col("category")).otherwise("others")
+    cells = segments.withColumn("category", known).groupBy("region").pivot("category", [*categories, "others"])
     return cells.agg(F.sum("total_revenue"))
 
 
@@ -148,8 +152,9 @@ def top_categories_by_region(segments: DataFrame, n: int = 2) -> DataFrame:
 
 
 def consistent_top_categories(segments: DataFrame, n: int = 2) -> DataFrame:
-    """Categories among the top ``n`` of every region."""
+    """Categories among the top ``n`` of every region. Orders without a region count as one more region."""
     top = top_categories_by_region(segments, n)
-    regions = top.agg(F.count_distinct("region")).scalar()
+    # A struct is never NULL, so a missing region is counted like any other.
+    regions = top.agg(F.count_distinct(F.struct("region"))).scalar()
     counted = top.groupBy("category").agg(F.count("*").alias("regions"))
     return counted.filter(F.col("regions") == regions).select("category")

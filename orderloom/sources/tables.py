@@ -35,16 +35,18 @@ def written(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def load_table(df: DataFrame, table: str, path: str) -> Load:
+def load_table(df: DataFrame, table: str, path: str, delivered: int | None = None) -> Load:
     """Write ``df`` and count it on the way, so the input is read once.
 
-    The count is taken in the writing stage itself, whose tasks count once even
+    ``delivered`` is the number of rows the source says it holds; without it
+    the rows handed to the writer are expected. Their count is taken in the writing stage itself, whose tasks count once even
     when they are repeated after a lost executor.
     """
     counter = Observation(f"rows of {table}")
     write_table(df.observe(counter, F.count(F.lit(1)).alias("rows")), path)
     actual = df.sparkSession.read.schema(df.schema).parquet(path).count()
-    return Load(table, path, counter.get["rows"], actual)
+    expected = counter.get["rows"] if delivered is None else delivered
+    return Load(table, path, expected, actual)
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

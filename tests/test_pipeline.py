@@ -1,6 +1,7 @@
 import pytest
 from frames import CUSTOMER, PRODUCT, order, raw_customers, raw_orders, raw_products
 
+from orderloom.sources.csv_files import delivered_rows, read_csv
 from orderloom.plans import marts, pipeline, trends
 from orderloom.schemas import LOADED_AT, RAW
 from orderloom.session import MOST_PARTITIONS, sized_shuffles
@@ -113,16 +114,16 @@ def test_drifted_feed_stops_the_load(spark, tmp_path):
         pipeline.run_pipeline(spark, feeds, str(tmp_path), "r1")
 
 
-def test_short_load_stops_the_run(spark, tmp_path, monkeypatch):
-    real = pipeline.load_table
-
-    def loses_a_row(df, table, path):
-        load = real(df, table, path)
-        return type(load)(table, path, load.expected + 1, load.actual)
-
-    monkeypatch.setattr(pipeline, "load_table", loses_a_row)
-    with pytest.raises(pipeline.PipelineStopped, match="expected 2 rows, table has 1"):
-        pipeline.run_pipeline(spark, feeds_of(spark, order("1")), str(tmp_path), "r1")
+def test_short_load_stops_the_run(spark, tmp_path):
+    """A delivered line that the reader leaves out is a row too few."""
+    header = ",".join(RAW["products"].names)
+    path = tmp_path / "products.csv"
+    path.write_text(f"{header}\np1,Lamp,Home,4.10,10.25\n\np2,Desk,Home,4.10,10.25\n")
+    feeds = feeds_of(spark, order("1")) | {"products": read_csv(spark, str(path), RAW["products"])}
+    delivered = {"products": delivered_rows(spark, str(path)), "orders_raw": 1}
+    assert delivered["products"] == 3
+    with pytest.raises(pipeline.PipelineStopped, match="products: expected 3 rows, table has 2"):
+        pipeline.run_pipeline(spark, feeds, str(tmp_path / "out"), "r1", delivered=delivered)
 
 
 def test_feeds_cover_the_declared_tables(spark, feeds):

@@ -46,7 +46,8 @@ def test_margin_vs_revenue(segments):
 
 def test_heatmap_with_and_without_named_columns(segments):
     named = reports.region_category_heatmap(segments, ["books", "toys"])
-    assert named.columns == ["region", "books", "toys"]
+    assert named.columns == ["region", "books", "toys", "others"]
+    assert {r.region: r.others for r in named.collect()} == {"east": None, "west": dec("10.00")}
     found = reports.region_category_heatmap(segments)
     assert found.columns == ["region", "books", "games", "toys"]
     assert {r.region: (r.books, r.games, r.toys) for r in found.collect()} == {
@@ -95,6 +96,13 @@ def test_top_categories(segments):
     assert reports.consistent_top_categories(segments.filter("category <> 'books'"), 2).count() == 0
 
 
+def test_orders_without_a_region_are_a_region_of_their_own(spark):
+    cells = [("R1", "A", 9), ("R1", "B", 5), ("R2", "A", 9), ("R2", "B", 5), (None, "A", 9), (None, "C", 5)]
+    segments = spark.createDataFrame(cells, "region string, category string, total_revenue long")
+    assert [r.category for r in reports.consistent_top_categories(segments, 1).collect()] == ["A"]
+    assert [r.category for r in reports.consistent_top_categories(segments, 2).collect()] == ["A"]
+
+
 def test_reports_reduce_before_they_expand(segments):
     """Grouping sets must multiply segments, not orders: Expand lies above an aggregate."""
     plan = reports.kpi_breakdowns(segments)._jdf.queryExecution().executedPlan().toString()
