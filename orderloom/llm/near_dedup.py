@@ -22,6 +22,11 @@ from orderloom.sources.tables import written
 BANDS, ROWS = 30, 5
 SIMILARITY = 0.8
 
+# Up to so many members outside its largest group, a bucket's pairs left are taken
+# from it; with more, its members are first divided by a further band, so often.
+OUTSIDERS = 4
+DIVISIONS = 1
+
 
 def _content_keys(texts: pa.Array) -> pa.Array:
     """MD5 of the words of every text, joined by one space; NULL without words."""
@@ -72,28 +77,65 @@ def _similarities(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.A
         yield pa.array(np.concatenate([np.zeros(0), *found]))
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of nodes that share a band, with the number of bands, ``shared``.
+def buckets(nodes: DataFrame) -> DataFrame:
+    """``band, node, n``: the bands of ``nodes`` (``node, bands``) that more than one node has, ``n`` of them."""
+    members = nodes.select("node", F.posexplode("bands").alias("last", "band"))
+    return _crowded(members)
+
+
+def _crowded(members: DataFrame) -> DataFrame:
+    crowded = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    return members.join(crowded, "band")
 
-    ``nodes`` has ``node, bands``. In every bucket the members are paired with
-    two of them only, the first and the last in an order of the bucket's own,
-    so that no bucket gives more than two pairs per member; groups form over
-    the many buckets that near copies share. Buckets are combined before they are
-    dealt, and joins to their members split hot ones at run time.
+
+def candidates(shared: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of nodes in one bucket, with the number of buckets, ``shared``.
+
+    In every bucket the members are paired with two of them only, the first and
+    the last in an order of the bucket's own, so that no bucket gives more than
+    two pairs per member; groups form over the many buckets that near copies
+    share. Buckets are combined before they are dealt, and joins to their
+    members split hot ones at run time. What two partners may miss in buckets
+    of more than three members, :func:`open_buckets` finds.
     """
-    spark = nodes.sparkSession
-    members = nodes.select("node", F.explode("bands").alias("band"))
-    crowded = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    shared = written(members.join(crowded, "band", "left_semi"), shared_dir(spark, "near-buckets"))
     ranked = F.struct(F.xxhash64("band", "node").alias("place"), "node")
     ends = shared.groupBy("band").agg(F.min(ranked).alias("first"), F.max(ranked).alias("last"))
-    paired = shared.join(ends, "band").select(
+    paired = shared.select("band", "node").join(ends, "band").select(
         "node", F.explode(F.array("first.node", "last.node")).alias("other")
     )
     pairs = paired.filter("node != other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
+def open_buckets(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of buckets in which pairs of different groups may be left: ``band, last, node, outsiders``.
+
+    ``outsiders`` has the members outside the bucket's largest group where these
+    are few: every pair left has one of them. Elsewhere it is NULL. Members
+    combine by group before a bucket's groups meet.
+    """
+    large = shared.filter("n > 3").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = large.groupBy("band", "root").agg(F.count("*").alias("members"))
+    largest = sizes.groupBy("band").agg(
+        F.max(F.struct("members", "root")).alias("main"), F.sum("members").alias("members")
+    )
+    outside = F.col("members") - F.col("main.members")
+    largest = largest.filter(outside > 0).select("band", F.col("main.root").alias("main"), outside.alias("outside"))
+    placed = large.join(largest, "band")
+    few = placed.filter(f"outside <= {OUTSIDERS} AND root != main")
+    outsiders = few.groupBy("band").agg(F.collect_list("node").alias("outsiders"))
+    return placed.select("band", "last", "node").join(outsiders, "band", "left")
+
+
+def narrower(opened: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The buckets of members that share one band more than those of ``opened``; later bands only, so each set once."""
+    wide = opened.filter("outsiders IS NULL").select("node", "last", F.col("band").alias("wide"))
+    further = wide.join(nodes, "node").select(
+        "node", F.col("last").alias("before"), "wide", F.posexplode("bands").alias("last", "one")
+    )
+    return _crowded(further.filter("last > before").select("node", "last", F.xxhash64("wide", "one").alias("band")))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose texts (``node, text``) have that similarity or more."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
@@ -121,9 +163,11 @@ def near_groups(
     thousands of copies are signed as such and meet as one row. Texts without
     words belong to no group, and rows without a key have no say in ``class_id``.
 
-    Every candidate pair is either verified on the whole texts or lies within
-    a group already: first each content is held against its likeliest partner,
-    then all pairs that still join different groups.
+    First each content is held against its likeliest partner, then all pairs that
+    still join different groups are verified on the whole texts. Buckets that
+    then hold several groups (texts that share much, but less than
+    ``similarity``) are divided by one more shared band at a time, and pairs of
+    different groups are taken anew, until none is left.
     """
     spark = docs.sparkSession
     root = shared_dir(spark, "near-dedup")
@@ -134,7 +178,8 @@ def near_groups(
         F.first("bands").alias("bands"), F.min("id").alias("least"), F.count("*").alias("n")
     )
     nodes = written(nodes, f"{root}/nodes")
-    pairs = written(candidates(nodes.select("node", "bands")), f"{root}/pairs")
+    shared = written(buckets(nodes), f"{root}/buckets")
+    pairs = written(candidates(shared), f"{root}/pairs")
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     few = broadcast_if_small(wanted, limit_bytes)
@@ -145,16 +190,22 @@ def near_groups(
     likely = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select("best.a", "b")
     links = written(verified(likely, texts, similarity), f"{root}/links")
     groups = written(components(links), f"{root}/groups")
-    # Pairs within one group add nothing; all others are verified.
-    at_a = groups.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    at_b = groups.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    open_ = pairs.join(likely, ["a", "b"], "left_anti").join(at_a, "a", "left").join(at_b, "b", "left").filter(apart)
-    more = written(verified(open_.select("a", "b"), texts, similarity), f"{root}/more-links")
-    if not more.isEmpty():
-        # Groups are stars around their roots, so their links need not be gone through again.
-        stars = groups.filter("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-        groups = written(components(stars.unionAll(more)), f"{root}/all-groups")
+    tried = likely
+    for level in range(1, DIVISIONS + 2):
+        # Pairs within one group add nothing; all others are verified.
+        left = _apart(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), groups)
+        groups = _linked(groups, written(verified(left, texts, similarity), f"{root}/links-{level}"), f"{root}/groups-{level}")
+        tried = tried.unionAll(pairs.select("a", "b"))
+        if level > DIVISIONS:
+            break
+        opened = written(open_buckets(shared, groups), f"{root}/open-{level}")
+        if opened.isEmpty():
+            break
+        shared = written(narrower(opened, nodes.select("node", "bands")), f"{root}/buckets-{level}")
+        few = opened.select(F.col("node").alias("x"), F.explode("outsiders").alias("y")).filter("x != y")
+        few = few.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        pairs = candidates(shared).select("a", "b").unionAll(few).distinct()
+        pairs = written(_apart(pairs, groups), f"{root}/pairs-{level}")
 
     placed = nodes.select("node", "least", "n").join(groups, "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
@@ -163,6 +214,22 @@ def near_groups(
     return placed.join(classes, "root").select("node", "class_id", "class_size")
 
 
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose nodes are in different groups."""
+    at_a = groups.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    at_b = groups.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    return pairs.join(at_a, "a", "left").join(at_b, "b", "left").filter(apart).select("a", "b")
+
+
+def _linked(groups: DataFrame, links: DataFrame, path: str) -> DataFrame:
+    """The groups after more links. Groups are stars around their roots, so their own links need not be gone through again."""
+    if links.isEmpty():
+        return groups
+    stars = groups.filter("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    return written(components(stars.unionAll(links)), path)
+
+
 def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: ``doc_id, class_id, class_size, kept``.
 

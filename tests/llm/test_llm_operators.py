@@ -1,6 +1,7 @@
 """Every operator on whole tables: brute force, and rows that are empty, missing, long, tied or repeated."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -191,6 +192,24 @@ def test_near_dedup_of_one_large_group(spark):
     assert {r.class_id for r in near_dedup.find_groups(docs).collect()} == {0}
 
 
+def test_near_dedup_in_a_family_of_related_texts(spark):
+    """Texts made from one template share most buckets, but only every second pair is similar enough."""
+    draw = random.Random(7)
+
+    def edited(words, tag):
+        words = list(words)
+        for at in draw.sample(range(len(words)), 9):
+            words[at] = f"{tag}x{at}"
+        return words
+
+    rows = []
+    for i in range(0, 300, 2):
+        parent = edited([f"w{k}" for k in range(500)], f"p{i}")
+        rows += [(i, " ".join(parent)), (i + 1, " ".join(edited(parent, f"c{i}")))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.class_id for r in near_dedup.find_groups(docs).collect()} == _brute_groups(rows)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (101, 102), (7, 7)]
     found = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
