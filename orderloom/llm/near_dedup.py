@@ -23,9 +23,8 @@ BANDS, ROWS = 30, 5
 SIMILARITY = 0.8
 
 # Up to so many members outside its largest group, a bucket's pairs left are taken
-# from it; with more, its members are first divided by a further band, so often.
+# from it; with more, its members are first divided by a further band.
 OUTSIDERS = 4
-DIVISIONS = 1
 
 
 def _content_keys(texts: pa.Array) -> pa.Array:
@@ -96,7 +95,7 @@ def candidates(shared: DataFrame) -> DataFrame:
     two pairs per member; groups form over the many buckets that near copies
     share. Buckets are combined before they are dealt, and joins to their
     members split hot ones at run time. What two partners may miss in buckets
-    of more than three members, :func:`open_buckets` finds.
+    of more than three members, :func:`mixed_buckets` leads to.
     """
     ranked = F.struct(F.xxhash64("band", "node").alias("place"), "node")
     ends = shared.groupBy("band").agg(F.min(ranked).alias("first"), F.max(ranked).alias("last"))
@@ -107,29 +106,53 @@ def candidates(shared: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
-def open_buckets(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of buckets in which pairs of different groups may be left: ``band, last, node, outsiders``.
+def mixed_buckets(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of buckets that hold several groups: ``band, last, node, root, main, outside``.
 
-    ``outsiders`` has the members outside the bucket's largest group where these
-    are few: every pair left has one of them. Elsewhere it is NULL. Members
-    combine by group before a bucket's groups meet.
+    ``main`` is the bucket's largest group and ``outside`` the number of members
+    in others. Members combine by group before a bucket's groups meet.
     """
-    large = shared.filter("n > 3").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = large.groupBy("band", "root").agg(F.count("*").alias("members"))
+    placed = shared.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("band").agg(
         F.max(F.struct("members", "root")).alias("main"), F.sum("members").alias("members")
     )
-    outside = F.col("members") - F.col("main.members")
-    largest = largest.filter(outside > 0).select("band", F.col("main.root").alias("main"), outside.alias("outside"))
-    placed = large.join(largest, "band")
-    few = placed.filter(f"outside <= {OUTSIDERS} AND root != main")
-    outsiders = few.groupBy("band").agg(F.collect_list("node").alias("outsiders"))
-    return placed.select("band", "last", "node").join(outsiders, "band", "left")
+    largest = largest.select(
+        "band", F.col("main.root").alias("main"), (F.col("members") - F.col("main.members")).alias("outside")
+    )
+    return placed.join(largest.filter("outside > 0"), "band").select("band", "last", "node", "root", "main", "outside")
+
+
+def _pairs_across(members: DataFrame, others: DataFrame) -> DataFrame:
+    """Every member with those of its bucket's ``others`` (``band``, an array ``others``) that are of another group."""
+    met = members.join(others, "band").select("node", "root", F.explode("others").alias("other"))
+    met = met.filter("root != other.root").select("node", "other.node")
+    return met.toDF("x", "y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def cross_candidates(mixed: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of different groups: each member with the first of the main group and the first of the others."""
+    ranked = F.struct(F.xxhash64("band", "node").alias("place"), "node", "root")
+    hubs = mixed.groupBy("band").agg(
+        F.min(F.when(F.col("root") == F.col("main"), ranked)).alias("own"),
+        F.min(F.when(F.col("root") != F.col("main"), ranked)).alias("outer"),
+    )
+    return _pairs_across(mixed, hubs.select("band", F.array("own", "outer").alias("others")))
+
+
+def outsider_pairs(mixed: DataFrame) -> DataFrame:
+    """All pairs ``a, b`` of different groups in buckets with at most ``OUTSIDERS`` members outside the main group."""
+    few = mixed.filter(f"outside <= {OUTSIDERS}")
+    outer = few.filter("root != main").groupBy("band").agg(F.collect_list(F.struct("node", "root")).alias("others"))
+    return _pairs_across(few, outer)
 
 
-def narrower(opened: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The buckets of members that share one band more than those of ``opened``; later bands only, so each set once."""
-    wide = opened.filter("outsiders IS NULL").select("node", "last", F.col("band").alias("wide"))
+def narrower(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The buckets of members that share one band more than those of ``mixed``; later bands only, so each set once.
+
+    Buckets that :func:`outsider_pairs` covers are left out.
+    """
+    wide = mixed.filter(f"outside > {OUTSIDERS}").select("node", "last", F.col("band").alias("wide"))
     further = wide.join(nodes, "node").select(
         "node", F.col("last").alias("before"), "wide", F.posexplode("bands").alias("last", "one")
     )
@@ -190,22 +213,18 @@ def near_groups(
     likely = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select("best.a", "b")
     links = written(verified(likely, texts, similarity), f"{root}/links")
     groups = written(components(links), f"{root}/groups")
-    tried = likely
-    for level in range(1, DIVISIONS + 2):
-        # Pairs within one group add nothing; all others are verified.
-        left = _apart(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), groups)
-        groups = _linked(groups, written(verified(left, texts, similarity), f"{root}/links-{level}"), f"{root}/groups-{level}")
-        tried = tried.unionAll(pairs.select("a", "b"))
-        if level > DIVISIONS:
-            break
-        opened = written(open_buckets(shared, groups), f"{root}/open-{level}")
-        if opened.isEmpty():
-            break
-        shared = written(narrower(opened, nodes.select("node", "bands")), f"{root}/buckets-{level}")
-        few = opened.select(F.col("node").alias("x"), F.explode("outsiders").alias("y")).filter("x != y")
-        few = few.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        pairs = candidates(shared).select("a", "b").unionAll(few).distinct()
-        pairs = written(_apart(pairs, groups), f"{root}/pairs-{level}")
+    # Pairs within one group add nothing; all others are verified.
+    left = _apart(pairs.select("a", "b").join(likely, ["a", "b"], "left_anti"), groups)
+    groups = _linked(groups, written(verified(left, texts, similarity), f"{root}/more-links"), f"{root}/more-groups")
+
+    # Two partners may miss links in buckets of more than three members that still hold several groups.
+    mixed = written(mixed_buckets(shared.filter("n > 3"), groups), f"{root}/mixed")
+    if not mixed.isEmpty():
+        inner = written(narrower(mixed, nodes.select("node", "bands")), f"{root}/inner-buckets")
+        crossed = outsider_pairs(mixed).unionAll(cross_candidates(mixed_buckets(inner, groups))).distinct()
+        crossed = crossed.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+        links = written(verified(crossed, texts, similarity), f"{root}/cross-links")
+        groups = _linked(groups, links, f"{root}/all-groups")
 
     placed = nodes.select("node", "least", "n").join(groups, "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
