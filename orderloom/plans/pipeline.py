@@ -148,7 +148,7 @@ def _build(
     stored("marts", "orphan_audit", quality.orphan_audit(validated))
 
     on_stage("tests")
-    tests = quality.run_tests(written_models(validated, customers, products, fact))
+    tests = quality.run_tests(written_models(validated, customers, products, fact), limit_bytes)
     run.tests = stored("marts", "test_results", tests.coalesce(1)).collect()
     _require_passed(run.tests)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.dates import month_of
 from orderloom.operators import checks
+from orderloom.operators.lookup import BROADCAST_LIMIT
 
 
 def orphan_audit(validated: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ RELATIONSHIPS = [
 ]
 
 
-def run_tests(models: Mapping[str, DataFrame]) -> DataFrame:
+def run_tests(models: Mapping[str, DataFrame], limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
     """All declared tests as ``table_name, test, column_name, failures``, 17 rows.
 
     Unique and not-null on the same key share one grouping. Give it written
@@ -84,7 +85,8 @@ def run_tests(models: Mapping[str, DataFrame]) -> DataFrame:
             counts.select(F.lit(table).alias("table_name"), "column_name", F.lit("not_null").alias("test"), "failures")
         )
     for rule in RELATIONSHIPS:
-        failing = checks.relationships(models[rule.table], rule.column, models[rule.parent], rule.parent_column)
+        parent = models[rule.parent]
+        failing = checks.relationships(models[rule.table], rule.column, parent, rule.parent_column, limit_bytes)
         parts.append(
             failing.agg(F.count("*").alias("failures")).select(
                 F.lit(rule.table).alias("table_name"),

@@ -64,6 +64,14 @@ def test_running_twice_changes_nothing(spark, feeds, tmp_path):
     assert same(once, pipeline.read_current(spark, root, "fct_orders")) and once.count() == rows
 
 
+def test_broadcast_limit_reaches_the_tests(spark, feeds, tmp_path, monkeypatch):
+    limits = []
+    relationships = pipeline.checks.relationships
+    monkeypatch.setattr(pipeline.checks, "relationships", lambda *how: limits.append(how[-1]) or relationships(*how))
+    run = pipeline.run_pipeline(spark, feeds, str(tmp_path), "r1", limit_bytes=0)
+    assert limits == [0, 0] and {r.failures for r in run.tests} == {0}
+
+
 def test_pruning_by_month_reaches_the_files(spark, feeds, tmp_path):
     pipeline.run_pipeline(spark, feeds, str(tmp_path), "r1")
     fact = pipeline.read_current(spark, str(tmp_path), "fct_orders").filter("order_month = date'1996-03-01'")
