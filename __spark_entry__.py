@@ -216,6 +216,9 @@ def queries() -> dict[str, Query]:
         "top_categories_by_region": _on_segments(reports.top_categories_by_region),
         "consistent_top_categories": _on_segments(lambda s: reports.consistent_top_categories(s, n=4)),
         "published_monthly_kpis": _published("mart_monthly_kpis"),
+        "published_revenue_trends": _published("revenue_trends"),
+        "published_orphan_audit": _published("orphan_audit"),
+        "published_test_results": _published("test_results"),
         "stream_raw_load": _stream(dedup=False),
         "stream_retry_dedup": _stream(dedup=True),
     }

@@ -343,6 +343,9 @@ FROM segments GROUP BY GROUPING SETS ((region), (category), ())""",
 SELECT category FROM top GROUP BY category HAVING count(*) = (SELECT count(*) FROM (SELECT DISTINCT region FROM top))""",
         "csv_load": f"WITH {_RAW_ORDERS} SELECT {raw_columns} FROM orders_raw",
         "published_monthly_kpis": f"{_FACTS} {_monthly()}",
+        "published_revenue_trends": _trends("ROWS", "order_date", "{}"),
+        "published_orphan_audit": f"{_JOINED} {audit}",
+        "published_test_results": f"{_FACTS} {_test_rows()}",
         "csv_reconciliation": f"""WITH {_RAW_ORDERS}
 SELECT 'orders_raw' AS table_name, count(*) AS expected_rows, count(*) AS actual_rows, 'OK' AS status FROM orders_raw""",
         "stream_raw_load": f"WITH {_RAW_ORDERS} SELECT {raw_columns} FROM orders_raw",
