@@ -22,9 +22,8 @@ from orderloom.sources.tables import written
 BANDS, ROWS = 30, 5
 SIMILARITY = 0.8
 
-# Up to so many members outside its largest group, a bucket's pairs left are taken
-# from it; with more, its members are first divided by a further band.
-OUTSIDERS = 4
+# Members, and bytes of their texts, that one block of a bucket holds on average; blocks are paired.
+BLOCK_MEMBERS, BLOCK_BYTES = 512, 2 << 20
 
 
 def _content_keys(texts: pa.Array) -> pa.Array:
@@ -77,12 +76,8 @@ def _similarities(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.A
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """``band, node, n``: the bands of ``nodes`` (``node, bands``) that more than one node has, ``n`` of them."""
-    members = nodes.select("node", F.posexplode("bands").alias("last", "band"))
-    return _crowded(members)
-
-
-def _crowded(members: DataFrame) -> DataFrame:
+    """``band, node, bytes, n``: the bands of ``nodes`` (``node, bands, bytes``) that several nodes have, ``n`` of them."""
+    members = nodes.select("node", "bytes", F.explode("bands").alias("band"))
     crowded = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     return members.join(crowded, "band")
 
@@ -95,7 +90,7 @@ def candidates(shared: DataFrame) -> DataFrame:
     two pairs per member; groups form over the many buckets that near copies
     share. Buckets are combined before they are dealt, and joins to their
     members split hot ones at run time. What two partners may miss in buckets
-    of more than three members, :func:`mixed_buckets` leads to.
+    of more than three members, :func:`block_links` finds.
     """
     ranked = F.struct(F.xxhash64("band", "node").alias("place"), "node")
     ends = shared.groupBy("band").agg(F.min(ranked).alias("first"), F.max(ranked).alias("last"))
@@ -107,56 +102,106 @@ def candidates(shared: DataFrame) -> DataFrame:
 
 
 def mixed_buckets(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of buckets that hold several groups: ``band, last, node, root, main, outside``.
+    """Members of buckets that hold several groups: ``band, node, root, block, inner, outer``.
 
-    ``main`` is the bucket's largest group and ``outside`` the number of members
-    in others. Members combine by group before a bucket's groups meet.
+    The members are dealt to blocks by hash: those of the bucket's largest group
+    to the first ``inner`` ones, all others to the next ``outer``. A bucket that
+    fits one block is one outer block. Members combine by group before a bucket's
+    groups meet. Of buckets with the same members one stands for all.
     """
     placed = shared.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("members"))
+    sizes = placed.groupBy("band", "root").agg(
+        F.count("*").alias("members"),
+        F.sum("bytes").alias("bytes"),
+        *[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"mark_{k}") for k in range(2)],
+    )
     largest = sizes.groupBy("band").agg(
-        F.max(F.struct("members", "root")).alias("main"), F.sum("members").alias("members")
+        F.max(F.struct("members", "root", "bytes")).alias("main"),
+        F.sum("members").alias("members"),
+        F.sum("bytes").alias("bytes"),
+        *[F.bit_xor(f"mark_{k}").alias(f"mark_{k}") for k in range(2)],
     )
-    largest = largest.select(
-        "band", F.col("main.root").alias("main"), (F.col("members") - F.col("main.members")).alias("outside")
+    several = largest.filter("members > main.members")
+    once = several.groupBy("members", "mark_0", "mark_1").agg(F.min(F.struct("band", "main", "bytes")).alias("of"))
+
+    def blocks(members: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(members / BLOCK_MEMBERS), F.ceil(size / BLOCK_BYTES), F.lit(1))
+
+    main = F.col("of.main")
+    whole = blocks(F.col("members"), F.col("of.bytes")) == 1
+    inner = F.when(whole, 0).otherwise(blocks(main.members, main.bytes))
+    outer = blocks(F.col("members") - main.members, F.col("of.bytes") - main.bytes)
+    dealt = once.select(
+        F.col("of.band").alias("band"),
+        main.root.alias("main"),
+        inner.cast("int").alias("inner"),
+        F.when(whole, 1).otherwise(outer).cast("int").alias("outer"),
     )
-    return placed.join(largest.filter("outside > 0"), "band").select("band", "last", "node", "root", "main", "outside")
+    place = F.xxhash64("node", "band")
+    first = (F.col("inner") > 0) & (F.col("root") == F.col("main"))
+    block = F.when(first, F.pmod(place, F.col("inner"))).otherwise(F.col("inner") + F.pmod(place, F.col("outer")))
+    members = placed.select("band", "node", "root").join(dealt, "band")
+    return members.select("band", "node", "root", block.cast("int").alias("block"), "inner", "outer")
 
 
-def _pairs_across(members: DataFrame, others: DataFrame) -> DataFrame:
-    """Every member with those of its bucket's ``others`` (``band``, an array ``others``) that are of another group."""
-    met = members.join(others, "band").select("node", "root", F.explode("others").alias("other"))
-    met = met.filter("root != other.root").select("node", "other.node")
-    return met.toDF("x", "y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-
-def cross_candidates(mixed: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of different groups: each member with the first of the main group and the first of the others."""
-    ranked = F.struct(F.xxhash64("band", "node").alias("place"), "node", "root")
-    hubs = mixed.groupBy("band").agg(
-        F.min(F.when(F.col("root") == F.col("main"), ranked)).alias("own"),
-        F.min(F.when(F.col("root") != F.col("main"), ranked)).alias("outer"),
-    )
-    return _pairs_across(mixed, hubs.select("band", F.array("own", "outer").alias("others")))
+def block_links(mixed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` that connect all members of different groups in one bucket with that similarity or more.
 
-
-def outsider_pairs(mixed: DataFrame) -> DataFrame:
-    """All pairs ``a, b`` of different groups in buckets with at most ``OUTSIDERS`` members outside the main group."""
-    few = mixed.filter(f"outside <= {OUTSIDERS}")
-    outer = few.filter("root != main").groupBy("band").agg(F.collect_list(F.struct("node", "root")).alias("others"))
-    return _pairs_across(few, outer)
-
-
-def narrower(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The buckets of members that share one band more than those of ``mixed``; later bands only, so each set once.
-
-    Buckets that :func:`outsider_pairs` covers are left out.
+    Every pair of blocks is one group of rows, with the texts of its members, so
+    all pairs of a bucket are compared and no task holds a hot bucket. Pairs of
+    two blocks of the largest group have nothing to link. No pair becomes a row:
+    of the links in two blocks those are returned that connect the same members.
     """
-    wide = mixed.filter(f"outside > {OUTSIDERS}").select("node", "last", F.col("band").alias("wide"))
-    further = wide.join(nodes, "node").select(
-        "node", F.col("last").alias("before"), "wide", F.posexplode("bands").alias("last", "one")
+    last = F.col("inner") + F.col("outer") - 1
+    inside = F.col("block") < F.col("inner")
+    before = F.when(~inside, F.transform(F.sequence(F.lit(0), "block"), lambda i: F.struct(i.alias("i"), F.col("block").alias("j"))))
+    start = F.greatest("inner", F.col("block") + 1)
+    after = F.when(
+        start <= last, F.transform(F.sequence(start, last), lambda j: F.struct(F.col("block").alias("i"), j.alias("j")))
+    )
+    none = F.array().cast("array<struct<i:int,j:int>>")
+    met = mixed.select(
+        "band", "node", "root", "block", F.explode(F.concat(F.coalesce(before, none), F.coalesce(after, none))).alias("met")
     )
-    return _crowded(further.filter("last > before").select("node", "last", F.xxhash64("wide", "one").alias("band")))
+    rows = met.select("band", "met.i", "met.j", "node", "root", F.col("block") == F.col("met.i"), F.col("block") == F.col("met.j"))
+    rows = rows.toDF("band", "i", "j", "node", "root", "left", "right").join(texts, "node")
+
+    def linked(group: pa.Table) -> pa.Table:
+        return _block_links(group, similarity)
+
+    return rows.groupBy("band", "i", "j").applyInArrow(linked, "a binary, b binary").distinct()
+
+
+def _block_links(group: pa.Table, similarity: float) -> pa.Table:
+    nodes, roots = group.column("node").to_pylist(), group.column("root").to_pylist()
+    numbers: dict[bytes, int] = {}
+    root = np.array([numbers.setdefault(r, len(numbers)) for r in roots], np.int64)
+    left, right = (np.flatnonzero(group.column(c).to_numpy()) for c in ("left", "right"))
+    found: list[tuple[bytes, bytes]] = []
+    if len(numbers) > 1:
+        texts = group.column("text").combine_chunks()
+        bags, done = [], 0
+        for (part,) in _parts(texts, most=shingles.MOST_TEXTS):
+            owners, values, times = shingles.shingle_bags(part)
+            bags.append((owners + done, values, times))
+            done += len(part)
+        alike = shingles.cross_similarities(*map(np.concatenate, zip(*bags, strict=True)), left, right) >= similarity
+        x, y = np.nonzero(alike & (root[left][:, None] != root[right][None, :]))
+        # One link of two groups is as good as all.
+        _, some = np.unique(root[left[x]] * len(numbers) + root[right[y]], return_index=True)
+        top = list(range(len(numbers)))
+        for a, b in zip(left[x[some]].tolist(), right[y[some]].tolist(), strict=True):
+            p, q = _top(top, int(root[a])), _top(top, int(root[b]))
+            if p != q:
+                top[p] = q
+                found.append((min(nodes[a], nodes[b]), max(nodes[a], nodes[b])))
+    return pa.table({name: pa.array([pair[k] for pair in found], pa.binary()) for k, name in enumerate("ab")})
+
+
+def _top(parents: list[int], at: int) -> int:
+    while parents[at] != at:
+        parents[at] = at = parents[parents[at]]
+    return at
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -186,19 +231,22 @@ def near_groups(
     thousands of copies are signed as such and meet as one row. Texts without
     words belong to no group, and rows without a key have no say in ``class_id``.
 
-    First each content is held against its likeliest partner, then all pairs that
-    still join different groups are verified on the whole texts. Buckets that
-    then hold several groups (texts that share much, but less than
-    ``similarity``) are divided by one more shared band at a time, and pairs of
-    different groups are taken anew, until none is left.
+    First each content is held against its likeliest partner, then all candidates
+    that still join different groups are verified on the whole texts. In buckets
+    that then hold several groups (texts that share much, but less than
+    ``similarity``) all pairs across groups are compared, block by block. So every
+    pair that shares a band is either in one group by then or compared; the work
+    grows with the square of a family of texts that are alike, but not alike enough.
     """
     spark = docs.sparkSession
     root = shared_dir(spark, "near-dedup")
     read = docs.select(F.col(f"`{key}`").cast("long").alias("id"), text_of(text).alias("text"))
-    signed = read.select("id", _signed(bands, rows)("text").alias("signed")).select("id", "signed.*")
+    signed = read.select(
+        "id", F.octet_length("text").cast("long").alias("bytes"), _signed(bands, rows)("text").alias("signed")
+    ).select("id", "bytes", "signed.*")
     signed = signed.filter("node IS NOT NULL")
     nodes = signed.groupBy("node").agg(
-        F.first("bands").alias("bands"), F.min("id").alias("least"), F.count("*").alias("n")
+        F.first("bands").alias("bands"), F.max("bytes").alias("bytes"), F.min("id").alias("least"), F.count("*").alias("n")
     )
     nodes = written(nodes, f"{root}/nodes")
     shared = written(buckets(nodes), f"{root}/buckets")
@@ -220,10 +268,7 @@ def near_groups(
     # Two partners may miss links in buckets of more than three members that still hold several groups.
     mixed = written(mixed_buckets(shared.filter("n > 3"), groups), f"{root}/mixed")
     if not mixed.isEmpty():
-        inner = written(narrower(mixed, nodes.select("node", "bands")), f"{root}/inner-buckets")
-        crossed = outsider_pairs(mixed).unionAll(cross_candidates(mixed_buckets(inner, groups))).distinct()
-        crossed = crossed.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-        links = written(verified(crossed, texts, similarity), f"{root}/cross-links")
+        links = written(block_links(mixed, texts, similarity), f"{root}/block-links")
         groups = _linked(groups, links, f"{root}/all-groups")
 
     placed = nodes.select("node", "least", "n").join(groups, "node", "left")

@@ -10,6 +10,7 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -17,6 +18,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 from orderloom.llm import (
+    bagminhash,
     components,
     decontaminate,
     exact_dedup,
@@ -26,6 +28,7 @@ from orderloom.llm import (
     near_dedup,
     pieces,
     queries,
+    shingles,
     substring_dedup,
     token_files,
     url_filter,
@@ -210,6 +213,35 @@ def test_near_dedup_in_a_family_of_related_texts(spark):
     assert {r.doc_id: r.class_id for r in near_dedup.find_groups(docs).collect()} == _brute_groups(rows)
 
 
+def test_near_dedup_compares_all_pairs_of_a_bucket(spark, monkeypatch):
+    """With two bands of one row a family shares few large buckets; every similar pair in one is linked, over many blocks."""
+    draw = random.Random(11)
+    rows = []
+    for i in range(0, 160, 2):
+        words = [f"w{k}" for k in range(300)]
+        for at in draw.sample(range(300), 11):
+            words[at] = f"p{i}x{at}"
+        other = list(words)
+        for at in draw.sample(range(300), 5):
+            other[at] = f"c{i}x{at}"
+        rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
+    texts = pa.array([t for _, t in rows])
+    bands = bagminhash.band_keys(bagminhash.signatures(*shingles.shingle_bags(texts), len(rows), 2), 1)
+    bags = [Counter(zip(*[t.split()[k:] for k in range(5)], strict=False)) for _, t in rows]
+    want = {i: i for i, _ in rows}
+    for i in range(len(rows)):
+        for j in range(i):
+            near = sum((bags[i] & bags[j]).values()) >= 0.8 * sum((bags[i] | bags[j]).values())
+            if near and (bands[i] == bands[j]).any() and want[i] != want[j]:
+                least, other = sorted((want[i], want[j]))
+                want = {k: least if v == other else v for k, v in want.items()}
+    assert len(set(want.values())) < 120
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for members in (512, 10):
+        monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", members, raising=False)
+        assert {r.doc_id: r.class_id for r in near_dedup.find_groups(docs, bands=2, rows=1).collect()} == want
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (101, 102), (7, 7)]
     found = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
