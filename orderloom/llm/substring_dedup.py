@@ -5,6 +5,9 @@ window hashes first tell which stretches of which documents can be repeats,
 and of what. Only the stretches they repeat become reference shards; each is a
 suffix automaton, and the candidates are streamed through it for matching
 statistics, which compare words and not hashes.
+
+Order is judged by ``doc``, the key. Texts may share one, so what is found
+belongs to ``doc`` and ``mark``, a hash of the text.
 """
 
 from __future__ import annotations
@@ -34,8 +37,8 @@ LEAST_BUCKETS = 256
 # Stands for a missing key: behind all others.
 LAST = (1 << 63) - 1
 
-_PACKED = "bucket long, docs binary, places binary, sizes binary, hashes binary"
-_PIECE = "doc long, place int, size int, ref_doc long, ref_place int"
+_PACKED = "bucket long, docs binary, marks binary, places binary, sizes binary, hashes binary"
+_PIECE = "doc long, mark long, place int, size int, ref_doc long, ref_mark long, ref_place int"
 
 
 def _anchors(words: Words, n: int, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,24 +56,29 @@ def _anchors(words: Words, n: int, window: int, anchor: int) -> tuple[np.ndarray
 
 
 def _merged(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """Pieces ``doc, place, size, ref_doc, ref_place``, joined where one goes on where another ends.
+    """Pieces ``doc, mark, place, size, ref_doc, ref_mark, ref_place``, joined where one goes on where another ends.
 
-    Pieces come in ascending order of document and place.
+    Pieces come in ascending order of document, mark and place.
     """
-    doc, place, size, ref_doc, ref_place = columns
+    doc, mark, place, size, ref_doc, ref_mark, ref_place = columns
     if not len(doc):
         return columns
     going_on = (
         (doc[1:] == doc[:-1])
+        & (mark[1:] == mark[:-1])
         & (place[1:] == place[:-1] + size[:-1])
         & (ref_doc[1:] == ref_doc[:-1])
+        & (ref_mark[1:] == ref_mark[:-1])
         & (ref_place[1:] - place[1:] == ref_place[:-1] - place[:-1])
     )
     heads = np.flatnonzero(np.concatenate(([True], ~going_on)))
-    return [doc[heads], place[heads], np.add.reduceat(size, heads), ref_doc[heads], ref_place[heads]]
+    sizes = np.add.reduceat(size, heads)
+    return [doc[heads], mark[heads], place[heads], sizes, ref_doc[heads], ref_mark[heads], ref_place[heads]]
 
 
-def _repeats(hashes: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+def _repeats(
+    hashes: np.ndarray, doc: np.ndarray, mark: np.ndarray, place: np.ndarray
+) -> tuple[list[np.ndarray], np.ndarray]:
     """Pieces that repeat the first window of their hash, and which windows are no repeats."""
     order = np.argsort(hashes)
     ordered = hashes[order]
@@ -79,32 +87,34 @@ def _repeats(hashes: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[li
     several[1:] |= same
     several[:-1] |= same
     some = order[several]
-    some = some[np.lexsort((place[some], doc[some], hashes[some]))]
+    some = some[np.lexsort((mark[some], place[some], doc[some], hashes[some]))]
     head = np.ones(len(some), bool)
     head[1:] = hashes[some][1:] != hashes[some][:-1]
     first = some[head][np.cumsum(head) - 1] if len(some) else some
-    # The first window and others at the very same place, of repeated rows, are no repeats.
+    # The first window and others at the very same place, of rows that share a key, are no repeats.
     later = (doc[some] != doc[first]) | (place[some] != place[first])
     some, first = some[later], first[later]
-    back = np.lexsort((place[some], doc[some]))
+    back = np.lexsort((place[some], mark[some], doc[some]))
     some, first = some[back], first[back]
     fresh_ = np.ones(len(hashes), bool)
     fresh_[some] = False
-    pieces = [doc[some], place[some], np.ones(len(some), np.int64), doc[first], place[first]]
+    pieces = [doc[some], mark[some], place[some], np.ones(len(some), np.int64), doc[first], mark[first], place[first]]
     return _merged(pieces), fresh_
 
 
 def _packer(window: int, anchor: int, buckets: int):
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in string_slices(batch.column(1)):
-                ids = batch.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)
-                yield from _packed(ids, words_of(batch.column(1).slice(i, j - i)), window, anchor, buckets)
+            for i, j in string_slices(batch.column(2)):
+                ids, marks = (batch.column(c).slice(i, j - i).to_numpy(zero_copy_only=False) for c in range(2))
+                yield from _packed(ids, marks, words_of(batch.column(2).slice(i, j - i)), window, anchor, buckets)
 
     return packed
 
 
-def _packed(ids: np.ndarray, words: Words, window: int, anchor: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _packed(
+    ids: np.ndarray, marks: np.ndarray, words: Words, window: int, anchor: int, buckets: int
+) -> Iterator[pa.RecordBatch]:
     """One row per bucket with windows of these texts, and one without a bucket for their own repeats.
 
     A window that occurs in several of these texts is sent once, so a passage that everybody has is one
@@ -115,14 +125,14 @@ def _packed(ids: np.ndarray, words: Words, window: int, anchor: int, buckets: in
     least, smallest = _anchors(words, len(hashes), window, anchor)
     at = np.flatnonzero(inside)
     owner, least, smallest, hashes = owner[at], least[at], smallest[at], hashes[at]
-    doc, place = ids[owner], at - words.ends[owner]
-    pieces, new = _repeats(hashes, doc, place)
+    doc, mark, place = ids[owner], marks[owner], at - words.ends[owner]
+    pieces, new = _repeats(hashes, doc, mark, place)
     if len(pieces[0]):
         # Repeats among these texts pass through the buckets' tasks as they are.
         data = [column.astype("<i8").tobytes() for column in pieces]
-        yield _row(-1 - int(pieces[0][0] % buckets), data[0], data[1], data[2], data[3] + data[4])
-    at, doc, place, owner, least, smallest, hashes = (
-        column[new] for column in (at, doc, place, owner, least, smallest, hashes)
+        yield _row(-1 - int(pieces[0][0] % buckets), *data[:4], b"".join(data[4:]))
+    at, doc, mark, place, owner, least, smallest, hashes = (
+        column[new] for column in (at, doc, mark, place, owner, least, smallest, hashes)
     )
     if not len(at):
         return
@@ -140,24 +150,25 @@ def _packed(ids: np.ndarray, words: Words, window: int, anchor: int, buckets: in
         yield _row(
             int(bucket[runs[0]]),
             doc[heads[runs]].astype("<i8").tobytes(),
+            mark[heads[runs]].astype("<i8").tobytes(),
             place[heads[runs]].astype("<i4").tobytes(),
             sizes[runs].astype("u1").tobytes(),
             hashes[places].astype("<u8").tobytes(),
         )
 
 
-def _row(bucket: int, docs: bytes, places: bytes, sizes: bytes, hashes: bytes) -> pa.RecordBatch:
-    values = [[bucket], [docs], [places], [sizes], [hashes]]
-    kinds = [pa.int64()] + [pa.binary()] * 4
+def _row(bucket: int, docs: bytes, marks: bytes, places: bytes, sizes: bytes, hashes: bytes) -> pa.RecordBatch:
+    values = [[bucket], [docs], [marks], [places], [sizes], [hashes]]
+    kinds = [pa.int64()] + [pa.binary()] * 5
     return pa.RecordBatch.from_arrays(
         [pa.array(v, k) for v, k in zip(values, kinds, strict=True)],
-        names=["bucket", "docs", "places", "sizes", "hashes"],
+        names=["bucket", "docs", "marks", "places", "sizes", "hashes"],
     )
 
 
 def _pieces(columns: list[np.ndarray]) -> pa.Table:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-    names = ["doc", "place", "size", "ref_doc", "ref_place"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+    names = ["doc", "mark", "place", "size", "ref_doc", "ref_mark", "ref_place"]
     return pa.table({n: pa.array(c.astype(np.int64)).cast(k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
 
@@ -166,31 +177,31 @@ def _bucket_pieces(group: pa.Table) -> pa.Table:
     rows = group.to_pylist()
     if rows[0]["bucket"] < 0:
         return pa.concat_tables(_own_pieces(row) for row in rows)
-    doc = np.concatenate([np.frombuffer(r["docs"], "<i8") for r in rows])
+    doc, mark = (np.concatenate([np.frombuffer(r[name], "<i8") for r in rows]) for name in ("docs", "marks"))
     place = np.concatenate([np.frombuffer(r["places"], "<i4") for r in rows]).astype(np.int64)
     sizes = np.concatenate([np.frombuffer(r["sizes"], "u1") for r in rows]).astype(np.int64)
     hashes = np.concatenate([np.frombuffer(r["hashes"], "<u8") for r in rows])
-    pieces, _ = _repeats(hashes, np.repeat(doc, sizes), ranges(place, sizes))
+    pieces, _ = _repeats(hashes, np.repeat(doc, sizes), np.repeat(mark, sizes), ranges(place, sizes))
     return _pieces(pieces)
 
 
 def _own_pieces(row: dict) -> pa.Table:
     refs = np.frombuffer(row["hashes"], "<i8")
-    columns = [np.frombuffer(row[name], "<i8") for name in ("docs", "places", "sizes")]
-    return _pieces([*columns, refs[: len(refs) // 2], refs[len(refs) // 2 :]])
+    columns = [np.frombuffer(row[name], "<i8") for name in ("docs", "marks", "places", "sizes")]
+    return _pieces([*columns, *refs.reshape(3, -1)])
 
 
 def repeated_pieces(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, folder: str | None = None) -> DataFrame:
-    """``doc, place, size, ref_doc, ref_place``: runs of windows whose hashes occur before.
+    """``doc, mark, place, size, ref_doc, ref_mark, ref_place``: runs of windows whose hashes occur before.
 
-    ``docs`` has ``doc, text``. ``size`` windows from word ``place`` on look like those of
+    ``docs`` has ``doc, mark, text``. ``size`` windows from word ``place`` on look like those of
     ``ref_doc`` from word ``ref_place`` on, the first of their hashes in the order of document and place.
     """
     spark = docs.sparkSession
     folder = folder or shared_dir(spark, "repeats")
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
-    sent = docs.select("doc", "text").mapInArrow(_packer(window, min(anchor, window), buckets), _PACKED)
+    sent = docs.select("doc", "mark", "text").mapInArrow(_packer(window, min(anchor, window), buckets), _PACKED)
     return written(sent.groupBy("bucket").applyInArrow(_bucket_pieces, _PIECE), f"{folder}/pieces")
 
 
@@ -199,31 +210,30 @@ def _stretches(window: int):
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in string_slices(batch.column(1)):
+            for i, j in string_slices(batch.column(2)):
                 yield _cut(batch.slice(i, j - i), window)
 
     return found
 
 
 def _cut(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
-    docs = batch.column(0).to_numpy(zero_copy_only=False)
-    words = words_of(batch.column(1), hashed=False)
-    counts = np.diff(batch.column(2).offsets.to_numpy()).astype(np.int64)
+    docs, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(2))
+    words = words_of(batch.column(2), hashed=False)
+    counts = np.diff(batch.column(3).offsets.to_numpy()).astype(np.int64)
     row = np.repeat(np.arange(len(docs)), counts)
-    place, size, ref_doc, ref_place = (
-        batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in range(2, 6)
+    place, size, ref_doc, ref_mark, ref_place = (
+        batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in range(3, 8)
     )
     order = np.lexsort((place, row))
-    row, place, size, ref_doc, ref_place = (column[order] for column in (row, place, size, ref_doc, ref_place))
-    # Rows that repeat a key have the same pieces more than once.
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1])
-    row, place, size, ref_doc, ref_place = _merged([c[new] for c in (row, place, size, ref_doc, ref_place)])
-    # Texts under one key may differ in length; a stretch ends with its own.
+    row, place, size, ref_doc, ref_mark, ref_place = (
+        column[order] for column in (row, place, size, ref_doc, ref_mark, ref_place)
+    )
+    row, _, place, size, ref_doc, ref_mark, ref_place = _merged([row, row, place, size, ref_doc, ref_mark, ref_place])
+    # A stretch ends with its text.
     first = words.ends[row] + place
     last = np.minimum(first + size + window - 1, words.ends[row + 1])
     first = np.minimum(first, last)
-    columns = [docs[row], place, ref_doc, ref_place, size]
+    columns = [docs[row], marks[row], place, ref_doc, ref_mark, ref_place, size]
     arrays = [pa.array(c.astype(np.int64)).cast(k.type) for c, k in zip(columns, _STRETCH, strict=False)]
     return pa.RecordBatch.from_arrays([*arrays, stretches(words, first, last)], schema=_STRETCH)
 
@@ -231,14 +241,16 @@ def _cut(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
 _STRETCH = pa.schema(
     [
         ("doc", pa.int64()),
+        ("mark", pa.int64()),
         ("place", pa.int32()),
         ("ref_doc", pa.int64()),
+        ("ref_mark", pa.int64()),
         ("ref_place", pa.int32()),
         ("size", pa.int32()),
         ("words", pa.string()),
     ]
 )
-_SPAN = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
+_SPAN = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 
 
 def _streamed(window: int):
@@ -248,49 +260,57 @@ def _streamed(window: int):
         ids: dict[str, int] = {}
         numbered = lambda text: [ids.setdefault(word, len(ids)) for word in text.split(" ")]
         automaton = WordAutomaton(numbered(text) for text in references.column("words").to_pylist())
-        docs, starts, stops = [], [], []
-        columns = (candidates.column(name).to_pylist() for name in ("doc", "place", "words"))
-        for doc, place, text in zip(*columns, strict=True):
+        docs, marks, starts, stops = [], [], [], []
+        columns = (candidates.column(name).to_pylist() for name in ("doc", "mark", "place", "words"))
+        for doc, mark, place, text in zip(*columns, strict=True):
             hit = covered(automaton.matches(numbered(text)), window).astype(np.int8)
             edges = np.flatnonzero(np.diff(hit, prepend=0, append=0))
             docs += [doc] * (len(edges) // 2)
+            marks += [mark] * (len(edges) // 2)
             starts += (place + edges[::2]).tolist()
             stops += (place + edges[1::2]).tolist()
-        return pa.table([pa.array(docs, pa.int64()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], _SPAN)
+        columns = [docs, marks, starts, stops]
+        return pa.table([pa.array(c, k.type) for c, k in zip(columns, _SPAN, strict=True)], schema=_SPAN)
 
     return spans
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
-    """``doc, start, stop``: stretches of words that windows with an earlier start elsewhere cover.
+    """``doc, mark, start, stop``: stretches of words that windows with an earlier start elsewhere cover.
 
-    ``docs`` has ``doc, text``.
+    ``docs`` has ``doc, mark, text``.
     """
     spark = docs.sparkSession
     folder = shared_dir(spark, "substrings")
     pieces = repeated_pieces(docs, window, folder=folder)
-    # A document's own pieces, bounded by its words.
-    listed = pieces.groupBy("doc").agg(
-        *[F.collect_list(name).alias(name) for name in ("place", "size", "ref_doc", "ref_place")]
+    # Of the pieces of repeated rows one is left at each place, the longest, so a list is bounded by its text's words.
+    single = pieces.groupBy("doc", "mark", "place").agg(
+        F.max(F.struct("size", "ref_doc", "ref_mark", "ref_place")).alias("piece")
+    )
+    listed = single.select("doc", "mark", "place", "piece.*").groupBy("doc", "mark").agg(
+        *[F.collect_list(name).alias(name) for name in ("place", "size", "ref_doc", "ref_mark", "ref_place")]
+    )
+    holders = broadcast_if_small(pieces.select("doc", "mark").distinct(), limit_bytes)
+    texts = docs.select("doc", "mark", "text").join(holders, ["doc", "mark"], "left_semi")
+    schema = (
+        "doc long, mark long, place int, ref_doc long, ref_mark long, ref_place int, size int, words string"
     )
-    holders = broadcast_if_small(pieces.select("doc").distinct(), limit_bytes)
-    texts = docs.select("doc", "text").join(holders, "doc", "left_semi")
-    # Rows that repeat a key have the same places; each text has its own stretches there.
-    schema = "doc long, place int, ref_doc long, ref_place int, size int, words string"
-    cut = texts.join(listed, "doc").mapInArrow(_stretches(window), schema)
+    cut = texts.join(listed, ["doc", "mark"]).mapInArrow(_stretches(window), schema)
     found = written(cut, f"{folder}/candidates")
 
-    extents = found.groupBy("ref_doc").agg(
+    extents = found.groupBy("ref_doc", "ref_mark").agg(
         F.min("ref_place").alias("first"), F.max(F.col("ref_place") + F.col("size") + (window - 1)).alias("last")
     )
     extents = written(extents, f"{folder}/extents")
     wanted = broadcast_if_small(extents, limit_bytes)
     total = extents.agg(F.coalesce(F.sum(F.col("last") - F.col("first")), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
-    shard = F.pmod(F.xxhash64("ref_doc"), F.lit(shards).cast("long")).alias("shard")
-    cut = docs.select(F.col("doc").alias("ref_doc"), "text").join(wanted, "ref_doc")
+    shard = F.pmod(F.xxhash64("ref_doc", "ref_mark"), F.lit(shards).cast("long")).alias("shard")
+    cut = docs.select(F.col("doc").alias("ref_doc"), F.col("mark").alias("ref_mark"), "text").join(
+        wanted, ["ref_doc", "ref_mark"]
+    )
     references = cut.select(shard, _cut_words(F.col("text"), F.col("first"), F.col("last")).alias("words"))
-    candidates = found.select(shard, "doc", "place", "size", "words")
+    candidates = found.select(shard, "doc", "mark", "place", "size", "words")
     # A shard that many documents repeat is copied, and its candidates are dealt to the copies.
     loads = candidates.groupBy("shard").agg(F.sum(F.col("size").cast("long") + (window - 1)).alias("load"))
     copies = written(
@@ -299,14 +319,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, limit_bytes: int = BRO
     # A row per shard, so as many as the references have words divided by the size of a shard.
     copies = broadcast_if_small(copies, limit_bytes)
     dealt = candidates.join(copies, "shard").withColumn(
-        "part", F.pmod(F.xxhash64("doc", "place", "words"), F.col("copies"))
+        "part", F.pmod(F.xxhash64("doc", "mark", "place", "words"), F.col("copies"))
     )
     copied = references.join(copies, "shard").withColumn(
         "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
     )
     grouped = copied.select("shard", "part", "words").groupBy("shard", "part")
-    streamed = grouped.cogroup(dealt.select("shard", "part", "doc", "place", "words").groupBy("shard", "part"))
-    return streamed.applyInArrow(_streamed(window), "doc long, start int, stop int")
+    streamed = grouped.cogroup(dealt.select("shard", "part", "doc", "mark", "place", "words").groupBy("shard", "part"))
+    return streamed.applyInArrow(_streamed(window), "doc long, mark long, start int, stop int")
 
 
 def _cut_words(text: Column, first: Column, last: Column) -> Column:
@@ -364,23 +384,28 @@ def remove_repeats(
     a smaller key, or in the same document before. Windows are judged on the
     input. NULL and empty texts have no words, and NULL becomes the empty text.
     A NULL key comes after all others. Rows that share a key start at the same
-    places, so neither repeats the other there. The added columns have more
+    places, so neither repeats the other there; each loses only what its own text repeats. The added columns have more
     underscores where ``docs`` has columns of these names; an empty table stays empty.
     """
-    read = docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST)).alias("doc"), text_of(text).alias("text"))
+    read = docs.select(
+        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST)).alias("doc"),
+        F.xxhash64(text_of(text)).alias("mark"),
+        text_of(text).alias("text"),
+    )
     spans = repeated_spans(read, window, limit_bytes)
     # Start and stop of all spans as bytes, so that their size can be measured.
     span = F.concat(*[F.unhex(F.lpad(F.hex(c), 8, "0")) for c in ("start", "stop")])
-    listed = spans.groupBy("doc").agg(F.collect_set(span).alias("spans")).select(
-        "doc", F.concat_ws("", F.transform("spans", F.hex)).alias("spans")
+    listed = spans.groupBy("doc", "mark").agg(F.collect_set(span).alias("spans")).select(
+        "doc", "mark", F.concat_ws("", F.transform("spans", F.hex)).alias("spans")
     )
-    listed = listed.select("doc", F.unhex("spans").alias("spans"))
+    listed = listed.select("doc", "mark", F.unhex("spans").alias("spans"))
     listed = broadcast_if_small(written(listed, shared_dir(docs.sparkSession, "spans")), limit_bytes)
     n_words, n_removed = fresh(docs, "n_words"), fresh(docs, "n_removed")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST)).alias("doc"),
-    ).join(listed, "doc", "left")
+        F.xxhash64(text_of(text)).alias("mark"),
+    ).join(listed, ["doc", "mark"], "left")
     whole = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
     left = rows.withColumn(
         "left", visit(_without, "struct<text:string,n_words:long,n_removed:long>")(whole, F.col("spans"))

@@ -149,6 +149,19 @@ def test_substring_dedup(spark, documents, messy):
     assert substring_dedup.remove_repeats(messy.limit(0)).count() == 0
 
 
+def test_substring_dedup_of_texts_under_one_key(spark):
+    """What one text under a key repeats is not cut out of the others; without a key, or with the same one."""
+    one, two = (" ".join(f"{name}{i}" for i in range(30)) for name in ("first", "second"))
+    rows = [(1, one), (2, two)]
+    for key in (None, 7):
+        clean = " ".join(f"own{i}of{key}" for i in range(60))
+        rows += [(key, f"{one} tail{key}"), (key, f"{two} tail{key}"), (key, clean), (key, f"{one} tail{key}")]
+    left = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = [(key, text, 0) for key, text in rows if text in (one, two) or text.startswith("own")]
+    want += [(key, f"tail{key}", 30) for key in (None, 7) for _ in range(3)]
+    assert Counter((r.doc_id, r.text, r.n_removed) for r in left) == Counter(want)
+
+
 def _brute_groups(rows):
     def bag(text):
         w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
