@@ -350,6 +350,24 @@ def test_html_extraction(spark):
         assert r.text == "\n\n".join(p for p in parts if p)
 
 
+def test_html_of_copied_articles(spark):
+    """Copies of one article are no template, nor are the paragraphs that the articles of a host share."""
+    page = "<body><nav>Menu</nav><{1}><h1>News</h1><p>First part {0}</p><p>Shared part</p><p>Last part</p></{1}></body>"
+    rows = [(i, f"http://copies.org/{i}", page.format("", "article")) for i in range(12)]
+    rows += [(20 + i, f"http://plain.org/{i}", page.format("", "div")) for i in range(12)]
+    rows += [(40 + i, f"http://shared.org/{i}", page.format(i, "article")) for i in range(12)]
+    # On nine of ten pages, three texts in places that all pages have: a class of texts alone.
+    names = [[f"Heading number {k} of {page}" for k in range(3)] for page in ("one", "all others")]
+    texts = "<body><div><h1>{1}</h1><h2>{2}</h2><h3>{3}</h3><p>Own text of {0}</p></div></body>"
+    rows += [(60 + i, f"http://texts.org/{i}", texts.format(i, *names[i > 0])) for i in range(10)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = {i: "News\n\nFirst part\n\nShared part\n\nLast part" for i in range(12)}
+    want |= {20 + i: want[i] for i in range(12)}
+    want |= {40 + i: f"News\n\nFirst part {i}\n\nShared part\n\nLast part" for i in range(12)}
+    want |= {60 + i: "\n\n".join([*names[i > 0], f"Own text of {i}"]) for i in range(10)}
+    assert {r.page_id: r.text for r in got} == want
+
+
 def test_language(spark, documents, messy):
     got = {r.doc_id: r for r in queries.op10_language(spark, SF).collect()}
     held = [d for d in documents if zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2]
