@@ -14,13 +14,16 @@ from orderloom.llm.chunks import ChunkTable
 from orderloom.llm.common import text_of, visit
 from orderloom.llm.words import text_steps
 from orderloom.llm.worker import keep
+from orderloom.operators.lookup import broadcast_if_small
 
 UNKNOWN = "und"
 
-# Letters of labelled text per language, and languages, that a model learns from. The
-# sample is bounded so that the automata, some 100 MB, fit every Python worker.
+# Letters of labelled text that a model learns from, per language, of all languages
+# together, and of a language at least. The sample is bounded so that the automata,
+# some 100 MB, fit every Python worker; beyond 160 languages they grow by the least share.
 SAMPLE_CHARS = 60_000
-MOST_LANGUAGES = 16
+TOTAL_CHARS = 16 * SAMPLE_CHARS
+LEAST_CHARS = 6_000
 SAMPLE_DOCUMENTS = 400
 
 _RUN = re.compile(r"[^\W\d_]+")
@@ -127,28 +130,30 @@ def learn(
     text: str = "text",
     label: str = "lang",
     sample_chars: int = SAMPLE_CHARS,
-    most_languages: int = MOST_LANGUAGES,
+    total_chars: int = TOTAL_CHARS,
 ) -> tuple[tuple[str, str], ...]:
     """Labelled sample text by language, the most frequent first, ``sample_chars`` characters each at most.
 
+    Every label is learnt. Many of them share ``total_chars``, but have ``LEAST_CHARS`` each.
     Held-out documents, and those without a label, a key or a text, take no
     part. The documents are those with the smallest hashes of their keys, so a
-    sample does not depend on the order or the number of files. Of more than
-    ``most_languages`` labels the most frequent ones are learnt.
+    sample does not depend on the order or the number of files; of each the
+    first twentieth of the language's share is taken.
     """
     known = docs.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("string").alias("label")
     ).filter(F.col("label").isNotNull() & F.col("text").isNotNull() & F.col("key").isNotNull() & ~held_out(key="key"))
     counted = known.groupBy("label").agg(F.count("*").alias("n"))
-    frequent = counted.orderBy(F.desc("n"), "label").limit(most_languages).collect()
+    frequent = counted.orderBy(F.desc("n"), "label").collect()
     if not frequent:
         return ()
+    sample_chars = min(sample_chars, max(total_chars // len(frequent), LEAST_CHARS))
     # The share of each label that holds twice the documents wanted; ranks then cut it to the bound.
-    shares = F.create_map(
-        *[F.lit(x) for row in frequent for x in (row["label"], min(1.0, 2 * SAMPLE_DOCUMENTS / row["n"]))]
+    shares = docs.sparkSession.createDataFrame(
+        [(row["label"], min(1.0, 2 * SAMPLE_DOCUMENTS / row["n"])) for row in frequent], "label string, share double"
     )
     place = F.pmod(F.xxhash64(F.col("key"), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    picked = known.withColumn("place", place).filter(F.col("place") < F.try_element_at(shares, F.col("label")))
+    picked = known.withColumn("place", place).join(broadcast_if_small(shares), "label").filter("place < share")
     ranked = picked.withColumn(
         "rank", F.row_number().over(Window.partitionBy("label").orderBy("place", F.xxhash64("text")))
     ).filter(F.col("rank") <= SAMPLE_DOCUMENTS)

@@ -381,6 +381,27 @@ def test_language(spark, documents, messy):
     assert {r.lang_pred for r in language.identify(messy, (), into="l").select("l.*").collect()} == {"und"}
 
 
+def test_language_of_many_labels(spark):
+    """Every label is learnt, also the rarest of twenty in a script of its own, and the pipeline keeps its documents."""
+    draw = random.Random(5)
+    rows = []
+    for k in range(20):
+        # Twenty scripts of 20 letters each; the last language has the fewest documents.
+        letters = [chr(0x4E00 + 20 * k + i) for i in range(20)]
+        words = ["".join(draw.choices(letters, k=5)) for _ in range(30)]
+        rows += [(len(rows) + i, " ".join(draw.choices(words, k=60)), f"l{k}", "s", 0) for i in range(24 - k)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    samples = language.learn(docs)
+    assert {label for label, _ in samples} == {f"l{k}" for k in range(20)}
+    assert max(len(text) for _, text in samples) <= language.SAMPLE_CHARS
+    shared = language.learn(docs, total_chars=10)
+    assert {label for label, _ in shared} == {f"l{k}" for k in range(20)}
+    assert max(len(text) for _, text in shared) <= language.LEAST_CHARS
+    found = language.identify(docs, samples).select("lang", "language.lang_pred").collect()
+    assert all(r.lang == r.lang_pred for r in found)
+    assert corpus_pipeline.language_id(spark, docs, SF).count() == len(rows)
+
+
 def test_pipeline_stages(spark, documents):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "line_dedup", "near_dedup", "decontamination", "sentencepiece"
