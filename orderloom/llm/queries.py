@@ -14,6 +14,7 @@ from orderloom.llm import (
     html_extract,
     language,
     line_dedup,
+    merkle,
     near_dedup,
     pieces,
     substring_dedup,
@@ -102,6 +103,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "merkle")
+    manifest = merkle.build(merkle.document_rows(table(spark, sf_dir, "documents")), folder)
+    found = merkle.proofs(manifest, folder)
+    siblings = F.array_join(F.transform("proof", lambda step: F.substring(step, 2, 64)), "")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings, 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -114,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_html_extract": op9_html_extract,
         "op10_language": op10_language,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 
@@ -121,4 +139,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_dedup": exact_dedup.ORACLE_SQL,
         "op7_line_dedup": line_dedup.oracle_sql(LINE_SITES),
+        "op12_merkle_manifest": merkle.ORACLE_SQL,
     }
