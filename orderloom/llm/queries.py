@@ -19,6 +19,7 @@ from orderloom.llm import (
     pieces,
     substring_dedup,
     token_files,
+    topk,
     url_filter,
 )
 from orderloom.llm.url_filter import ALLOW, BLOCK, Rule
@@ -39,6 +40,9 @@ URL_RULES = [
 # Sites from which on a line counts as boilerplate.
 LINE_SITES = 10
 
+# The search takes every so many ids as queries, and returns so many rows for each.
+QUERY_EVERY, NEAREST = 100, 10
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -103,6 +107,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.search(vectors, F.col("id") % QUERY_EVERY == 0, NEAREST, shared_dir(spark, "top-k"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "merkle")
     manifest = merkle.build(merkle.document_rows(table(spark, sf_dir, "documents")), folder)
@@ -131,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_html_extract": op9_html_extract,
         "op10_language": op10_language,
+        "op11_exact_top_k": op11_exact_top_k,
         "op12_merkle_manifest": op12_merkle_manifest,
     }
 
@@ -139,5 +149,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_dedup": exact_dedup.ORACLE_SQL,
         "op7_line_dedup": line_dedup.oracle_sql(LINE_SITES),
+        "op11_exact_top_k": topk.oracle_sql(QUERY_EVERY, NEAREST),
         "op12_merkle_manifest": merkle.ORACLE_SQL,
     }
