@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -128,6 +129,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), shared_dir(spark, "collocations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -142,6 +147,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_language": op10_language,
         "op11_exact_top_k": op11_exact_top_k,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -151,4 +157,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_dedup": line_dedup.oracle_sql(LINE_SITES),
         "op11_exact_top_k": topk.oracle_sql(QUERY_EVERY, NEAREST),
         "op12_merkle_manifest": merkle.ORACLE_SQL,
+        "op13_collocations": collocations.oracle_sql(),
     }
