@@ -23,7 +23,7 @@ from orderloom.sources.tables import written
 UNKNOWN = "und"
 
 # Bytes of text that are counted together before their phrases leave a task.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 # Bits of a filter for every phrase in it, and of the largest filter: 64 MiB.
 FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 29
@@ -157,7 +157,7 @@ def _counter(size: int, known: Broadcast | None):
 def phrase_counts(docs: DataFrame, size: int, least: int, known: Broadcast | None) -> DataFrame:
     """``lang, phrase, f``: phrases of ``size`` words that occur ``least`` times or more in a language.
 
-    A task combines the phrases of a few megabytes of text, and all its own before the shuffle. With ``size`` 1
+    A task combines the phrases of a megabyte of text, and all its own before the shuffle. With ``size`` 1
     the empty phrase stands for all words.
     """
     found = docs.mapInArrow(_counter(size, known), _COUNTS)
