@@ -14,11 +14,14 @@ from orderloom.llm.common import offsets_of
 from orderloom.sources.tables import written
 
 # Components of the vectors of one shard, and of one block of queries.
-SHARD_VALUES, BLOCK_VALUES = 1 << 17, 1 << 13
+SHARD_VALUES, BLOCK_VALUES = 1 << 18, 1 << 13
 
 # Products of two components, summed, must fit 64 bits.
 _LARGEST = 1 << 62
 
+# Searching a list for a row costs as much as so many of its entries; terms between two looks at the rows in play.
+_SEARCH_COST, _DROP_EVERY = 16, 4
+
 _SHARD = "shard int, ids array<long>, width int, terms array<int>, ends array<long>, places array<int>, weights array<long>"
 _BLOCK = "block int, home int, queries array<long>, columns int, components array<long>"
 _FOUND = "query_id long, vec_id long, score long"
@@ -69,74 +72,75 @@ class Shard:
 
     def prepared(self) -> Shard:
         """Each term's weight of the largest size, the bound of what it can add to a score, and its places by row."""
+        self.places = self.places.astype(np.intp)
         self.slots = {int(t): k for k, t in enumerate(self.terms)}
         self.lists = [slice(a, b) for a, b in zip(self.ends[:-1], self.ends[1:], strict=True)]
         self.largest = np.array([np.abs(self.weights[s]).max() for s in self.lists], np.int64)
         return self
 
-    def probe(self, term: int, rows: np.ndarray) -> np.ndarray:
-        """The weights that a term has for some rows, 0 where it does not list them."""
+    def add(self, scores: np.ndarray, rows: np.ndarray, term: int, weight: int) -> None:
+        """Add what a term gives the ``scores`` of some rows: by its list where that is short, else by searching it."""
         part = self.lists[term]
         places = self.places[part]
-        at = np.minimum(np.searchsorted(places, rows), len(places) - 1)
-        return np.where(places[at] == rows, self.weights[part][at], 0)
+        if len(places) < _SEARCH_COST * len(rows):
+            scores[places] += self.weights[part] * weight
+        else:
+            at = np.minimum(np.searchsorted(places, rows), len(places) - 1)
+            scores[rows] += np.where(places[at] == rows, self.weights[part][at], 0) * weight
 
 
 def best(shard: Shard, query_id: int, query: np.ndarray, k: int, least: int | None) -> tuple[np.ndarray, np.ndarray]:
     """``ids, scores`` of the ``k`` best rows of a shard that score ``least`` or more, the query's own id left out.
 
-    MaxScore. A term raises a score by its bound at most, if its sign is the query's, and else by nothing. Terms are
-    taken by falling bound; they are essential until all that follow could not lift a row to the threshold.
-    Rows in no essential list are never looked at. The others are probed term by term, and dropped when what
-    they have and all that follows is less than the threshold. The best rows are scored first, which raises it.
+    MaxScore. A term raises a score by its bound at most, if its sign is the query's, and else by nothing. The first
+    kind is taken by falling bound, and is essential until all that follow could not lift a row to the threshold.
+    Rows in no essential list are never looked at. All other terms are probed, those that change scores
+    most first, and rows are dropped when what they have and all that may still be added is less than the threshold.
+    Without a threshold the rows in front are scored whole, and the lowest of them is one.
     """
     helping, hurting = [], []
     for d in np.flatnonzero(query).tolist():
         for sign in (0, 1):
             term = shard.slots.get(2 * d + sign)
             if term is not None:
-                (helping if (query[d] < 0) == bool(sign) else hurting).append((term, int(query[d])))
-    helping.sort(key=lambda t: -int(shard.largest[t[0]]) * abs(t[1]))
-    bounds = [int(shard.largest[t]) * abs(w) for t, w in helping]
-    if sum(bounds) + sum(int(shard.largest[t]) * abs(w) for t, w in hurting) > _LARGEST:
+                weight = int(query[d])
+                kind = helping if (weight < 0) == bool(sign) else hurting
+                kind.append((int(shard.largest[term]) * abs(weight), term, weight))
+    helping.sort(reverse=True)
+    if sum(b for b, _, _ in helping) + sum(b for b, _, _ in hurting) > _LARGEST:
         raise OverflowError("scores of these vectors do not fit 64 bits")
-    rest = np.concatenate((np.cumsum(bounds[::-1])[::-1], [0])).astype(np.int64)
-    own = shard.ids == query_id
+    rest = np.cumsum([0, *[b for b, _, _ in reversed(helping)]], dtype=np.int64)[::-1]
     if least is not None and rest[0] < least:
         return shard.ids[:0], np.zeros(0, np.int64)
     # Without a threshold above 0, a row in no list at all may be one of the best.
-    essential = int(np.searchsorted(-rest, -least, "right")) if least is not None and least > 0 else len(helping)
+    bounded = least is not None and least > 0
+    essential = int(np.searchsorted(-rest, -least, "right")) if bounded else len(helping)
     scores = np.zeros(len(shard.ids), np.int64)
     met = np.zeros(len(shard.ids), bool)
-    for term, weight in helping[:essential]:
+    for _, term, weight in helping[:essential]:
         part = shard.lists[term]
         scores[shard.places[part]] += shard.weights[part] * weight
         met[shard.places[part]] = True
-    if least is None or least <= 0:
-        met[:] = True
-    rows = np.flatnonzero(met & ~own).astype(np.int32)
-    scores = scores[rows]
-    later = helping[essential:]
-    if len(rows) > k:
-        # Whole scores of the rows in front: the lowest of them is one that the k best reach.
-        front = rows[np.argpartition(-scores, k - 1)[:k]]
-        whole = scores[np.searchsorted(rows, front)]
-        for term, weight in later + hurting:
-            whole = whole + shard.probe(term, front) * weight
-        least = int(whole.min()) if least is None else max(least, int(whole.min()))
-    for j, (term, weight) in enumerate([*later, *hurting]):
-        if least is not None:
-            hope = int(rest[essential + j]) if j < len(later) else 0
-            competitive = scores + hope >= least
-            rows, scores = rows[competitive], scores[competitive]
-        if not len(rows):
-            break
-        scores = scores + shard.probe(term, rows) * weight
+    rows = np.flatnonzero((met if bounded else True) & (shard.ids != query_id))
+    others = sorted([(*t, t[0]) for t in helping[essential:]] + [(*t, 0) for t in hurting], reverse=True)
+    hope = np.cumsum([0, *[t[3] for t in reversed(others)]], dtype=np.int64)[::-1]
+    if least is None and len(rows) > k:
+        front = rows[np.argpartition(-scores[rows], k - 1)[:k]]
+        whole = scores.copy()
+        for _, term, weight, _ in others:
+            shard.add(whole, front, term, weight)
+        least = int(whole[front].min())
+    for j, (_, term, weight, _) in enumerate(others):
+        if least is not None and j % _DROP_EVERY == 0:
+            rows = rows[scores[rows] + hope[j] >= least]
+            if not len(rows):
+                break
+        shard.add(scores, rows, term, weight)
     if least is not None:
-        rows, scores = rows[scores >= least], scores[scores >= least]
-    ids = shard.ids[rows]
-    first = np.lexsort((ids, -scores))[:k]
-    return ids[first], scores[first]
+        rows = rows[scores[rows] >= least]
+    ids, found = shard.ids[rows], scores[rows]
+    first = np.lexsort((ids, -found))[:k]
+    return ids[first], found[first]
 
 
 def _matrix(lists: pa.Array, width: int) -> np.ndarray:

@@ -87,15 +87,16 @@ def test_max_score_of_one_shard(seed):
         assert list(zip(got_ids.tolist(), got.tolist(), strict=True)) == want
 
 
-def test_thresholds_save_work():
+def test_thresholds_save_work(monkeypatch):
     """With the threshold of a first shard most probes of the others are left out."""
     rng = np.random.default_rng(1)
     centers = rng.normal(size=(40, 64))
     values = np.floor(200 * (centers[rng.integers(0, 40, 4000)] + 0.3 * rng.normal(size=(4000, 64)))).astype(np.int64)
     shard = topk.Shard.of(np.arange(4000), values).prepared()
     query = values[17]
-    probed = []
-    plain = shard.probe
-    shard.probe = lambda term, rows: probed.append(len(rows)) or plain(term, rows)
+    left = []
+    plain = topk.Shard.add
+    monkeypatch.setattr(topk.Shard, "add", lambda self, s, rows, *term: left.append(len(rows)) or plain(self, s, rows, *term))
     ids, scores = topk.best(shard, 17, query, 10, int(np.sort(values @ query)[-20]))
-    assert len(ids) == 10 and sum(probed) < 0.5 * 4000 * 64
+    assert len(ids) == 10 and sum(left) < 0.5 * 4000 * 64
+    assert topk.best(shard, 17, query, 10, int(scores.max()) * 50)[0].tolist() == []
