@@ -14,6 +14,7 @@ from orderloom.llm import bagminhash, shingles
 from orderloom.llm.common import list_array, text_of, visit
 from orderloom.llm.components import components
 from orderloom.llm.words import string_slices
+from orderloom.llm.worker import release
 from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
 from orderloom.session import shared_dir
 from orderloom.sources.tables import written
@@ -22,6 +23,9 @@ from orderloom.sources.tables import written
 BANDS, ROWS = 30, 5
 SIMILARITY = 0.8
 
+# Bytes of text that are signed or compared together.
+PART_BYTES = 1 << 20
+
 # Members, and bytes of their texts, that one block of a bucket holds on average; blocks are paired.
 BLOCK_MEMBERS, BLOCK_BYTES = 512, 2 << 20
 
@@ -37,6 +41,7 @@ def content_key(text: Column) -> Column:
     """16 bytes that texts with the same words in the same order share; NULL without words."""
 
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in batches:
             found = [_content_keys(part) for (part,) in _parts(batch, most=len(batch))]
             yield pa.concat_arrays(found) if found else pa.array([], pa.binary())
@@ -46,7 +51,7 @@ def content_key(text: Column) -> Column:
 
 def _parts(first: pa.Array, *others: pa.Array, most: int) -> Iterator[list[pa.Array]]:
     """Slices of columns of one length, cut by the bytes and the number of the first column's texts."""
-    for i, j in string_slices(first):
+    for i, j in string_slices(first, PART_BYTES):
         for k in range(i, j, most):
             yield [column.slice(k, min(most, j - k)) for column in (first, *others)]
 
@@ -55,6 +60,7 @@ def _signed(bands: int, rows: int):
     """The content key of every text, and a hash for each band of its signature."""
 
     def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in batches:
             nodes, keys = [pa.array([], pa.binary())], [np.zeros((0, bands), np.uint64)]
             for (part,) in _parts(batch, most=shingles.MOST_TEXTS):
@@ -69,6 +75,7 @@ def _signed(bands: int, rows: int):
 
 
 def _similarities(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    release()
     for left, right in batches:
         parts = _parts(left, right, most=shingles.MOST_TEXTS // 2)
         found = [shingles.similarities(a, b) for a, b in parts]
@@ -173,6 +180,7 @@ def block_links(mixed: DataFrame, texts: DataFrame, similarity: float) -> DataFr
 
 
 def _block_links(group: pa.Table, similarity: float) -> pa.Table:
+    release()
     nodes, roots = group.column("node").to_pylist(), group.column("root").to_pylist()
     numbers: dict[bytes, int] = {}
     root = np.array([numbers.setdefault(r, len(numbers)) for r in roots], np.int64)

@@ -20,8 +20,19 @@ def keep(key: Hashable, build: Callable[[], Kept]) -> Kept:
     went through would add up, so the last one is dropped before the next is built.
     """
     if not _kept or _kept[0][0] != key:
+        release()
+        _kept.append((key, build()))
+    return _kept[0][1]
+
+
+def release() -> None:
+    """Give back what an operator before has left; for visits that keep nothing themselves."""
+    if _kept:
         _kept.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
-        _kept.append((key, build()))
-    return _kept[0][1]
+
+
+def kept() -> list[Hashable]:
+    """The keys of what this worker holds."""
+    return [key for key, _ in _kept]
