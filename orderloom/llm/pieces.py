@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.llm.chunks import ChunkIds, flattened
-from orderloom.llm.common import list_array, offsets_of, ranges, text_of, visit
-from orderloom.llm.words import text_steps
+from orderloom.llm.common import fresh, list_array, offsets_of, ranges, text_of, visit
+from orderloom.llm.words import string_slices, text_steps
 from orderloom.llm.worker import keep
 
 MARK = "▁"
@@ -155,25 +156,38 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded
     return docs.withColumn(into, visit(decoded, "string")(present))
 
 
-def round_trip(docs: DataFrame, model: bytes, text: str = "text", into: str = "pieces") -> DataFrame:
-    """Add a struct ``ids, decoded``: what :func:`encode` and, from these ids, :func:`decode` give.
+def round_trip(
+    docs: DataFrame, model: bytes, text: str = "text", into: str = "pieces", carried: Sequence[str] | None = None
+) -> DataFrame:
+    """Add a struct ``ids, decoded, same``: what :func:`encode` and, from these ids, :func:`decode` give, and
+    whether that is the text. NULL counts as the empty text.
 
-    Both are done in one visit to the Python workers.
+    All is done in one visit to the Python workers, which hand back a few texts at a time. Of the other columns
+    those ``carried`` come along, all by default.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
-
-    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    names = [c for c in (docs.columns if carried is None else carried) if c.lower() != into.lower()]
+    given = fresh(docs, "_given")
+    read = docs.select(*[F.col(f"`{c}`") for c in names], text_of(text).alias(given))
+    kind = T.StructType.fromDDL("ids array<int>, decoded string, same boolean")
+    schema = T.StructType([*read.schema.fields[:-1], T.StructField(into, kind)])
+    arrow = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string()), ("same", pa.bool_())])
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(sent.value)
         for batch in batches:
-            parts = []
-            for texts in text_steps(batch):
-                lengths, ids = pieces.encode(texts)
-                columns = [list_array(lengths, ids, pa.int32()), pa.array(pieces.decode(lengths, ids), pa.string())]
-                parts.append(pa.StructArray.from_arrays(columns, names=["ids", "decoded"]))
-            yield _concat(parts, kind)
-
-    return docs.withColumn(into, visit(both, "struct<ids:array<int>,decoded:string>")(text_of(text)))
+            texts = batch.column(len(names))
+            for i, j in string_slices(texts):
+                part = texts.slice(i, j - i).to_pylist()
+                lengths, ids = pieces.encode(part)
+                decoded = pieces.decode(lengths, ids)
+                same = pa.array([x == y for x, y in zip(part, decoded, strict=True)], pa.bool_())
+                columns = [list_array(lengths, ids, pa.int32()), pa.array(decoded, pa.string()), same]
+                found = pa.StructArray.from_arrays(columns, names=["ids", "decoded", "same"]).cast(arrow)
+                others = [batch.column(k).slice(i, j - i) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*others, found], names=[*names, into])
+
+    return read.mapInArrow(both, schema)
 
 
 def _concat(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:

@@ -51,8 +51,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.round_trip(docs, model).select("doc_id", "pieces.ids", "pieces.decoded")
+    coded = pieces.round_trip(table(spark, sf_dir, "documents"), model, carried=["doc_id"])
+    coded = coded.select("doc_id", "pieces.ids", "pieces.decoded")
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
         "doc_id",

@@ -88,6 +88,13 @@ def test_sentencepiece(spark, documents, messy):
     for row in pieces.decode(coded, MODEL, into="left").collect():
         assert row.ids == library.encode(row.text or "") and row.left == library.decode(row.ids)
     assert pieces.round_trip(messy.limit(0), MODEL).count() == 0
+    both = pieces.round_trip(messy, MODEL, into="left")
+    assert sorted(both.columns) == sorted(messy.columns)
+    assert len(rows := both.collect()) == len(ROWS)
+    for row in rows:
+        ids = library.encode(row.text or "")
+        assert tuple(row.left) == (ids, library.decode(ids), library.decode(ids) == (row.text or ""))
+    assert pieces.round_trip(messy, MODEL, carried=["doc_id", "row"]).columns == ["doc_id", "row", "pieces"]
 
 
 def test_token_files(spark, documents, messy):
