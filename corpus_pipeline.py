@@ -50,14 +50,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids``, and whether decoding gives the text back."""
     model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
-    coded = pieces.round_trip(docs.select("doc_id", "lang", "source", "text"), model)
+    coded = pieces.round_trip(docs, model, carried=["doc_id", "lang", "source"])
     return coded.select(
         "doc_id",
         "lang",
         "source",
         F.size("pieces.ids").cast("long").alias("n_tokens"),
         "pieces.ids",
-        (F.col("pieces.decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        F.col("pieces.same").alias("round_trip"),
     )
 
 
