@@ -28,17 +28,18 @@ from orderloom.sources.csv_files import delivered_rows, read_csv  # noqa: E402
 from orderloom.sources.tables import load_table, written  # noqa: E402
 from orderloom.streaming import arrivals  # noqa: E402
 
-# The corpus operators and their pipeline may be taken out together; an import error inside them is one as ever.
-if (Path(__file__).resolve().parent / "orderloom" / "llm" / "__init__.py").exists():
-    import corpus_pipeline  # noqa: E402
-    from orderloom.llm import queries as llm_queries  # noqa: E402
-
+# The corpus operators and their pipeline may be taken out together, or lack a library they need.
+try:
+    import corpus_pipeline
+    from orderloom.llm import queries as llm_queries
+except ImportError as missing:
+    print(f"corpus queries left out: {missing}", file=sys.stderr)
+    CORPUS_QUERIES, CORPUS_SQL = {}, {}
+else:
     CORPUS_QUERIES = llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     CORPUS_SQL = llm_queries.oracle_sql()
     if corpus_pipeline.ORACLE_SQL is not None:
         CORPUS_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
-else:
-    CORPUS_QUERIES, CORPUS_SQL = {}, {}
 
 # The categories and regions of the test tables.
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
