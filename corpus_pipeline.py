@@ -20,9 +20,18 @@ LINE_SITES = 10
 # letters in a row are known. Running text has 0.3. Short texts say too little to be rejected for it.
 MOST_PHRASES, LEAST_CHARS = 0.8, 20
 
+# Bytes of whole texts that go to a Python worker at once, and the setting that says so.
+BATCH_BYTES, _BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches, which workers of all stages and their executors hold several times over."""
+    spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones are in; no letters, or strange ones, are rejected."""
+    _small_batches(spark)
     found = language.identify(docs, language.learn(docs), into="_language")
     known = F.col("_language.lang_pred") != language.UNKNOWN
     strange = (F.col("_language.rate") > MOST_PHRASES) & (F.char_length("text") >= LEAST_CHARS)
@@ -39,16 +48,19 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of copies and near copies."""
+    _small_batches(spark)
     return near_dedup.remove_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    _small_batches(spark)
     return decontaminate.remove_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids``, and whether decoding gives the text back."""
+    _small_batches(spark)
     model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
     coded = pieces.round_trip(docs, model, carried=["doc_id", "lang", "source"])
     return coded.select(
