@@ -172,6 +172,21 @@ def _stream(dedup: bool) -> Query:
     return query
 
 
+def _two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams into one table, sharing a tenth of their rows; then the first once more, its checkpoint lost."""
+    raw = testdata.raw_orders(spark, sf_dir)
+    part = F.pmod(F.xxhash64("order_id", "load_timestamp"), F.lit(10))
+    target = shared_dir(spark, "landed")
+    feeds = [shared_dir(spark, "feed") for _ in range(2)]
+    for feed, rows in zip(feeds, (raw.filter(part <= 5), raw.filter(part >= 5)), strict=True):
+        rows.repartition(4).write.option("header", True).csv(feed)
+    for feed in (feeds[0], feeds[1], feeds[0]):
+        stream = arrivals.stream_csv(spark, feed, RAW_ORDERS, max_files=2)
+        arrivals.finish(arrivals.load_without_retries(stream, target, shared_dir(spark, "marks")))
+    landed = spark.read.parquet(target)
+    return landed.select(*[c for c in RAW_ORDERS.names if c != "load_timestamp"])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The monthly KPI mart from raw tables: every model of the engine in one plan."""
     return queries()["mart_monthly_kpis"](spark, "/root/testdata/sf0.001")
@@ -222,6 +237,7 @@ def queries() -> dict[str, Query]:
         "published_test_results": _published("test_results"),
         "stream_raw_load": _stream(dedup=False),
         "stream_retry_dedup": _stream(dedup=True),
+        "stream_two_feeds": _two_feeds,
     }
     registered = {name: _as_portable(query) for name, query in found.items()}
     return registered | CORPUS_QUERIES

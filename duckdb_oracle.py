@@ -350,4 +350,5 @@ SELECT category FROM top GROUP BY category HAVING count(*) = (SELECT count(*) FR
 SELECT 'orders_raw' AS table_name, count(*) AS expected_rows, count(*) AS actual_rows, 'OK' AS status FROM orders_raw""",
         "stream_raw_load": f"WITH {_RAW_ORDERS} SELECT {raw_columns} FROM orders_raw",
         "stream_retry_dedup": f"WITH {_RAW_ORDERS} SELECT DISTINCT order_id, customer_id, product_id, quantity, order_date, source_system FROM orders_raw",
+        "stream_two_feeds": f"WITH {_RAW_ORDERS} SELECT DISTINCT order_id, customer_id, product_id, quantity, order_date, source_system FROM orders_raw",
     }

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from orderloom.operators.dedup import dedup_earliest
+from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
 from orderloom.sources.csv_files import CSV_OPTIONS, stamped
 
-BATCH = "batch"
+# The folder level of a landed table, and into how many a new one is dealt.
+BUCKET = "bucket"
+BUCKETS = 64
 
 
 def stream_csv(
@@ -44,29 +47,74 @@ def load_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    """The folder a key lands in. It depends on the key alone, so every feed looks for it in the same place."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def land_new_keys(
+    batch: DataFrame,
+    path: str,
+    key: str,
+    arrival: str,
+    buckets: int = BUCKETS,
+    limit_bytes: int = BROADCAST_LIMIT,
+) -> None:
+    """Append to the landed table at ``path`` the earliest row of every key it does not hold yet.
+
+    The table is dealt to folders by the hash of its key. Only the folders of the batch's keys are read, and of
+    them the key column alone. While the batch's keys are few by measure, they are sent to the landed files; the landed table
+    itself is then not shuffled, and what is found there is no larger than the batch.
+
+    Nothing that has landed is rewritten or removed. A batch that is repeated, wholly or in part, finds its rows
+    landed and adds the others. Batches of one table must come one after another.
+    """
+    spark = batch.sparkSession
+    first = dedup_earliest(batch, [key], arrival).withColumn(BUCKET, bucket_of(key, buckets))
+    # Kept for the visits below; an executor that is lost computes its part again.
+    first = first.persist()
+    try:
+        touched = [row[0] for row in first.select(BUCKET).distinct().collect()]
+        landed = T.StructType([*stamped(batch).schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        # Leaves a folder without files, so that the first batch has one to read.
+        spark.createDataFrame([], landed).write.mode("append").partitionBy(BUCKET).parquet(path)
+        seen = spark.read.schema(landed).parquet(path).filter(F.col(BUCKET).isin(touched))
+        wanted = first.select(F.col(BUCKET).alias("_bucket"), F.col(key).alias("_key"))
+
+        def same(bucket: str, value: str) -> Column:
+            return (F.col(BUCKET) == F.col(bucket)) & F.col(key).eqNullSafe(F.col(value))
+
+        few = broadcast_if_small(wanted, limit_bytes)
+        known = seen.select(BUCKET, key).join(few, same("_bucket", "_key"), "left_semi").distinct()
+        known = known.select(F.col(BUCKET).alias("_bucket"), F.col(key).alias("_key"))
+        new = first.join(known, same("_bucket", "_key"), "left_anti")
+        stamped(new.drop(BUCKET)).withColumn(BUCKET, bucket_of(key, buckets)).write.mode("append").partitionBy(
+            BUCKET
+        ).parquet(path)
+    finally:
+        first.unpersist()
+
+
 def load_without_retries(
-    stream: DataFrame, path: str, checkpoint: str, key: str = "order_id", arrival: str = "load_timestamp"
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: str = "order_id",
+    arrival: str = "load_timestamp",
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Like :func:`load_available`, with each key landed once, however late its repeats are.
 
     A micro-batch keeps the earliest row of every key, combined before the
-    shuffle, and then only keys that no earlier batch has landed. There is no
+    shuffle, and of these the keys that have not landed (:func:`land_new_keys`). There is no
     watermark, so no row is dropped for being late, and no state to outgrow
-    memory: what was seen is the landed table itself, of which the key column is read.
-    Every batch overwrites a folder of its own, so one that is repeated after a failure
-    lands once. Of repeats in different batches the one loaded first stays.
+    memory: what was seen is the landed table itself. It may be fed by several streams, each with a checkpoint
+    of its own, one at a time, and a lost or replaced checkpoint loads the same files again without landing a row twice.
+    Of repeats in different batches the one loaded first stays. ``buckets`` must not change while a table lives.
     """
-    spark = stream.sparkSession
-    landed = stamped(stream).schema
-    spark.createDataFrame([], landed).write.mode("overwrite").parquet(f"{path}/{BATCH}=-1")
-    with_batch = T.StructType([*landed.fields, T.StructField(BATCH, T.LongType())])
 
     def land(batch: DataFrame, number: int) -> None:
-        seen = batch.sparkSession.read.schema(with_batch).parquet(path).filter(F.col(BATCH) < number)
-        seen = seen.select(F.col(key).alias("_seen"))
-        first = dedup_earliest(batch, [key], arrival)
-        new = first.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
-        stamped(new).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        land_new_keys(batch, path, key, arrival, buckets)
 
     return (
         stream.writeStream.foreachBatch(land)
