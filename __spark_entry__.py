@@ -156,6 +156,20 @@ def _published(table: str) -> Query:
     return query
 
 
+def _delivered(table: str, run_id: str | None = None) -> Query:
+    """The whole pipeline over a first delivery, then only the months that a second one touches."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_dir(spark, "warehouse")
+        dimensions = {name: getattr(testdata, f"raw_{name}")(spark, sf_dir).to(RAW[name]) for name in ("customers", "products")}
+        first, second = (df.to(RAW_ORDERS) for df in testdata.raw_deliveries(spark, sf_dir))
+        pipeline.run_pipeline(spark, dimensions | {"orders_raw": first}, root, "run-1")
+        pipeline.run_delivery(spark, dimensions | {"orders_raw": second}, root, "run-2")
+        return pipeline.read_current(spark, root, table, run_id)
+
+    return query
+
+
 def _stream(dedup: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, target, marks = (shared_dir(spark, name) for name in ("feed", "landed", "marks"))
@@ -235,6 +249,9 @@ def queries() -> dict[str, Query]:
         "published_revenue_trends": _published("revenue_trends"),
         "published_orphan_audit": _published("orphan_audit"),
         "published_test_results": _published("test_results"),
+        "incremental_monthly_kpis": _delivered("mart_monthly_kpis"),
+        "incremental_revenue_trends": _delivered("revenue_trends"),
+        "published_as_of": _delivered("mart_monthly_kpis", "run-1"),
         "stream_raw_load": _stream(dedup=False),
         "stream_retry_dedup": _stream(dedup=True),
         "stream_two_feeds": _two_feeds,

@@ -60,6 +60,12 @@ orders_raw AS (
   SELECT order_id, customer_id, product_id, quantity, order_date, load_timestamp, source_system FROM all_writes)"""
 )
 
+# What arrived before the second delivery.
+_FIRST_DELIVERY = _ORDERS_KEYED + """,
+orders_raw AS (
+  SELECT order_id, customer_id, product_id, quantity, order_date, load_timestamp, source_system FROM all_writes
+  WHERE load_timestamp < TIMESTAMP '2001-01-01 00:00:00')"""
+
 _RAW_ORDERS_BAD = (
     _ORDERS_KEYED
     + """,
@@ -345,6 +351,9 @@ SELECT category FROM top GROUP BY category HAVING count(*) = (SELECT count(*) FR
         "published_monthly_kpis": f"{_FACTS} {_monthly()}",
         "published_revenue_trends": _trends("ROWS", "order_date", "{}"),
         "published_orphan_audit": f"{_JOINED} {audit}",
+        "incremental_monthly_kpis": f"{_FACTS} {_monthly()}",
+        "incremental_revenue_trends": _trends("ROWS", "order_date", "{}"),
+        "published_as_of": f"WITH {_FIRST_DELIVERY}{_STG_ORDERS},{_DIMENSIONS}{_VALIDATED}{_FACT} {_monthly()}",
         "published_test_results": f"{_FACTS} {_test_rows()}",
         "csv_reconciliation": f"""WITH {_RAW_ORDERS}
 SELECT 'orders_raw' AS table_name, count(*) AS expected_rows, count(*) AS actual_rows, 'OK' AS status FROM orders_raw""",

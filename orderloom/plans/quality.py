@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.dates import month_of
@@ -14,15 +14,37 @@ from orderloom.operators import checks
 from orderloom.operators.lookup import BROADCAST_LIMIT
 
 
-def orphan_audit(validated: DataFrame) -> DataFrame:
-    """How many staged orders were excluded, and for which missing key."""
+def orphan_metrics() -> list[Column]:
+    """The counts of :func:`orphan_audit`, to be taken in an aggregate or on the way to a table."""
     customer, product = F.col("is_valid_customer"), F.col("is_valid_product")
-    return validated.agg(
-        F.count("*").alias("staged"),
+    return [
+        F.count(F.lit(1)).alias("staged"),
         F.count_if(~customer).alias("orphan_customer"),
         F.count_if(~product).alias("orphan_product"),
         F.count_if(~customer & ~product).alias("orphan_both"),
         F.count_if(customer & product).alias("valid"),
+    ]
+
+
+def orphan_audit(validated: DataFrame) -> DataFrame:
+    """How many staged orders were excluded, and for which missing key."""
+    return validated.agg(*orphan_metrics())
+
+
+def order_key_failures(validated: DataFrame) -> DataFrame:
+    """One row: repeated and missing order ids among all orders and among those of the fact.
+
+    The staged, the validated and the fact table hold the same orders, the fact fewer of them, so one grouping by
+    order id answers for all three.
+    """
+    valid = F.col("is_valid_customer") & F.col("is_valid_product")
+    per_key = validated.groupBy("order_id").agg(F.count("*").alias("n"), F.count_if(valid).alias("valid"))
+    present, none = F.col("order_id").isNotNull(), F.lit(0).cast("long")
+    return per_key.agg(
+        F.count_if(present & (F.col("n") > 1)).alias("unique_orders"),
+        F.count_if(present & (F.col("valid") > 1)).alias("unique_fact"),
+        F.coalesce(F.sum(F.when(~present, F.col("n"))), none).alias("null_orders"),
+        F.coalesce(F.sum(F.when(~present, F.col("valid"))), none).alias("null_fact"),
     )
 
 
@@ -96,3 +118,22 @@ def run_tests(models: Mapping[str, DataFrame], limit_bytes: int = BROADCAST_LIMI
             )
         )
     return reduce(DataFrame.unionByName, parts).select("table_name", "test", "column_name", "failures")
+
+
+@dataclass(frozen=True)
+class Failures:
+    """What the writing passes of a run have counted."""
+
+    unique: Mapping[str, int]
+    not_null: Mapping[str, int]
+    null_dates: int
+    relationships: Mapping[str, int]
+
+
+def test_rows(found: Failures) -> list[tuple[str, str, str, int]]:
+    """The declared tests as rows ``table_name, test, column_name, failures``, the same 17 as :func:`run_tests`."""
+    rows = []
+    for table, key in KEYS.items():
+        rows += [(table, "unique", key, found.unique[table]), (table, "not_null", key, found.not_null[table])]
+    rows += [(table, "not_null", column, found.null_dates) for table, columns in NOT_NULL.items() for column in columns]
+    return rows + [(r.table, "relationships", r.column, found.relationships[r.column]) for r in RELATIONSHIPS]

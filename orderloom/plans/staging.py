@@ -48,12 +48,27 @@ def _parsed_date():
     return parse_by_source(F.col("source_system"), F.col("order_date"), DATE_PATTERNS)
 
 
-def stg_orders(raw: DataFrame) -> DataFrame:
-    """One row per order: retries dropped, dates in one type, late rows flagged."""
-    dated = _one_per_order(raw).withColumn("order_date", _parsed_date())
+# What the source wrote as the date of an order, kept beside it in stored tables.
+DATE_TEXT = "order_date_text"
+
+
+def stg_orders(raw: DataFrame, keep_text: bool = False) -> DataFrame:
+    """One row per order: retries dropped, dates in one type, late rows flagged.
+
+    With ``keep_text`` the date as delivered stays as ``order_date_text``; :func:`as_delivered` turns such rows back.
+    """
+    first = _one_per_order(raw)
+    if keep_text:
+        first = first.withColumn(DATE_TEXT, F.col("order_date"))
+    dated = first.withColumn("order_date", _parsed_date())
     return flag_late(dated, "order_date", "load_timestamp")
 
 
+def as_delivered(staged: DataFrame) -> DataFrame:
+    """Staged orders in the shape of the raw table, to be staged again with later deliveries."""
+    return staged.drop("order_date").withColumnRenamed(DATE_TEXT, "order_date").select(*RAW_ORDERS.names)
+
+
 def bad_dates(raw: DataFrame) -> DataFrame:
     """Staged orders without a usable date, with what was delivered and why it failed."""
     known = F.col("source_system").isin(*DATE_PATTERNS)

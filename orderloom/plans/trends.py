@@ -28,7 +28,12 @@ def revenue_trends(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     so even the ungrouped window is bounded by the calendar whatever the order
     volume; a century of sales is 36,525 rows.
     """
-    return rolling_rows(daily_revenue(orders, by), "order_date", "daily_revenue", TREND_FRAMES, _NAMES, by)
+    return trends_of_days(daily_revenue(orders, by), by)
+
+
+def trends_of_days(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The trends of daily revenue that has been summed before."""
+    return rolling_rows(daily, "order_date", "daily_revenue", TREND_FRAMES, _NAMES, by)
 
 
 def revenue_trends_calendar(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import timedelta
 
 from pyspark.sql import SparkSession
 
+from orderloom.sources import folders
+
 # Settings the plans rely on. All but the time zone and the last two are Spark 4
 # defaults, stated here because correctness at scale depends on them: skewed
 # join partitions are split at run time, and small ones are merged.
@@ -72,9 +76,25 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     setting gets a temporary folder; on a cluster a missing setting is an error,
     because a machine-local folder would be lost with its machine.
     """
+    return f"{_shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="orderloom-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def remove_shared_dirs(spark: SparkSession, older_than: timedelta) -> list[str]:
+    """Remove folders that :func:`shared_dir` named and nothing has changed for ``older_than``; returns them.
+
+    A result that is still to be read may lie in one, so choose a time no job takes.
+    """
+    ours = re.compile(r".+-[0-9a-f]{32}")
+    entries = folders.children(spark, _shared_root(spark))
+    found = [e.path for e in entries if e.is_folder and ours.fullmatch(e.name) and folders.is_older(e, older_than)]
+    folders.remove(spark, found)
+    return found

@@ -93,6 +93,17 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders_with_key(spark, sf_dir).drop("k")
 
 
+# Fixed value: orders that arrive from here on are a second delivery.
+SECOND_DELIVERY = "2001-01-01 00:00:00"
+
+
+def raw_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``raw_orders`` in two deliveries by arrival; the second has late orders of earlier months."""
+    orders = raw_orders(spark, sf_dir)
+    second = F.col("load_timestamp") >= F.lit(SECOND_DELIVERY).cast("timestamp_ntz")
+    return orders.filter(~second), orders.filter(second)
+
+
 def raw_orders_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_orders`` with unreadable dates, missing dates and an unknown source added."""
     k = F.col("k")

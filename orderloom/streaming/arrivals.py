@@ -8,12 +8,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from orderloom.operators.dedup import dedup_earliest
-from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
+from orderloom.operators.lookup import BROADCAST_LIMIT
 from orderloom.sources.csv_files import CSV_OPTIONS, stamped
+from orderloom.sources.folders import children
+from orderloom.sources.tables import spread
 
 # The folder level of a landed table, and into how many a new one is dealt.
 BUCKET = "bucket"
-BUCKETS = 64
+BUCKETS = 16
+
+# Of a key in memory, besides its text.
+_KEY_BYTES = 64
 
 
 def stream_csv(
@@ -74,23 +79,24 @@ def land_new_keys(
     # Kept for the visits below; an executor that is lost computes its part again.
     first = first.persist()
     try:
-        touched = [row[0] for row in first.select(BUCKET).distinct().collect()]
+        size = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + F.lit(_KEY_BYTES)
+        met = first.agg(F.collect_set(BUCKET).alias("buckets"), F.sum(size).alias("bytes")).first()
         landed = T.StructType([*stamped(batch).schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        # Leaves a folder without files, so that the first batch has one to read.
-        spark.createDataFrame([], landed).write.mode("append").partitionBy(BUCKET).parquet(path)
-        seen = spark.read.schema(landed).parquet(path).filter(F.col(BUCKET).isin(touched))
-        wanted = first.select(F.col(BUCKET).alias("_bucket"), F.col(key).alias("_key"))
-
-        def same(bucket: str, value: str) -> Column:
-            return (F.col(BUCKET) == F.col(bucket)) & F.col(key).eqNullSafe(F.col(value))
-
-        few = broadcast_if_small(wanted, limit_bytes)
-        known = seen.select(BUCKET, key).join(few, same("_bucket", "_key"), "left_semi").distinct()
-        known = known.select(F.col(BUCKET).alias("_bucket"), F.col(key).alias("_key"))
-        new = first.join(known, same("_bucket", "_key"), "left_anti")
-        stamped(new.drop(BUCKET)).withColumn(BUCKET, bucket_of(key, buckets)).write.mode("append").partitionBy(
-            BUCKET
-        ).parquet(path)
+        new = first
+        if met["buckets"] and children(spark, path):
+            seen = spark.read.schema(landed).parquet(path).filter(F.col(BUCKET).isin(met["buckets"]))
+            # What has landed of the batch's keys is no larger than these, so both go the same way.
+            send = F.broadcast if met["bytes"] <= limit_bytes else lambda df: df
+            wanted = send(first.select(F.col(BUCKET).alias("_bucket"), F.col(key).alias("_key")))
+
+            def same() -> Column:
+                return (F.col(BUCKET) == F.col("_bucket")) & F.col(key).eqNullSafe(F.col("_key"))
+
+            known = seen.select(BUCKET, key).join(wanted, same(), "left_semi")
+            known = send(known.select(F.col(BUCKET).alias("_bucket"), F.col(key).alias("_key")))
+            new = first.join(known, same(), "left_anti")
+        rows = stamped(new.drop(BUCKET)).withColumn(BUCKET, bucket_of(key, buckets))
+        spread(rows, BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
     finally:
         first.unpersist()
 

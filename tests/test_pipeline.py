@@ -1,7 +1,7 @@
 import pytest
 from frames import CUSTOMER, PRODUCT, order, raw_customers, raw_orders, raw_products
 
-from orderloom.sources.csv_files import delivered_rows, read_csv
+from orderloom.sources.csv_files import CsvFeeds, delivered_rows, read_csv
 from orderloom.plans import marts, pipeline, trends
 from orderloom.schemas import LOADED_AT, RAW
 from orderloom.session import MOST_PARTITIONS, sized_shuffles
@@ -66,8 +66,8 @@ def test_running_twice_changes_nothing(spark, feeds, tmp_path):
 
 def test_broadcast_limit_reaches_the_tests(spark, feeds, tmp_path, monkeypatch):
     limits = []
-    relationships = pipeline.checks.relationships
-    monkeypatch.setattr(pipeline.checks, "relationships", lambda *how: limits.append(how[-1]) or relationships(*how))
+    lookup = pipeline.lookup
+    monkeypatch.setattr(pipeline, "lookup", lambda *how: limits.append(how[-1]) or lookup(*how))
     run = pipeline.run_pipeline(spark, feeds, str(tmp_path), "r1", limit_bytes=0)
     assert limits == [0, 0] and {r.failures for r in run.tests} == {0}
 
@@ -130,6 +130,9 @@ def test_short_load_stops_the_run(spark, tmp_path):
     feeds = feeds_of(spark, order("1")) | {"products": read_csv(spark, str(path), RAW["products"])}
     delivered = {"products": delivered_rows(spark, str(path)), "orders_raw": 1}
     assert delivered["products"] == 3
+    counted = CsvFeeds(feeds, {"products": str(path)}, multiline=False)
+    with pytest.raises(pipeline.PipelineStopped, match="products: expected 3 rows, table has 2"):
+        pipeline.run_pipeline(spark, counted, str(tmp_path / "out"), "r0")
     with pytest.raises(pipeline.PipelineStopped, match="products: expected 3 rows, table has 2"):
         pipeline.run_pipeline(spark, feeds, str(tmp_path / "out"), "r1", delivered=delivered)
 
