@@ -185,7 +185,9 @@ top AS (SELECT * FROM ranked WHERE rank <= {n})"""
 
 def _heatmap(categories: list[str]) -> str:
     columns = ", ".join(f"sum(CASE WHEN category = '{c}' THEN revenue END)::DOUBLE AS \"{c}\"" for c in categories)
-    return f"{_BY_SEGMENT} SELECT region, {columns} FROM segments GROUP BY region"
+    known = ", ".join(f"'{c}'" for c in categories)
+    others = f"sum(CASE WHEN category IS NULL OR category NOT IN ({known}) THEN revenue END)::DOUBLE AS others"
+    return f"{_BY_SEGMENT} SELECT region, {columns}, {others} FROM segments GROUP BY region"
 
 
 def _sumif(regions: list[str]) -> str:
@@ -337,6 +339,8 @@ SELECT category, revenue::DOUBLE AS total_revenue, margin::DOUBLE AS gross_margi
        {_as_double('pct - overall')} AS distance
 FROM per_category, lines""",
         "region_category_heatmap": _heatmap(categories),
+        "customers_by_year": f"""{_FACTS}
+SELECT year(order_date) AS order_year, region, count(DISTINCT customer_id) AS customers FROM fct_orders GROUP BY ALL""",
         "conditional_totals": _sumif(regions),
         "kpi_breakdowns": f"""{_BY_SEGMENT}
 SELECT region, category,

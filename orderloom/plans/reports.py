@@ -81,6 +81,12 @@ def margin_vs_revenue(segments: DataFrame) -> DataFrame:
     )
 
 
+def categories_of(products: DataFrame) -> list[str]:
+    """The categories of the product dimension, in order. Runs a job on it."""
+    found = products.select("category").filter(F.col("category").isNotNull()).distinct()
+    return sorted(row[0] for row in found.collect())
+
+
 def region_category_heatmap(segments: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """Revenue by region (rows) and category (columns).
 
