@@ -148,6 +148,20 @@ def _csv_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, expected_rows long, actual_rows long, status string")
 
 
+def _quoted_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with line breaks in their names: records delivered, and rows landed whole and a hundredth short."""
+    feed = shared_dir(spark, "products-feed")
+    broken = F.when(F.col("product_id").cast("long") % 3 == 0, F.concat(F.lit('a "b"\n,\n'), "product_name"))
+    named = testdata.raw_products(spark, sf_dir).withColumn("product_name", F.coalesce(broken, "product_name"))
+    named.write.option("header", True).option("escape", '"').csv(feed)
+    landed = read_csv(spark, feed, RAW["products"], multiline=True)
+    short = landed.filter(F.col("product_id").cast("long") % 100 != 7)
+    count = delivered_rows(spark, feed)
+    loads = [load_table(df, name, shared_dir(spark, name), count) for name, df in (("products", landed), ("short", short))]
+    rows = [(load.table, load.expected, load.actual, load.status) for load in loads]
+    return spark.createDataFrame(rows, "table_name string, expected_rows long, actual_rows long, status string")
+
+
 def _heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The categories come from the small product dimension, so the orders are gone through once."""
     customers, products = _customers(spark, sf_dir), _products(spark, sf_dir)
@@ -230,6 +244,7 @@ def queries() -> dict[str, Query]:
         "raw_orders_scan": testdata.raw_orders,
         "csv_load": _csv_load,
         "csv_reconciliation": _csv_reconciliation,
+        "csv_quoted_reconciliation": _quoted_reconciliation,
         "stg_customers": _customers,
         "stg_products": _products,
         "stg_orders": _staged,

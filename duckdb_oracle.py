@@ -361,6 +361,10 @@ SELECT category FROM top GROUP BY category HAVING count(*) = (SELECT count(*) FR
         "published_test_results": f"{_FACTS} {_test_rows()}",
         "csv_reconciliation": f"""WITH {_RAW_ORDERS}
 SELECT 'orders_raw' AS table_name, count(*) AS expected_rows, count(*) AS actual_rows, 'OK' AS status FROM orders_raw""",
+        "csv_quoted_reconciliation": """
+WITH n AS (SELECT count(*) AS a, count(*) FILTER (p_partkey % 100 <> 7) AS b FROM part)
+SELECT 'products' AS table_name, a AS expected_rows, a AS actual_rows, 'OK' AS status FROM n
+UNION ALL SELECT 'short', a, b, CASE WHEN a = b THEN 'OK' ELSE 'MISMATCH' END FROM n""",
         "stream_raw_load": f"WITH {_RAW_ORDERS} SELECT {raw_columns} FROM orders_raw",
         "stream_retry_dedup": f"WITH {_RAW_ORDERS} SELECT DISTINCT order_id, customer_id, product_id, quantity, order_date, source_system FROM orders_raw",
         "stream_two_feeds": f"WITH {_RAW_ORDERS} SELECT DISTINCT order_id, customer_id, product_id, quantity, order_date, source_system FROM orders_raw",

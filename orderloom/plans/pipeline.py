@@ -84,7 +84,7 @@ def csv_feeds(
 ) -> CsvFeeds:
     """The three raw feeds from CSV files, by table name; renamed or moved columns fail."""
     feeds = {name: read_csv(spark, paths[name], schema, multiline, check_header) for name, schema in RAW.items()}
-    return CsvFeeds(feeds, paths, multiline)
+    return CsvFeeds(feeds, paths)
 
 
 def run_pipeline(

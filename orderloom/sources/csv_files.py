@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,25 +41,66 @@ def read_header(spark: SparkSession, path: str) -> T.StructType:
 
 
 def delivered_rows(spark: SparkSession, path: str) -> int:
-    """Rows that a CSV feed without quoted line breaks delivers: its lines, less a header per file.
+    """Records that a CSV feed delivers: those of its files, less a header each.
 
     Counted in the text itself, so that rows which the CSV reader leaves out show up in a reconciliation.
+    A line break between quotes ends no record; quotes stand around whole fields, and twice inside one.
     """
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"))
-    per_file = lines.groupBy("file").agg(F.count("*").alias("n"))
-    return per_file.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()[0]
+    return records_by_file(spark, path).agg(F.coalesce(F.sum(F.col("records") - 1), F.lit(0))).first()[0]
+
+
+def records_by_file(spark: SparkSession, path: str) -> DataFrame:
+    """``file, lines, records``: how many lines and records each file has, header included.
+
+    Files are read in pieces, by many tasks. A line with an odd number of quotes opens a record of several lines or
+    closes it, in turns. The lines inside such records are then a sum over these lines of their number in the file,
+    with a minus where they open. Each piece takes the sum as if it began outside of a record; how many
+    such lines stand before it says whether the sign turns. So only these lines are shuffled, by piece, and
+    a row for each piece. A record that is never closed ends with its file.
+    """
+    text = spark.read.text(path)
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("piece"),
+        F.monotonically_increasing_id().alias("at"),
+        (quotes % 2 == 1).alias("turns"),
+    )
+    keys = ["file", "piece"]
+    pieces = lines.groupBy(*keys).agg(F.count("*").alias("lines"), F.min("at").alias("first"))
+    order = Window.partitionBy(*keys).orderBy("at")
+    turning = lines.filter("turns").withColumn("turn", F.row_number().over(order))
+    sign = F.when(F.col("turn") % 2 == 1, -1).otherwise(1)
+    sums = turning.groupBy(*keys).agg(
+        F.count("*").alias("turns"), F.sum(sign * F.col("at")).alias("ids"), F.sum(sign).alias("signs")
+    )
+    none = F.lit(0).cast("long")
+    found = pieces.join(sums, keys, "left").na.fill(0, ["turns", "ids", "signs"])
+    # A file has a piece for each 128 MB or so.
+    before = Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    placed = found.withColumns(
+        {f"{c}_before": F.coalesce(F.sum(c).over(before), none) for c in ("lines", "turns")}
+    )
+    # The number of a line in its file: the lines before its piece, and its place in the piece.
+    inside = F.col("ids") + F.col("signs") * (F.col("lines_before") - F.col("first") + 1)
+    turned = F.when(F.col("turns_before") % 2 == 1, -inside).otherwise(inside)
+    per_file = placed.groupBy("file").agg(
+        F.sum("lines").alias("lines"), F.sum("turns").alias("turns"), F.sum(turned).alias("inside")
+    )
+    open_end = F.when(F.col("turns") % 2 == 1, F.col("lines")).otherwise(0)
+    return per_file.select("file", "lines", (F.col("lines") - F.col("inside") - open_end).alias("records"))
 
 
 class CsvFeeds(dict):
     """Feeds by table, read from CSV files whose lines can be counted apart from the reader."""
 
-    def __init__(self, feeds: Mapping[str, DataFrame], paths: Mapping[str, str], multiline: bool):
+    def __init__(self, feeds: Mapping[str, DataFrame], paths: Mapping[str, str]):
         super().__init__(feeds)
-        self.paths, self.multiline = dict(paths), multiline
+        self.paths = dict(paths)
 
     def delivered(self, spark: SparkSession) -> dict[str, int]:
-        """Rows that the files hold; unknown, and so left out, where records may span lines."""
-        return {} if self.multiline else {name: delivered_rows(spark, path) for name, path in self.paths.items()}
+        """Rows that the files hold."""
+        return {name: delivered_rows(spark, path) for name, path in self.paths.items()}
 
 
 def stamped(df: DataFrame) -> DataFrame:

@@ -130,7 +130,7 @@ def test_short_load_stops_the_run(spark, tmp_path):
     feeds = feeds_of(spark, order("1")) | {"products": read_csv(spark, str(path), RAW["products"])}
     delivered = {"products": delivered_rows(spark, str(path)), "orders_raw": 1}
     assert delivered["products"] == 3
-    counted = CsvFeeds(feeds, {"products": str(path)}, multiline=False)
+    counted = CsvFeeds(feeds, {"products": str(path)})
     with pytest.raises(pipeline.PipelineStopped, match="products: expected 3 rows, table has 2"):
         pipeline.run_pipeline(spark, counted, str(tmp_path / "out"), "r0")
     with pytest.raises(pipeline.PipelineStopped, match="products: expected 3 rows, table has 2"):
