@@ -27,6 +27,7 @@ from orderloom.schemas import RAW, RAW_ORDERS  # noqa: E402
 from orderloom.session import shared_dir  # noqa: E402
 from orderloom.sources import testdata  # noqa: E402
 from orderloom.sources.csv_files import delivered_rows, read_csv  # noqa: E402
+from orderloom.sources.rejects import load_with_rejects, read_permissive  # noqa: E402
 from orderloom.sources.tables import load_table, written  # noqa: E402
 from orderloom.streaming import arrivals  # noqa: E402
 
@@ -162,6 +163,19 @@ def _quoted_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, expected_rows long, actual_rows long, status string")
 
 
+def _rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order feed with quantities and load times that are none: what its load leaves out, and why."""
+    feed, k = shared_dir(spark, "orders-feed"), F.col("order_id").cast("long")
+    text = {"quantity": F.when(k % 499 == 3, "2.5"), "load_timestamp": F.when(k % 509 == 1, "yesterday")}
+    orders = testdata.raw_orders(spark, sf_dir)
+    faulty = orders.withColumns({c: F.coalesce(wrong, F.col(c).cast("string")) for c, wrong in text.items()})
+    faulty.write.option("header", True).csv(feed)
+    rows = read_permissive(spark, feed, RAW_ORDERS)
+    landed = load_with_rejects(rows, RAW_ORDERS, shared_dir(spark, "landed"), most=delivered_rows(spark, feed))
+    good = landed.good.agg(F.lit("landed").alias("order_id"), F.count("*").cast("string").alias("reason"))
+    return landed.rejects.select(F.split_part("record", F.lit(","), F.lit(1)).alias("order_id"), "reason").unionAll(good)
+
+
 def _heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The categories come from the small product dimension, so the orders are gone through once."""
     customers, products = _customers(spark, sf_dir), _products(spark, sf_dir)
@@ -244,6 +258,7 @@ def queries() -> dict[str, Query]:
         "raw_orders_scan": testdata.raw_orders,
         "csv_load": _csv_load,
         "csv_reconciliation": _csv_reconciliation,
+        "rejected_rows": _rejected_rows,
         "csv_quoted_reconciliation": _quoted_reconciliation,
         "stg_customers": _customers,
         "stg_products": _products,

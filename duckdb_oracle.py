@@ -361,6 +361,13 @@ SELECT category FROM top GROUP BY category HAVING count(*) = (SELECT count(*) FR
         "published_test_results": f"{_FACTS} {_test_rows()}",
         "csv_reconciliation": f"""WITH {_RAW_ORDERS}
 SELECT 'orders_raw' AS table_name, count(*) AS expected_rows, count(*) AS actual_rows, 'OK' AS status FROM orders_raw""",
+        "rejected_rows": f"""WITH {_RAW_ORDERS},
+judged AS (
+  SELECT order_id, CASE WHEN CAST(order_id AS BIGINT) % 499 = 3 THEN 'quantity is no int'
+                        WHEN CAST(order_id AS BIGINT) % 509 = 1 THEN 'load_timestamp is no timestamp_ntz' END AS reason
+  FROM orders_raw)
+SELECT order_id, reason FROM judged WHERE reason IS NOT NULL
+UNION ALL SELECT 'landed', CAST(count(*) AS VARCHAR) FROM judged WHERE reason IS NULL""",
         "csv_quoted_reconciliation": """
 WITH n AS (SELECT count(*) AS a, count(*) FILTER (p_partkey % 100 <> 7) AS b FROM part)
 SELECT 'products' AS table_name, a AS expected_rows, a AS actual_rows, 'OK' AS status FROM n

@@ -25,12 +25,14 @@ from orderloom.session import sized_shuffles
 from orderloom.sources import jdbc
 from orderloom.sources.csv_files import CsvFeeds, read_csv, stamped
 from orderloom.sources.folders import partitions_of
+from orderloom.sources.rejects import TooManyRejects, load_with_rejects, read_permissive
 from orderloom.sources.tables import (
     Load,
     Part,
     load_table,
     publish,
     published_parts,
+    published_tables,
     read_parts,
     read_published,
     spread,
@@ -75,16 +77,31 @@ class Run:
     def landed(self, table: str) -> int:
         return next(load.actual for load in self.loads if load.table == table)
 
+    def rejects(self) -> list[str]:
+        """The tables of rows that were left out, where some may be."""
+        return [name for name in self.tables if name.endswith("_rejects")]
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.tables[table])
 
 
 def csv_feeds(
-    spark: SparkSession, paths: Mapping[str, str], multiline: bool = False, check_header: bool = True
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    multiline: bool = False,
+    check_header: bool = True,
+    most_rejects: int | None = None,
 ) -> CsvFeeds:
-    """The three raw feeds from CSV files, by table name; renamed or moved columns fail."""
-    feeds = {name: read_csv(spark, paths[name], schema, multiline, check_header) for name, schema in RAW.items()}
-    return CsvFeeds(feeds, paths)
+    """The three raw feeds from CSV files, by table name; renamed or moved columns fail.
+
+    A row that does not fit its schema fails the load. With ``most_rejects`` up to so many rows of each feed are left
+    out instead, and published with the reason as ``<table>_rejects``; such feeds have no line breaks between quotes.
+    """
+    if most_rejects is None:
+        feeds = {name: read_csv(spark, paths[name], schema, multiline, check_header) for name, schema in RAW.items()}
+    else:
+        feeds = {name: read_permissive(spark, paths[name], schema, check_header) for name, schema in RAW.items()}
+    return CsvFeeds(feeds, paths, most_rejects)
 
 
 def run_pipeline(
@@ -125,7 +142,7 @@ def run_pipeline(
         daily = attempt.stored("daily_revenue", daily_revenue(attempt.fact))
     attempt.stored("revenue_trends", trends_of_days(daily))
     attempt.stored("orphan_audit", spark.createDataFrame([attempt.audit], _AUDIT))
-    publish(spark, root, run_id, {name: [attempt.part(name)] for name in PUBLISHED})
+    publish(spark, root, run_id, {name: [attempt.part(name)] for name in (*PUBLISHED, *attempt.run.rejects())})
     return attempt.run
 
 
@@ -176,7 +193,8 @@ def run_delivery(
         daily = attempt.stored("daily_revenue", days.unionByName(daily_revenue(attempt.fact)))
     attempt.stored("revenue_trends", trends_of_days(daily))
 
-    parts = {name: [attempt.part(name)] for name in PUBLISHED if name in attempt.run.tables}
+    names = (*PUBLISHED, *attempt.run.rejects())
+    parts = {name: [attempt.part(name)] for name in names if name in attempt.run.tables}
     gone = {f"{MONTH}={month.isoformat()}" for month in months}
     for name in MONTHLY:
         for part in before[name]:
@@ -194,6 +212,11 @@ def read_current(spark: SparkSession, root: str, table: str, run_id: str | None
     return read_published(spark, root, table, run_id)
 
 
+def tables_of(spark: SparkSession, root: str) -> set[str]:
+    """The tables that can be read with :func:`read_current`."""
+    return published_tables(spark, root)
+
+
 def trends_in_database(
     spark: SparkSession,
     connection: jdbc.Connection,
@@ -326,11 +349,23 @@ def _load(
 ) -> dict[str, DataFrame]:
     """Land every feed in the raw layer and compare row counts."""
     raw = {}
+    most_rejects = feeds.most_rejects if isinstance(feeds, CsvFeeds) else None
     for table, declared in RAW.items():
+        path = f"{run.folder}/raw/{table}"
+        if most_rejects is not None:
+            try:
+                landed = load_with_rejects(feeds[table], declared, path, most_rejects)
+            except TooManyRejects as stop:
+                raise PipelineStopped("load", [f"{table}: {stop}"]) from stop
+            rows = landed.good_rows + landed.rejected_rows
+            run.loads.append(Load(table, path, delivered.get(table, rows), rows))
+            run.tables[f"{table}_rejects"] = f"{run.folder}/raw/{table}_rejects"
+            written(landed.rejects, run.tables[f"{table}_rejects"])
+            raw[table] = landed.good
+            continue
         drift = checks.schema_drift(feeds[table].schema, declared)
         if drift:
             raise PipelineStopped("load", [f"{table}: {line}" for line in drift])
-        path = f"{run.folder}/raw/{table}"
         feed = stamped(feeds[table])
         run.loads.append(load_table(feed, table, path, delivered.get(table)))
         run.tables[table] = path

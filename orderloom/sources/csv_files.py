@@ -94,9 +94,9 @@ def records_by_file(spark: SparkSession, path: str) -> DataFrame:
 class CsvFeeds(dict):
     """Feeds by table, read from CSV files whose lines can be counted apart from the reader."""
 
-    def __init__(self, feeds: Mapping[str, DataFrame], paths: Mapping[str, str]):
+    def __init__(self, feeds: Mapping[str, DataFrame], paths: Mapping[str, str], most_rejects: int | None = None):
         super().__init__(feeds)
-        self.paths = dict(paths)
+        self.paths, self.most_rejects = dict(paths), most_rejects
 
     def delivered(self, spark: SparkSession) -> dict[str, int]:
         """Rows that the files hold."""

@@ -106,6 +106,10 @@ def published_runs(spark: SparkSession, root: str) -> DataFrame:
     return _log(spark, root).select("version", "run_id", "published_at").distinct()
 
 
+def published_tables(spark: SparkSession, root: str) -> set[str]:
+    return {row[0] for row in _log(spark, root).select("table_name").distinct().collect()}
+
+
 def published_parts(spark: SparkSession, root: str, table: str, run_id: str | None = None) -> list[Part]:
     """What a published table consists of, now or as the last publication of ``run_id`` left it."""
     log = _log(spark, root).filter(F.col("table_name") == table)
