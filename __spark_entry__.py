@@ -22,6 +22,7 @@ from orderloom.functions.dates import month_of  # noqa: E402
 from orderloom.operators import checks  # noqa: E402
 from orderloom.operators.dedup import dedup_earliest  # noqa: E402
 from orderloom.operators.distinct import distinct_bitmaps, rolled_up  # noqa: E402
+from orderloom.operators.rolling import rolling_rows_in_pieces  # noqa: E402
 from orderloom.plans import marts, pipeline, quality, reports, staging, trends  # noqa: E402
 from orderloom.schemas import RAW, RAW_ORDERS  # noqa: E402
 from orderloom.session import shared_dir  # noqa: E402
@@ -176,6 +177,16 @@ def _rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.rejects.select(F.split_part("record", F.lit(","), F.lit(1)).alias("order_id"), "reason").unionAll(good)
 
 
+def _event_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing sums over single events, all of them in one order."""
+    events = testdata.table(spark, sf_dir, "events")
+    cents = F.floor(F.col("value") * 100).cast("decimal(18,0)")
+    amounts = events.select("event_id", "ts", (cents / 100).cast("decimal(18,2)").alias("amount"))
+    frames, names = {"7": 7, "30": 30}, ("amount_rolling_{}", "avg_amount_{}")
+    folder = shared_dir(spark, "event-trends")
+    return rolling_rows_in_pieces(amounts, ["ts", "event_id"], "amount", frames, names, folder, piece_rows=20_000)
+
+
 def _heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The categories come from the small product dimension, so the orders are gone through once."""
     customers, products = _customers(spark, sf_dir), _products(spark, sf_dir)
@@ -289,6 +300,7 @@ def queries() -> dict[str, Query]:
         "kpi_scorecard": _on_segments(reports.kpi_scorecard),
         "margin_vs_revenue": _on_segments(reports.margin_vs_revenue),
         "region_category_heatmap": _heatmap,
+        "event_trends": _event_trends,
         "customers_by_year": _customers_by_year,
         "conditional_totals": _on_segments(lambda s: reports.conditional_totals(s, REGIONS)),
         "kpi_breakdowns": _on_segments(reports.kpi_breakdowns),

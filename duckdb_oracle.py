@@ -167,6 +167,23 @@ SELECT {by} order_date, revenue::DOUBLE AS daily_revenue, n AS daily_order_count
 FROM framed"""
 
 
+def _event_trends() -> str:
+    """Trailing sums of whole cents, and their averages rounded half away from zero."""
+    columns = ", ".join(
+        f"(sum(cents) OVER w{n})::DECIMAL(18,0) / 100.0 AS s{n}, sum(cents) OVER w{n} AS t{n}, count(cents) OVER w{n} AS c{n}"
+        for n in (7, 30)
+    )
+    windows = ", ".join(f"w{n} AS (ORDER BY ts, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (7, 30))
+    mean = "(CASE WHEN t{0} < 0 THEN -1 ELSE 1 END * ((2 * abs(t{0}) + c{0}) // (2 * c{0})))::DECIMAL(18,0) / 100.0"
+    results = ", ".join(
+        f"s{n}::DOUBLE AS amount_rolling_{n}, ({mean.format(n)})::DOUBLE AS avg_amount_{n}" for n in (7, 30)
+    )
+    return f"""
+WITH e AS (SELECT event_id, ts, CAST(floor(value * 100) AS BIGINT) AS cents FROM events),
+framed AS (SELECT *, {columns} FROM e WINDOW {windows})
+SELECT event_id, ts, (cents::DECIMAL(18,0) / 100.0)::DOUBLE AS amount, {results} FROM framed"""
+
+
 def _monthly(select_from: str = "fct_orders") -> str:
     return f"""
 SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month, region, category,
@@ -339,6 +356,7 @@ SELECT category, revenue::DOUBLE AS total_revenue, margin::DOUBLE AS gross_margi
        {_as_double('pct - overall')} AS distance
 FROM per_category, lines""",
         "region_category_heatmap": _heatmap(categories),
+        "event_trends": _event_trends(),
         "customers_by_year": f"""{_FACTS}
 SELECT year(order_date) AS order_year, region, count(DISTINCT customer_id) AS customers FROM fct_orders GROUP BY ALL""",
         "conditional_totals": _sumif(regions),

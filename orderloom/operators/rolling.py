@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from orderloom.operators.numbering import numbered
 from pyspark.sql.window import WindowSpec
 
 
@@ -35,6 +37,39 @@ def rolling_rows(
     return df.select("*", *_added(measure, specs, names))
 
 
+# Rows of a frame without a partition that one task sees, beside the few it borrows from the piece before.
+PIECE_ROWS = 1 << 20
+
+
+def rolling_rows_in_pieces(
+    df: DataFrame,
+    order: Sequence[str],
+    measure: str,
+    frames: Mapping[str, int],
+    names: tuple[str, str],
+    folder: str,
+    piece_rows: int = PIECE_ROWS,
+) -> DataFrame:
+    """:func:`rolling_rows` over one ordering of all rows, by many tasks.
+
+    Rows are numbered in ``order``, by ranges, and cut into pieces of ``piece_rows``. A piece also gets the last rows of the
+    one before it, as many as the longest frame reaches back, so each frame lies in one piece; they
+    are dropped behind the window. ``order`` must tell rows apart. The numbered rows are written to ``folder``.
+    """
+    reach = max(frames.values()) - 1
+    if piece_rows < max(reach, 1):
+        raise ValueError(f"pieces of {piece_rows} rows are shorter than a frame")
+    place, piece, into = "_place", "_piece", "_into"
+    placed = numbered(df, list(order), folder, place).withColumn(piece, F.floor(F.col(place) / piece_rows))
+    borrowed = F.col(place) % piece_rows >= piece_rows - reach
+    both = F.when(borrowed, F.array(F.col(piece), F.col(piece) + 1)).otherwise(F.array(piece))
+    dealt = placed.withColumn(into, F.explode(both))
+    base = Window.partitionBy(into).orderBy(place)
+    specs = {suffix: base.rowsBetween(1 - rows, Window.currentRow) for suffix, rows in frames.items()}
+    rolled = dealt.select("*", *_added(measure, specs, names))
+    return rolled.filter(F.col(piece) == F.col(into)).drop(place, piece, into)
+
+
 def rolling_days(
     df: DataFrame,
     order: str,
