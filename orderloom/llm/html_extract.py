@@ -34,8 +34,8 @@ def _text_key(text: str) -> int:
 def page_tokens(source: str) -> list[dict]:
     """The distinct tokens of a page: its elements by path, and its texts by path and words.
 
-    ``n`` counts a token's occurrences and ``chars`` the text in an element's
-    occurrences and all that is nested in them, boilerplate left out.
+    ``n`` counts a token's occurrences and ``chars`` the text in all that is nested in an element's
+    occurrences, boilerplate left out. A mere block of text has none, so is never a template's main element.
     """
     found, paths = markup.nodes(source)
     tags = Counter(paths)
@@ -43,7 +43,7 @@ def page_tokens(source: str) -> list[dict]:
     chars: Counter = Counter()
     for node in found:
         if not node.boilerplate:
-            path = node.path
+            path = node.path.rpartition(">")[0]
             while path:
                 chars[path] += len(node.text)
                 path = path.rpartition(">")[0]
@@ -113,16 +113,19 @@ def templates(classes: DataFrame, min_tokens: int = MIN_TOKENS, main_share: floa
 
 
 def extract_page(source: str, texts: set[tuple[str, int]], main: str | None) -> str:
-    """The main text of one page, given its host's template; the page's own article is whole."""
+    """The main text of one page, given its host's template.
+
+    The slots of the template's main element come first, all nested in it included. Names of boilerplate and
+    the page's article then choose among these; where a page has no such element, among all of the page.
+    """
     found, paths = markup.nodes(source)
     kept = [node for node in found if not node.boilerplate]
-    if any(node.article for node in kept):
-        return "\n\n".join(markup.blocks([node for node in kept if node.article]))
     if main is not None and main in paths:
-        # The slots of the template's main element, with all that is nested in it.
         inside = [node for node in kept if node.path == main or node.path.startswith(f"{main}>")]
         kept = inside or kept
-    if texts:
+    if any(node.article for node in kept):
+        kept = [node for node in kept if node.article]
+    elif texts:
         kept = [node for node in kept if (node.path, _text_key(markup.plain(node.text))) not in texts]
     return "\n\n".join(markup.blocks(kept))
 
@@ -140,15 +143,15 @@ def extract(pages: DataFrame, page: str = "page_id", url: str = "url", source: s
     """One row per page: ``page_id, url, text, n_chars``.
 
     Pages of one host share a template, deduced from the tokens that occur
-    alike on their distinct contents (see :func:`token_classes`). Its texts are not
-    main text, unless they stand in the page's article, and neither is what stands in menus, headers, footers, sidebars, notices,
-    adverts, forms, scripts, styles and reader comments. Of the slots that
-    remain, those in the page's article count; on a page without one, those in
-    the template's main element; on a host with too few pages for a template,
-    all of them.
+    alike on their distinct contents (see :func:`token_classes`). Only the slots in the template's main
+    element are main text, whatever stands around it; a page that lacks that element, and a host with
+    too few pages for a template, take all slots. Of these, boilerplate by element or whole name is left out (menus,
+    headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments); those in the page's
+    article count if it has one, whole; if not, all but the template's texts.
 
     NULL, empty and text-free pages have the empty text. Pages without a host
-    form one group. Repeated rows each have their result, and an empty table none.
+    form one group. Repeated rows each have their result, and an empty table none. Of ``pages`` only the three
+    columns are read, so others may have any name. Texts and nesting may be of any length and depth.
     """
     hosts = parsed(pages.select(page, url, source), url)
     known = written(templates(token_classes(hosts, source)), shared_dir(pages.sparkSession, "page-templates"))

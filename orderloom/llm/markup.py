@@ -23,7 +23,8 @@ INLINE = set(
 # An element that a new one of the same list closes.
 SIBLINGS = [{"li"}, {"dt", "dd"}, {"tr"}, {"td", "th"}, {"option"}, {"thead", "tbody", "tfoot"}]
 
-# Elements, and words of class, id and role names, that are never main text.
+# Elements that are never main text, and class, id and role names: all words of such a name are of the second list,
+# except for those that only say where a thing stands.
 BOILERPLATE = set("nav header footer aside form button select dialog menu head".split())
 BOILERPLATE_NAMES = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent notice "
@@ -31,9 +32,16 @@ BOILERPLATE_NAMES = set(
     "social related recommended newsletter subscribe signup login search comment comments reply replies disqus popup modal "
     "toolbar pagination pager contentinfo complementary".split()
 )
+PLACE_NAMES = set(
+    "site main top bottom left right global primary secondary inner outer bar box list item items link links button "
+    "buttons form section block container wrapper wrap area slot unit panel posts icons".split()
+)
+# Names that begin or end with these are of reader comments, whatever the other words.
+COMMENT_NAMES = set("comment comments replies disqus".split())
 # In these an article is one of several, and not the page's own.
 LISTS = set("aside comment comments reply replies disqus related recommended widget sidebar".split())
 MAIN = {"article", "main"}
+MAIN_NAMES = {"main", "main-content"}
 
 
 @dataclass
@@ -58,16 +66,29 @@ class _Open:
 
 
 def _label(name: str, attributes: str) -> tuple[str, set[str]]:
-    """An element with its first class, and all words of its names."""
-    words: set[str] = set()
+    """An element with its first class, and its class, id and role names."""
+    names: set[str] = set()
     label = name
     if attributes:
         for kind, *values in _NAMES.findall(attributes):
-            value = next((v for v in values if v), "").lower()
-            words.update(w for w in re.split(r"[\s_:-]+", value) if w)
-            if kind.lower() == "class" and value.split():
-                label = f"{name}.{value.split()[0]}"
-    return label, words
+            value = next((v for v in values if v), "").lower().split()
+            names.update(value)
+            if kind.lower() == "class" and value:
+                label = f"{name}.{value[0]}"
+    return label, names
+
+
+def boilerplate_words(names: set[str]) -> set[str]:
+    """The words of those names that are boilerplate as a whole: of ``cookie-notice``, but not of ``cookie-recipes``."""
+    found: set[str] = set()
+    for name in names:
+        words = [w for w in re.split(r"[_:-]+", name) if w]
+        known = BOILERPLATE_NAMES.intersection(words)
+        if known and all(w in known or w in PLACE_NAMES or w.isdigit() for w in words):
+            found |= known
+        elif words and (words[0] in COMMENT_NAMES or words[-1] in COMMENT_NAMES - {"comment"}):
+            found.add("comments")
+    return found
 
 
 def nodes(source: str) -> tuple[list[Node], list[str]]:
@@ -111,8 +132,8 @@ def nodes(source: str) -> tuple[list[Node], list[str]]:
             continue
         if name in INLINE:
             if not token[1] and name not in VOID:
-                _, words = _label(name, token[3])
-                if words & BOILERPLATE_NAMES:
+                words = boilerplate_words(_label(name, token[3])[1])
+                if words:
                     stack.append(_Open(name, name, True, bool(words & LISTS), False, stack[-1].tail if stack else ""))
             elif token[1]:
                 if stack and stack[-1].name == name:
@@ -138,10 +159,11 @@ def nodes(source: str) -> tuple[list[Node], list[str]]:
         for kin in SIBLINGS:
             if name in kin:
                 close(kin, {"ul", "ol", "dl", "table", "select", "menu"})
-        label, words = _label(name, token[3])
+        label, names = _label(name, token[3])
+        words = boilerplate_words(names)
         lists = name == "aside" or bool(words & LISTS)
-        boilerplate = name in BOILERPLATE or bool(words & BOILERPLATE_NAMES) and name not in ("html", "body", "main")
-        article = name in MAIN or "main" in words and name != "body"
+        boilerplate = name in BOILERPLATE or bool(words) and name not in ("html", "body", "main")
+        article = name in MAIN or bool(names & MAIN_NAMES) and name != "body"
         if name in MAIN and not (boilerplate and lists) and not any(o.lists for o in stack):
             # The page's own article inside a menu or notice: that was never closed, or is a mere wrapper.
             boilerplate = False

@@ -357,6 +357,39 @@ def test_html_extraction(spark):
         assert r.text == "\n\n".join(p for p in parts if p)
 
 
+def test_html_template_comes_first(spark):
+    """What stands outside of the template's main element goes, articles included, and columns may clash."""
+    page = "<body><div class=a><article>Teaser {0}</article></div><div class=b><h1>Head {0}</h1><p>{1}</p></div><div class=c>End</div></body>"
+    rows = [(i, f"http://h.org/{i}", page.format(i, f"Long own text of page {i}. " * 20), "x", "y") for i in range(9)]
+    columns = "page_id long, url string, html string, host string, text string"
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, columns)).collect()}
+    assert got == {i: f"Head {i}\n\n" + " ".join([f"Long own text of page {i}."] * 20) for i in range(9)}
+    single = html_extract.extract(spark.createDataFrame(rows[:1], columns)).first()
+    assert single.text == "Teaser 0"
+
+
+def test_html_classes_against_brute_force(spark):
+    """Classes are the groups of tokens with one vector of counts over a host's distinct pages."""
+    bits = ["<p>Rating</p><p>{0}</p>", "<ul><li>{0}</li><li>b</li></ul>", "<p>Same</p>", "<div class=q>{0}<h2>x</h2></div>"]
+    sources = ["<body><h1>Top</h1>" + "".join(b.format(i) for k, b in enumerate(bits) if (i * 7 + 3) % (k + 4)) for i in range(20)]
+    rows = [(f"{'ab'[i % 2]}.org", source) for i, source in enumerate(sources)] * 2
+    classes = html_extract.token_classes(spark.createDataFrame(rows, "host string, html string"), min_pages=3, min_support=0.5)
+    got: dict = {}
+    for r in classes.collect():
+        got.setdefault((r.host, r.vector, r["size"], r.elements), set()).add((r.path, r.words))
+    want = {}
+    for host in ("a.org", "b.org"):
+        pages = [html_extract.page_tokens(source) for source in sorted({s for h, s in rows if h == host})]
+        counts = [{(t["path"], t["words"]): t["n"] for t in page} for page in pages]
+        alike: dict = {}
+        for token in set().union(*counts):
+            alike.setdefault(tuple(c.get(token, 0) for c in counts), set()).add(token)
+        for vector, tokens in alike.items():
+            if sum(n > 0 for n in vector) >= max(3, 0.5 * len(pages)):
+                want[host, frozenset(tokens)] = (len(tokens), sum(not words for _, words in tokens))
+    assert {(h, frozenset(tokens)): (size, elements) for (h, _, size, elements), tokens in got.items()} == want
+
+
 def test_html_of_copied_articles(spark):
     """Copies of one article are no template, nor are the paragraphs that the articles of a host share."""
     page = "<body><nav>Menu</nav><{1}><h1>News</h1><p>First part {0}</p><p>Shared part</p><p>Last part</p></{1}></body>"

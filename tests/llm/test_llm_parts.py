@@ -171,5 +171,17 @@ def test_main_text_of_a_page():
     plain = "<body><div class=menu>no</div><div id=x>Yes <b>it is</b></div><p>Also"
     assert html_extract.extract_page(plain, set(), None) == "Yes it is\n\nAlso"
     assert html_extract.extract_page(plain, set(), "body>div") == "Yes it is"
+    # Only whole names are boilerplate: a word of one says nothing.
+    kept = '<article><h1>T</h1><section id="related-work"><p>Related work</p></section><p>A <span class="search-term">needle</span></p></article>'
+    assert html_extract.extract_page(kept, set(), None) == "T\n\nRelated work\n\nA needle"
+    assert html_extract.extract_page('<main><div class="cookie-recipes"><p>Bake</p></div></main>', set(), None) == "Bake"
+    for name in ("cookie-notice", "site-footer", "share-buttons", "ad-1", "related_posts", "post-comments", "comment-list"):
+        assert html_extract.extract_page(f'<main>a<div class="x {name}">b</div></main>', set(), None) == "a"
+    deep = "<div>" * 5000 + "x" * 1_000_000 + "</div>" * 5000
+    assert html_extract.extract_page(deep, set(), None) == "x" * 1_000_000
+    # The template's main element comes before an article elsewhere on the page.
+    teaser = "<body><div class=a><article>Teaser</article></div><div class=b><p>Own text</p></div></body>"
+    assert html_extract.extract_page(teaser, set(), "body>div.b") == "Own text"
+    assert html_extract.extract_page(teaser, set(), None) == "Teaser"
     for broken in ("", "<", "<p", "a < b", "<script>x", "<!-- x", "<nav>x</p>", "</div>"):
         assert "script" not in html_extract.extract_page(broken, set(), None)
