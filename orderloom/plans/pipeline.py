@@ -226,11 +226,11 @@ def trends_in_database(
 ) -> None:
     """Rolling trends from an order fact kept in a database to a table beside it.
 
-    One action: the fact is read once, by as many tasks as ``split`` says, and
-    only the columns the trends use are fetched.
+    The fact is read once, by as many tasks as ``split`` says, and only the columns the trends
+    use are fetched. The target is replaced in one transaction, after all trends were written beside it.
     """
     fact = jdbc.read_table(spark, connection, source, split)
-    jdbc.write_table(revenue_trends(fact), connection, target, connections=1)
+    jdbc.replace_table(revenue_trends(fact), connection, target, connections=1)
 
 
 _AUDIT = "staged long, orphan_customer long, orphan_product long, orphan_both long, valid long"

@@ -93,10 +93,60 @@ def read_table(
 def write_table(
     df: DataFrame, connection: Connection, table: str, connections: int = 16, batch_rows: int = 10_000
 ) -> None:
-    """Replace the rows of a table and keep its definition and grants."""
+    """Replace the rows of a table and keep its definition and grants. Readers may see it empty meanwhile."""
     options = connection.options() | {
         "truncate": "true",
         "batchsize": str(batch_rows),
         "numPartitions": str(connections),
     }
     df.write.format("jdbc").options(dbtable=table, **options).mode("overwrite").save()
+
+
+def replace_table(
+    df: DataFrame, connection: Connection, table: str, connections: int = 16, batch_rows: int = 10_000
+) -> None:
+    """Replace the rows of a table so that it is never seen empty or in part.
+
+    The rows go to ``<table>_next`` first, over many connections. Only when all of them are there, one transaction
+    empties the table and fills it from that one, inside the database; it fails as a whole or not at all. Definition,
+    grants and views of the table stay. A failed write leaves the table as it was, and the next run starts anew.
+    """
+    beside = f"{table}_next"
+    spark = df.sparkSession
+    in_one_transaction(spark, connection, [f"DROP TABLE IF EXISTS {beside}", f"CREATE TABLE {beside} (LIKE {table})"])
+    options = connection.options() | {"batchsize": str(batch_rows), "numPartitions": str(connections)}
+    df.write.format("jdbc").options(dbtable=beside, **options).mode("append").save()
+    names = ", ".join(f'"{name}"' for name in df.columns)
+    in_one_transaction(
+        spark,
+        connection,
+        [
+            f"DELETE FROM {table}",
+            f"INSERT INTO {table} ({names}) SELECT {names} FROM {beside}",
+            f"DROP TABLE {beside}",
+        ],
+    )
+
+
+def in_one_transaction(spark: SparkSession, connection: Connection, statements: list[str]) -> None:
+    """Run a few statements from the driver, all or none."""
+    jvm = spark.sparkContext._jvm
+    settings = jvm.java.util.Properties()
+    for name, value in connection.options().items():
+        if name in ("user", "password"):
+            settings.setProperty(name, value)
+    # Drivers of added jars are known to Spark's class loader only; this makes them known to the driver manager.
+    jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(connection.driver)
+    session = jvm.java.sql.DriverManager.getConnection(connection.url, settings)
+    try:
+        session.setAutoCommit(False)
+        try:
+            statement = session.createStatement()
+            for text in statements:
+                statement.execute(text)
+            session.commit()
+        except Exception:
+            session.rollback()
+            raise
+    finally:
+        session.close()

@@ -146,7 +146,7 @@ def test_trends_in_database(spark, monkeypatch):
     fact = marts.build_models(testdata.raw_tables(spark, TINY))["fct_orders"]
     calls = []
     monkeypatch.setattr(pipeline.jdbc, "read_table", lambda *how: calls.append(how[2:]) or fact)
-    monkeypatch.setattr(pipeline.jdbc, "write_table", lambda df, c, table, connections: calls.append((df, table)))
+    monkeypatch.setattr(pipeline.jdbc, "replace_table", lambda df, c, table, connections: calls.append((df, table)))
     split = pipeline.jdbc.Split("order_date", "1995-01-01", "2001-08-01", 8)
     pipeline.trends_in_database(spark, pipeline.jdbc.Connection("u", "d"), "marts.fct", "marts.trends", split)
     assert calls[0] == ("marts.fct", split)

@@ -195,5 +195,40 @@ def test_jdbc_write_keeps_the_table():
     df.write.format.return_value.options.return_value.mode.assert_called_once_with("overwrite")
 
 
+@pytest.mark.parametrize("fails", [None, "write", "fill"])
+def test_jdbc_replacement_is_one_transaction(fails):
+    """The database is stood in for: which statements it gets, in what order, and what happens when one fails."""
+    df, steps = mock.Mock(columns=["day", "sum"]), []
+    session = df.sparkSession.sparkContext._jvm.java.sql.DriverManager.getConnection.return_value
+
+    def execute(text):
+        steps.append(text)
+        if fails == "fill" and text.startswith("INSERT"):
+            raise RuntimeError(fails)
+
+    def save():
+        steps.append("rows")
+        if fails == "write":
+            raise RuntimeError(fails)
+
+    session.createStatement.return_value.execute = execute
+    session.commit, session.rollback = lambda: steps.append("commit"), lambda: steps.append("rollback")
+    writer = df.write.format.return_value.options
+    writer.return_value.mode.return_value.save = save
+    replace = lambda: jdbc.replace_table(df, jdbc.Connection("jdbc:x:y", "a.Driver", "me", "pw"), "marts.trends")
+    if fails:
+        with pytest.raises(RuntimeError, match=fails):
+            replace()
+    else:
+        replace()
+    beside = ["DROP TABLE IF EXISTS marts.trends_next", "CREATE TABLE marts.trends_next (LIKE marts.trends)", "commit", "rows"]
+    fill = 'INSERT INTO marts.trends ("day", "sum") SELECT "day", "sum" FROM marts.trends_next'
+    swap = ["DELETE FROM marts.trends", fill]
+    after = {None: [*swap, "DROP TABLE marts.trends_next", "commit"], "write": [], "fill": [*swap, "rollback"]}
+    assert steps == beside + after[fails]
+    assert writer.call_args.kwargs["dbtable"] == "marts.trends_next" and "truncate" not in writer.call_args.kwargs
+    assert session.close.called
+
+
 def test_declared_raw_tables():
     assert list(RAW) == ["customers", "products", "orders_raw"]
