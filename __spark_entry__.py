@@ -26,7 +26,8 @@ from orderloom.operators.rolling import rolling_rows_in_pieces  # noqa: E402
 from orderloom.plans import marts, pipeline, quality, reports, staging, trends  # noqa: E402
 from orderloom.schemas import RAW, RAW_ORDERS  # noqa: E402
 from orderloom.session import shared_dir  # noqa: E402
-from orderloom.sources import testdata  # noqa: E402
+from orderloom.sources import schema_log, testdata  # noqa: E402
+from orderloom.sources.bucketed import bucketed, bucketed_lookup, bucketed_orphans  # noqa: E402
 from orderloom.sources.csv_files import delivered_rows, read_csv  # noqa: E402
 from orderloom.sources.rejects import load_with_rejects, read_permissive  # noqa: E402
 from orderloom.sources.tables import load_table, written  # noqa: E402
@@ -204,6 +205,35 @@ def _customers_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled_up(yearly, ["order_year", "region"], "customers")
 
 
+def _bucketed(query: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A query on staged orders and customers that were both stored by customer."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = shared_dir(spark, "by-customer")
+        tables = (_staged(spark, sf_dir), _customers(spark, sf_dir))
+        return query(*[bucketed(df, "customer_id", 16, folder) for df in tables])
+
+    return run
+
+
+def _schema_versions(report: Callable[[SparkSession, str, str], DataFrame]) -> Query:
+    """Orders in three deliveries: the second moves a column and adds one, the third renames one and leaves one out."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, k = shared_dir(spark, "deliveries"), F.col("order_id").cast("long")
+        orders = testdata.raw_orders(spark, sf_dir)
+        channel = F.concat(F.lit("channel "), (k % 7).cast("string"))
+        moved = ["quantity", *[c for c in orders.columns if c != "quantity"], "channel"]
+        later = orders.withColumn("channel", channel).select(*moved)
+        third = later.filter(k % 3 == 2).withColumnRenamed("customer_id", "client_id").drop("source_system")
+        schema_log.land(orders.filter(k % 3 == 0), root, "orders")
+        schema_log.land(later.filter(k % 3 == 1), root, "orders")
+        schema_log.land(third, root, "orders", renames={"client_id": "customer_id"})
+        return report(spark, root, "orders")
+
+    return query
+
+
 def _published(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = shared_dir(spark, "warehouse")
@@ -307,6 +337,14 @@ def queries() -> dict[str, Query]:
         "top_bottom_performers": _on_segments(reports.top_bottom_performers),
         "top_categories_by_region": _on_segments(reports.top_categories_by_region),
         "consistent_top_categories": _on_segments(lambda s: reports.consistent_top_categories(s, n=4)),
+        "bucketed_customers": _bucketed(
+            lambda orders, customers: bucketed_lookup(orders, customers, ["region"], "is_valid_customer").select(
+                "order_id", "customer_id", "region", "is_valid_customer"
+            )
+        ),
+        "bucketed_relationships": _bucketed(lambda o, c: bucketed_orphans(o, c).select("order_id", "customer_id")),
+        "schema_drift": _schema_versions(schema_log.drift_report),
+        "schema_versions_merged": _schema_versions(schema_log.read_landed),
         "published_monthly_kpis": _published("mart_monthly_kpis"),
         "published_revenue_trends": _published("revenue_trends"),
         "published_orphan_audit": _published("orphan_audit"),

@@ -370,6 +370,19 @@ FROM segments GROUP BY GROUPING SETS ((region), (category), ())""",
         "consistent_top_categories": f"""{_top(4)}
 SELECT category FROM top GROUP BY category HAVING count(*) = (SELECT count(*) FROM (SELECT DISTINCT region FROM top))""",
         "csv_load": f"WITH {_RAW_ORDERS} SELECT {raw_columns} FROM orders_raw",
+        "bucketed_customers": f"{_JOINED} SELECT order_id, customer_id, region, is_valid_customer FROM int_orders_validated",
+        "bucketed_relationships": relationship.format(staged=_STAGED, dims=_DIMENSIONS, key="customer_id", parent="stg_customers"),
+        "schema_drift": f"""WITH {_RAW_ORDERS},
+n AS (SELECT CAST(order_id AS BIGINT) % 3 + 1 AS version, count(*) AS delivered_rows FROM orders_raw GROUP BY 1),
+c (version, kind, column_name, detail) AS (
+  VALUES (2, 'added', 'channel', 'string'), (2, 'moved', 'quantity', 'from place 4'),
+         (3, 'renamed', 'customer_id', 'delivered as client_id'), (3, 'removed', 'source_system', 'string'))
+SELECT n.version, kind, column_name, detail, delivered_rows FROM c JOIN n ON n.version = c.version""",
+        "schema_versions_merged": f"""WITH {_RAW_ORDERS}
+SELECT order_id, customer_id, product_id, quantity, order_date, load_timestamp,
+       CASE WHEN CAST(order_id AS BIGINT) % 3 < 2 THEN source_system END AS source_system,
+       CASE WHEN CAST(order_id AS BIGINT) % 3 > 0 THEN 'channel ' || CAST(order_id AS BIGINT) % 7 END AS channel
+FROM orders_raw""",
         "published_monthly_kpis": f"{_FACTS} {_monthly()}",
         "published_revenue_trends": _trends("ROWS", "order_date", "{}"),
         "published_orphan_audit": f"{_JOINED} {audit}",
