@@ -301,6 +301,31 @@ def test_url_filter(spark):
     hosts = {r.host for r in judged.filter("rule IS NULL AND verdict = 'block'").collect()}
     assert not [h for h in hosts if "-" not in h]
     assert url_filter.train(url_filter.labelled_urls(spark).filter("label = 0")).intercept < 0
+    # Names that no label has: none of the wanted ones is blocked, and every unwanted one scores above their mean.
+    wanted = "the-guardian newyorktimes berlin-marathon cooking-class stateuniversity gardenersworld mathforum poetry-society"
+    unwanted = "casinoonline cheapviagra malware-download loans-today freecrackdownload onlinepharmacy"
+    assert not set(wanted.split() + unwanted.split()) & set(url_filter.UNWANTED_NAMES + url_filter.WANTED_NAMES)
+    rows = [(name, f"http://{name}.org/") for name in (wanted + " " + unwanted).split()]
+    held = url_filter.judge(spark.createDataFrame(rows * 2, "name string, url string"), [], model).collect()
+    assert len(held) == 2 * len(rows)
+    scores = {r.name: r.score for r in held}
+    mean = sum(scores[name] for name in wanted.split()) / 8
+    assert all(r.verdict == "allow" for r in held if r.name in wanted.split())
+    assert all(scores[name] > mean for name in unwanted.split())
+    # Repeated rows are judged alike, clashing columns replaced, and an empty table gives none.
+    clash = pages.limit(3).withColumn("rule", F.lit("x")).withColumn("score", F.lit("y"))
+    again = url_filter.judge(clash.unionAll(clash), queries.URL_RULES, model)
+    assert again.columns.count("rule") == again.columns.count("score") == 1 and again.count() == 6
+    assert url_filter.judge(pages.limit(0), queries.URL_RULES, model).count() == 0
+
+
+def test_url_labels_differ_by_name_only():
+    """Prefixes, domains and paths are dealt alike to both kinds, and so are hyphens."""
+    urls = {kind: [url for url, label in url_filter.LABELLED_URLS if label == kind] for kind in (0, 1)}
+    names = {0: url_filter.WANTED_NAMES, 1: url_filter.UNWANTED_NAMES}
+    around = {kind: [url.replace(name, "*", 1) for url, name in zip(urls[kind], names[kind], strict=True)] for kind in urls}
+    assert around[0] == around[1]
+    assert sum("-" in name for name in names[0]) == sum("-" in name for name in names[1])
 
 
 def test_line_dedup(spark, messy):
