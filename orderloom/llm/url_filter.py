@@ -41,6 +41,9 @@ UNWANTED_NAMES = """
     linkfarm buy-backlinks-seo spammailer bulk-email-spam free-download-crack warezcrack malwarescan-alert
     virus-removal-now account-verify-login paypal-secure-login free-followers-likes torrentmovies
     essaywriting-cheap
+    casinobonus-club megacasino spamhosting spam-pages viagrashop cheapmeds pharmacy-discount betting-tips-pro
+    betonline poker-room pornvideos porn-free xxx-movies adult-dating adultfriends seo-traffic
+    malwarehost phishing-bank loanshark instant-loans crackedgames replica-shop winprizes moneymaker
 """.split()
 WANTED_NAMES = """
     cityofhelsinki nature-journal daily-courier jean-luc sport-news wikibooks museum-of-art pythonweekly
@@ -50,6 +53,9 @@ WANTED_NAMES = """
     travel-notes elperiodico zeitgeschehen lemonde biblioteca oldbridge-brewery cycling-routes open-source-maps
     woodworkers birdwatching northern-lights motherandchild bridgeworks tenniscoach farmers-union sundaypaper
     red-cross
+    stadtbibliothek maritime-museum shakespeare-theatre rosegarden cathedral-choir marathon watercolour philharmonic
+    geology-survey tidetables bakers-guild oceanography alpine-huts grandparents dutch-painters lighthousekeepers
+    earthquake-map translators heritage-trust vegetable-growers covered-bridges northsea-ferries winterolympics threadandneedle
 """.split()
 
 
@@ -133,7 +139,7 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
 
 
 def train(
-    labelled: DataFrame, sizes: tuple[int, ...] = (3, 4, 5), buckets: int = 2048, strength: float = 0.01
+    labelled: DataFrame, sizes: tuple[int, ...] = (3, 4, 5), buckets: int = 8192, strength: float = 0.01
 ) -> UrlModel:
     """Fit a model to a small table ``url, label`` of a few thousand rows at most.
 
