@@ -24,11 +24,11 @@ from orderloom.operators.dedup import dedup_earliest  # noqa: E402
 from orderloom.operators.distinct import distinct_bitmaps, rolled_up  # noqa: E402
 from orderloom.operators.rolling import rolling_rows_in_pieces  # noqa: E402
 from orderloom.plans import marts, pipeline, quality, reports, staging, trends  # noqa: E402
-from orderloom.schemas import RAW, RAW_ORDERS  # noqa: E402
+from orderloom.schemas import LOADED_AT, RAW, RAW_ORDERS  # noqa: E402
 from orderloom.session import shared_dir  # noqa: E402
 from orderloom.sources import schema_log, testdata  # noqa: E402
 from orderloom.sources.bucketed import bucketed, bucketed_lookup, bucketed_orphans  # noqa: E402
-from orderloom.sources.csv_files import delivered_rows, read_csv  # noqa: E402
+from orderloom.sources.csv_files import delivered_rows, read_csv, stamped  # noqa: E402
 from orderloom.sources.rejects import load_with_rejects, read_permissive  # noqa: E402
 from orderloom.sources.tables import load_table, written  # noqa: E402
 from orderloom.streaming import arrivals  # noqa: E402
@@ -141,6 +141,16 @@ def _csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, feed, RAW_ORDERS)
 
 
+def _reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders loaded twice into one table: each row once, and all with the load time of the second load."""
+    target = shared_dir(spark, "reloaded")
+    for _ in range(2):
+        started = spark.range(1).select(F.localtimestamp()).first()[0]
+        load_table(stamped(testdata.raw_orders(spark, sf_dir)), "orders_raw", target)
+    landed = spark.read.parquet(target)
+    return landed.withColumn("of_last_load", F.col(LOADED_AT) >= F.lit(started)).drop(LOADED_AT)
+
+
 def _csv_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of a delivered CSV feed against the rows that its load landed."""
     feed = shared_dir(spark, "orders-feed")
@@ -299,6 +309,7 @@ def queries() -> dict[str, Query]:
         "raw_orders_scan": testdata.raw_orders,
         "csv_load": _csv_load,
         "csv_reconciliation": _csv_reconciliation,
+        "reloaded_orders": _reloaded,
         "rejected_rows": _rejected_rows,
         "csv_quoted_reconciliation": _quoted_reconciliation,
         "stg_customers": _customers,

@@ -383,6 +383,7 @@ SELECT order_id, customer_id, product_id, quantity, order_date, load_timestamp,
        CASE WHEN CAST(order_id AS BIGINT) % 3 < 2 THEN source_system END AS source_system,
        CASE WHEN CAST(order_id AS BIGINT) % 3 > 0 THEN 'channel ' || CAST(order_id AS BIGINT) % 7 END AS channel
 FROM orders_raw""",
+        "reloaded_orders": f"WITH {_RAW_ORDERS} SELECT {raw_columns}, true AS of_last_load FROM orders_raw",
         "published_monthly_kpis": f"{_FACTS} {_monthly()}",
         "published_revenue_trends": _trends("ROWS", "order_date", "{}"),
         "published_orphan_audit": f"{_JOINED} {audit}",

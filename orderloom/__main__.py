@@ -37,7 +37,7 @@ def arguments() -> argparse.ArgumentParser:
     trends = jobs.add_parser("trends", help="rolling trends from a database table to another; connection by PG* variables")
     trends.add_argument("--source", required=True)
     trends.add_argument("--target", required=True)
-    trends.add_argument("--hash", help="integer SQL expression that deals the source's rows to tasks")
+    trends.add_argument("--hash", required=True, help="integer SQL expression that deals the source's rows to tasks")
     trends.add_argument("--tasks", type=int, default=16)
     return parser
 
@@ -49,7 +49,7 @@ def main(args: Sequence[str] | None = None, spark: SparkSession | None = None) -
     spark = spark or get_session(f"orderloom-{given.job}")
     try:
         if given.job == "trends":
-            split = jdbc.hash_predicates(given.hash, given.tasks) if given.hash else None
+            split = jdbc.hash_predicates(given.hash, given.tasks)
             pipeline.trends_in_database(spark, jdbc.Connection.from_environment(), given.source, given.target, split)
             return 0
         paths = {"customers": given.customers, "products": given.products, "orders_raw": given.orders}

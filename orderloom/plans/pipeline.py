@@ -222,11 +222,11 @@ def trends_in_database(
     connection: jdbc.Connection,
     source: str,
     target: str,
-    split: jdbc.Split | list[str] | None = None,
+    split: jdbc.Split | list[str],
 ) -> None:
     """Rolling trends from an order fact kept in a database to a table beside it.
 
-    The fact is read once, by as many tasks as ``split`` says, and only the columns the trends
+    The fact is read once, by as many tasks as ``split`` says (there is no reading it in one), and only the columns the trends
     use are fetched. The target is replaced in one transaction, after all trends were written beside it.
     """
     fact = jdbc.read_table(spark, connection, source, split)
