@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import decontaminate, language, line_dedup, near_dedup, pieces
-from orderloom.session import shared_dir
+from orderloom.session import BATCH_BYTES, BATCH_SETTING, shared_dir
 from orderloom.sources.tables import written
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -20,13 +20,10 @@ LINE_SITES = 10
 # letters in a row are known. Running text has 0.3. Short texts say too little to be rejected for it.
 MOST_PHRASES, LEAST_CHARS = 0.8, 20
 
-# Bytes of whole texts that go to a Python worker at once, and the setting that says so.
-BATCH_BYTES, _BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
-
 
 def _small_batches(spark: SparkSession) -> None:
     """Set the session's Arrow batches, which workers of all stages and their executors hold several times over."""
-    spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+    spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

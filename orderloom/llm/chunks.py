@@ -9,11 +9,14 @@ import numpy as np
 
 from orderloom.llm.common import offsets_of, ranges
 
-# Entries of one table. A full one is emptied, which costs time and changes no
-# result; with the keys it takes some 40 MB. New chunks are worked on so many at a time.
+# Entries of one table; with the keys it takes some 40 MB. A full one forgets the chunks that came
+# up once or seldom, which costs time and changes no result. New chunks are worked on so many at a time.
 MOST_CHUNKS = 200_000
 LEARN_CHUNKS = 50_000
 
+# Bytes of text that are looked up together: their words are Python strings meanwhile.
+STEP_BYTES = 1 << 19
+
 
 def flattened(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
     """The lengths of all lists, and their numbers one after another."""
@@ -32,9 +35,23 @@ class ChunkTable(dict):
         super().__init__()
         self._most = most
         self._new: list[str] = []
+        self._uses = np.zeros(0, np.int64)
+
+    def _keep(self, places: np.ndarray) -> None:
+        """Keep what is known of the chunks at these places, in this order, and drop the rest."""
+        raise NotImplementedError
 
     def _forget(self) -> None:
+        """Keep the chunks that came up several times, half a table at most. Earlier uses count half."""
+        often = np.flatnonzero(self._uses > 1)
+        if len(often) > self._most // 2:
+            often = np.sort(often[np.argsort(-self._uses[often], kind="stable")[: self._most // 2]])
+        # Chunks stand in the order of their places.
+        chunks = list(self)
         self.clear()
+        self.update((chunks[place], k) for k, place in enumerate(often.tolist()))
+        self._uses = self._uses[often] // 2
+        self._keep(often)
 
     def _learn(self, chunks: list[str]) -> None:
         raise NotImplementedError
@@ -56,6 +73,8 @@ class ChunkTable(dict):
             new, self._new = self._new, []
             for k in range(0, len(new), LEARN_CHUNKS):
                 self._learn(new[k : k + LEARN_CHUNKS])
+            self._uses = np.concatenate((self._uses, np.zeros(len(new), np.int64)))
+        self._uses += np.bincount(places, minlength=len(self))
         return ends, places
 
 
@@ -65,14 +84,15 @@ class ChunkIds(ChunkTable):
     def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MOST_CHUNKS):
         super().__init__(most)
         self._encode = encode_many
-        self._forget()
-
-    def _forget(self) -> None:
-        self.clear()
         self._starts = np.zeros(0, np.int64)
         self._lengths = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.int32)
 
+    def _keep(self, places: np.ndarray) -> None:
+        lengths = self._lengths[places]
+        self._ids = self._ids[ranges(self._starts[places], lengths)]
+        self._starts, self._lengths = np.cumsum(lengths) - lengths, lengths
+
     def ids(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of every document, given as its chunks, and the ids of all."""
         ends, places = self.places(documents)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import offsets_of, ranges, text_of, visit
 from orderloom.llm.words import text_steps
-from orderloom.llm.worker import keep
+from orderloom.llm.worker import give_back, keep
 
 _WORD = re.compile(r"\w+")
 # A line end, or the end of a sentence, behind which the last part of an item is its answer.
@@ -282,6 +282,7 @@ def with_leaks(
                 by_index = [index.search(texts) for index in indexes] or [[[] for _ in texts]]
                 found += [[hit for hits in parts for hit in hits] for parts in zip(*by_index, strict=True)]
             yield pa.array(found, _HITS)
+            give_back()
 
     return docs.withColumn(into, visit(leaks, f"array<{_HIT}>")(text_of(text)))
 

@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.chunks import ChunkTable
+from orderloom.llm.chunks import STEP_BYTES, ChunkTable
 from orderloom.llm.common import text_of, visit
 from orderloom.llm.words import text_steps
-from orderloom.llm.worker import keep
+from orderloom.llm.worker import give_back, keep
 from orderloom.operators.lookup import broadcast_if_small
 
 UNKNOWN = "und"
@@ -83,13 +83,12 @@ class Parses(ChunkTable):
         super().__init__()
         self.languages = [language for language, _ in samples]
         self._automata = [SuffixAutomaton(sample) for _, sample in samples]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.clear()
         self._phrases = np.zeros((0, len(self.languages)), np.int32)
         self._letters = np.zeros(0, np.int32)
 
+    def _keep(self, places: np.ndarray) -> None:
+        self._phrases, self._letters = self._phrases[places], self._letters[places]
+
     def _learn(self, words: list[str]) -> None:
         marked = [f" {word} " for word in words]
         rows = [[automaton.phrases(word) for automaton in self._automata] for word in marked]
@@ -192,10 +191,11 @@ def identify(
         parses = _parses(sent.value)
         for batch in batches:
             rows = []
-            for texts in text_steps(batch):
+            for texts in text_steps(batch, STEP_BYTES):
                 phrases, letters = parses.counts(texts)
                 rows += [_best(parses.languages, p, n) for p, n in zip(phrases.tolist(), letters.tolist(), strict=True)]
             yield pa.array(rows, _RESULT)
+            give_back()
 
     return docs.withColumn(into, visit(predicted, "lang_pred string, score double, rate double")(text_of(text)))
 

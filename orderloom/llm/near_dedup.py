@@ -14,7 +14,7 @@ from orderloom.llm import bagminhash, shingles
 from orderloom.llm.common import list_array, text_of, visit
 from orderloom.llm.components import components
 from orderloom.llm.words import string_slices
-from orderloom.llm.worker import release
+from orderloom.llm.worker import give_back, release
 from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
 from orderloom.session import shared_dir
 from orderloom.sources.tables import written
@@ -45,6 +45,7 @@ def content_key(text: Column) -> Column:
         for batch in batches:
             found = [_content_keys(part) for (part,) in _parts(batch, most=len(batch))]
             yield pa.concat_arrays(found) if found else pa.array([], pa.binary())
+            give_back()
 
     return visit(keys, "binary")(text)
 
@@ -70,6 +71,7 @@ def _signed(bands: int, rows: int):
             flat = np.concatenate(keys).view(np.int64).ravel()
             lists = list_array(np.full(len(batch), bands), flat, pa.int64())
             yield pa.StructArray.from_arrays([pa.concat_arrays(nodes), lists], names=["node", "bands"])
+            give_back()
 
     return visit(signed, "struct<node:binary,bands:array<long>>")
 
@@ -80,6 +82,7 @@ def _similarities(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.A
         parts = _parts(left, right, most=shingles.MOST_TEXTS // 2)
         found = [shingles.similarities(a, b) for a, b in parts]
         yield pa.array(np.concatenate([np.zeros(0), *found]))
+        give_back()
 
 
 def buckets(nodes: DataFrame) -> DataFrame:

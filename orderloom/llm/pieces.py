@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.chunks import ChunkIds, flattened
+from orderloom.llm.chunks import STEP_BYTES, ChunkIds, flattened
 from orderloom.llm.common import fresh, list_array, offsets_of, ranges, text_of, visit
 from orderloom.llm.words import string_slices, text_steps
-from orderloom.llm.worker import keep
+from orderloom.llm.worker import give_back, keep
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
@@ -126,8 +126,9 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = _pieces(sent.value)
         for batch in batches:
-            parts = [list_array(*pieces.encode(texts), pa.int32()) for texts in text_steps(batch)]
+            parts = [list_array(*pieces.encode(texts), pa.int32()) for texts in text_steps(batch, STEP_BYTES)]
             yield _concat(parts, pa.list_(pa.int32()))
+            give_back()
 
     return docs.withColumn(into, visit(ids, "array<int>")(text_of(text)))
 
@@ -177,7 +178,7 @@ def round_trip(
         pieces = _pieces(sent.value)
         for batch in batches:
             texts = batch.column(len(names))
-            for i, j in string_slices(texts):
+            for i, j in string_slices(texts, STEP_BYTES):
                 part = texts.slice(i, j - i).to_pylist()
                 lengths, ids = pieces.encode(part)
                 decoded = pieces.decode(lengths, ids)
@@ -186,6 +187,7 @@ def round_trip(
                 found = pa.StructArray.from_arrays(columns, names=["ids", "decoded", "same"]).cast(arrow)
                 others = [batch.column(k).slice(i, j - i) for k in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*others, found], names=[*names, into])
+            give_back()
 
     return read.mapInArrow(both, schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Hashable
 from typing import Any, TypeVar
@@ -12,6 +13,9 @@ Kept = TypeVar("Kept")
 
 _kept: list[tuple[Hashable, Any]] = []
 
+# Only the C library of GNU has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 
 def keep(key: Hashable, build: Callable[[], Kept]) -> Kept:
     """The object of that key, built when the worker holds another one.
@@ -30,7 +34,17 @@ def release() -> None:
     if _kept:
         _kept.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
+
+
+def give_back() -> None:
+    """Hand free memory to the system, which both Arrow and the C library otherwise keep for later.
+
+    A worker that waits for its next stage then holds its tables only, and the executor's other processes have the rest.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def kept() -> list[Hashable]:

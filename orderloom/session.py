@@ -69,6 +69,21 @@ def sized_shuffles(spark: SparkSession, rows: int, row_bytes: int = ROW_BYTES) -
         spark.conf.set(_PARTITIONS, str(before))
 
 
+# Bytes of whole texts that go to a Python worker at once, and the setting that says so.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of ``BATCH_BYTES`` while the block runs; workers and executors hold each several times over."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path every executor can reach.
 
