@@ -27,14 +27,16 @@ from orderloom.llm.chunks import ChunkIds, flattened
 from orderloom.llm.common import offsets_of, text_of
 from orderloom.llm.eliasfano import EliasFano
 from orderloom.llm.words import text_steps
-from orderloom.llm.worker import keep
+from orderloom.llm.worker import give_back, keep, release
+from orderloom.session import small_batches
 
 # Ids of one block, unless a single document has more.
 BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 1 << 16
 
-# Distinct words that a worker remembers, some 200 MB with their ids.
+# Distinct words that a worker remembers, some 200 MB with their ids, and bytes of text looked up together.
 MOST_WORDS = 1_000_000
+STEP_BYTES = 1 << 20
 
 # White space ends a word for sure; so does a punctuation mark behind nothing but Latin letters.
 # Elsewhere a word goes on up to the next white space.
@@ -212,7 +214,7 @@ def write(docs: DataFrame, folder: str, spec: bytes, end_id: int, key: str = "do
         part, block, done, filling = TaskContext.get().partitionId(), 0, 0, _Block()
         for batch in batches:
             keys = iter(batch.column(0).to_pylist())
-            for texts in text_steps(batch.column(1)):
+            for texts in text_steps(batch.column(1), STEP_BYTES):
                 lengths, flat = words.encode(texts)
                 ends = offsets_of(lengths)
                 for k in range(len(texts)):
@@ -223,10 +225,12 @@ def write(docs: DataFrame, folder: str, spec: bytes, end_id: int, key: str = "do
                         yield filling.row(part, block, done, words.width)
                         block, done, filling = block + 1, done + filling.size, _Block()
                     filling.add(next(keys), ids)
+            give_back()
         if filling.keys:
             yield filling.row(part, block, done, words.width)
 
-    ordered.mapInArrow(blocks, BLOCKS).write.mode("overwrite").parquet(folder)
+    with small_batches(docs.sparkSession):
+        ordered.mapInArrow(blocks, BLOCKS).write.mode("overwrite").parquet(folder)
 
 
 def _sequence(value: dict) -> EliasFano:
@@ -273,8 +277,10 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of a token file set: ``doc_id, start, n_tokens, ids_crc32``, from its files alone."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(len(batch)):
+                (row,) = batch.slice(k, 1).to_pylist()
                 keys, ends, ids = block_documents(row)
                 data = memoryview(ids.astype("<u4").tobytes())
                 crcs = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]

@@ -3,10 +3,11 @@
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from orderloom.llm import decontaminate, language, near_dedup, pieces, worker
+from orderloom.llm import decontaminate, language, near_dedup, pieces, token_files, worker
 from orderloom.llm.chunks import ChunkIds, flattened
 from orderloom.session import BATCH_SETTING, small_batches
 
@@ -79,3 +80,21 @@ def test_batches_are_small_only_for_a_while(spark, fails):
     except KeyError:
         assert fails
     assert spark.conf.get(BATCH_SETTING) == before
+
+
+def test_token_files_are_written_from_small_batches(spark, tmp_path, monkeypatch):
+    seen = []
+
+    def watched(session):
+        seen.append(session)
+        return small_batches(session)
+
+    monkeypatch.setattr(token_files, "small_batches", watched)
+    texts = [(2, "zwei drei"), (1, "eins, zwei."), (None, None), (1, "x")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    spec = token_files.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+    token_files.write(docs, str(tmp_path / "ids"), spec, 2)
+    assert seen == [spark]
+    found = [tuple(r) for r in token_files.digests(spark, str(tmp_path / "ids")).orderBy("start").collect()]
+    assert [row[0] for row in found] == [None, 1, 1, 2] and found[0][1:3] == (0, 1)
+    assert all(a[1] + a[2] == b[1] for a, b in zip(found, found[1:], strict=False))
