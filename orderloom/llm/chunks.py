@@ -69,13 +69,25 @@ class ChunkTable(dict):
         places = np.empty(int(ends[-1]), np.int64)
         for k, chunks in enumerate(documents):
             places[ends[k] : ends[k + 1]] = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
+        self._used(places)
+        return ends, places
+
+    def coded_places(self, chunks: list[str], codes: np.ndarray) -> np.ndarray:
+        """The number of every chunk ``chunks[codes[i]]``; so each is looked up once, however often it comes."""
+        if len(self) > self._most:
+            self._forget()
+        places = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))[codes]
+        self._used(places)
+        return places
+
+    def _used(self, places: np.ndarray) -> None:
+        """Learn the new chunks, and count the uses of all."""
         if self._new:
             new, self._new = self._new, []
             for k in range(0, len(new), LEARN_CHUNKS):
                 self._learn(new[k : k + LEARN_CHUNKS])
             self._uses = np.concatenate((self._uses, np.zeros(len(new), np.int64)))
         self._uses += np.bincount(places, minlength=len(self))
-        return ends, places
 
 
 class ChunkIds(ChunkTable):
@@ -95,7 +107,13 @@ class ChunkIds(ChunkTable):
 
     def ids(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of every document, given as its chunks, and the ids of all."""
-        ends, places = self.places(documents)
+        return self._at(*self.places(documents))
+
+    def coded_ids(self, chunks: list[str], codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for documents whose chunks are ``chunks[codes[i]]``, document ``k`` from ``ends[k]`` on."""
+        return self._at(ends, self.coded_places(chunks, codes))
+
+    def _at(self, ends: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self._lengths[places]
         flat = self._ids[ranges(self._starts[places], lengths)]
         return np.diff(offsets_of(lengths)[ends]), flat

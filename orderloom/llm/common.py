@@ -17,6 +17,11 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def text_bytes(df: DataFrame, column: str) -> int:
+    """The bytes of all texts of a column, measured by one job."""
+    return df.agg(F.coalesce(F.sum(F.octet_length(F.col(f"`{column}`")).cast("long")), F.lit(0))).first()[0]
+
+
 def visit(function: Callable, kind: str) -> Callable[..., Column]:
     """A function over Arrow batches that is called once per row.
 

@@ -17,18 +17,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.llm.chunks import ChunkIds, flattened
-from orderloom.llm.common import offsets_of, text_of
+from orderloom.llm.common import offsets_of, text_bytes, text_of
 from orderloom.llm.eliasfano import EliasFano
-from orderloom.llm.words import text_steps
+from orderloom.llm.words import offsets_in, string_slices
 from orderloom.llm.worker import give_back, keep, release
-from orderloom.session import small_batches
+from orderloom.session import files_for, small_batches
 
 # Ids of one block, unless a single document has more.
 BLOCK_IDS = 1 << 20
@@ -36,11 +36,18 @@ BLOCK_DOCS = 1 << 16
 
 # Distinct words that a worker remembers, some 200 MB with their ids, and bytes of text looked up together.
 MOST_WORDS = 1_000_000
-STEP_BYTES = 1 << 20
-
-# White space ends a word for sure; so does a punctuation mark behind nothing but Latin letters.
-# Elsewhere a word goes on up to the next white space.
-_CHUNK = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \t\n\r,.;:!?]|\Z)|[^ \t\n\r]+")
+STEP_BYTES = 2 << 20
+
+# A chunk starts behind white space, and at a punctuation mark behind a Latin letter: both end a word for sure.
+# In UTF-8 the letters À to ÿ are the byte C3 and one of 80 to BF, which other characters end with too.
+_BLANKS, _MARKS, _ASCII, _MAYBE = " \t\n\r", ",.;:!?", 1, 2
+_START = re.compile(rf"[{_BLANKS}]|[A-Za-zÀ-ÖØ-öø-ÿ][{_MARKS}]")
+_BEHIND, _AHEAD = np.zeros(256, np.uint8), np.full(256, _BLANK := 4, np.uint8)
+_BEHIND[list(map(ord, _BLANKS))] = _BLANK
+_BEHIND[[c for c in range(128) if chr(c).isalpha()]] = _ASCII
+_BEHIND[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = _MAYBE
+_AHEAD[list(map(ord, _BLANKS))] = 0
+_AHEAD[list(map(ord, _MARKS))] |= _ASCII | _MAYBE
 
 _SEQUENCE = T.StructType(
     [
@@ -85,6 +92,38 @@ _ARROW = pa.schema(
 )
 
 
+def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The chunks of all texts, white space behind them included, and where those of each text start.
+
+    They are views of the bytes of the column, which has no NULLs.
+    """
+    offsets = offsets_in(texts)
+    base, size = int(offsets[0]), int(offsets[-1] - offsets[0])
+    buffer = texts.buffers()[2] if len(texts) else None
+    if not size or buffer is None:
+        return pa.array([], pa.string()), np.zeros(len(texts) + 1, np.int64)
+    data = np.frombuffer(buffer, np.uint8)[base : base + size]
+    found = np.zeros(size + 1, np.uint8)
+    found[1:size] = _BEHIND[data[:-1]] & _AHEAD[data[1:]]
+    maybe = np.flatnonzero(found == _MAYBE)
+    found[maybe] = data[maybe - 2] == 0xC3
+    found[offsets - base] = 1
+    starts = np.flatnonzero(found)
+    chunks = pa.StringArray.from_buffers(
+        len(starts) - 1, pa.py_buffer(starts.astype(np.int32).tobytes()), buffer.slice(base, size)
+    )
+    return chunks, np.searchsorted(starts, offsets - base)
+
+
+def _bare(chunks: pa.Array) -> list[str]:
+    """Chunks without the white space behind them. None is left inside, so one text of all can be split again."""
+    if not len(chunks):
+        return []
+    words = pc.ascii_rtrim(chunks, _BLANKS)
+    whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(whole, " ")[0].as_py().split(" ")
+
+
 class Words:
     """One tokenizer in one Python worker."""
 
@@ -123,9 +162,15 @@ class Words:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of every text, and the ids of all."""
-        if self.splits:
-            return self.table.ids([_CHUNK.findall(text) for text in texts])
-        return flattened(self._encode(texts))
+        return self.encode_column(pa.array(texts, pa.string()))
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for a string column without NULLs; only its distinct chunks become Python strings."""
+        if not self.splits:
+            return flattened(self._encode(texts.to_pylist()))
+        chunks, ends = _chunks(texts)
+        coded = chunks.dictionary_encode()
+        return self.table.coded_ids(_bare(coded.dictionary), coded.indices.to_numpy(), ends)
 
 
 # The normalizers and the pattern for which a text may be cut into words as above.
@@ -144,7 +189,9 @@ def _word_by_word(spec: str) -> bool:
         and steps_before[1]["pattern"] == {"Regex": r"\s+"}
         and first.get("pattern") == {"Regex": _PATTERN}
         and (first.get("behavior"), first.get("invert")) == ("Removed", True)
-        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in found["added_tokens"])
+        and not any(
+            t["lstrip"] or t["rstrip"] or t["single_word"] or _START.search(t["content"]) for t in found["added_tokens"]
+        )
         and not found["model"].get("dropout")
     )
 
@@ -203,34 +250,51 @@ def write(docs: DataFrame, folder: str, spec: bytes, end_id: int, key: str = "do
 
     The only shuffle sorts the texts by key, with that hash as a second sort
     column, so that a key which holds many rows can be dealt to many tasks.
+    Each of its partitions is a part; a task takes several small ones and writes them to one file.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(spec)
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(spec)
     plain = docs.select(F.col(f"`{key}`").cast("long").alias("key"), text_of(text).alias("text"))
     tied = plain.withColumn("tie", F.xxhash64("text"))
-    ordered = tied.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie").select("key", "text")
+    ordered = tied.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie")
+    numbered = ordered.select("key", "text", F.spark_partition_id().alias("part"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(sent.value)
-        part, block, done, filling = TaskContext.get().partitionId(), 0, 0, _Block()
+        part, block, done, filling = -1, 0, 0, _Block()
         for batch in batches:
-            keys = iter(batch.column(0).to_pylist())
-            for texts in text_steps(batch.column(1), STEP_BYTES):
-                lengths, flat = words.encode(texts)
+            for found, keys, texts in _of_one_part(batch):
+                if found != part:
+                    if filling.keys:
+                        yield filling.row(part, block, done, words.width)
+                    part, block, done, filling = found, 0, 0, _Block()
+                lengths, flat = words.encode_column(texts)
                 ends = offsets_of(lengths)
-                for k in range(len(texts)):
+                for k, own in enumerate(keys):
                     ids = np.append(flat[ends[k] : ends[k + 1]], np.int32(end_id))
                     if filling.size and (
                         filling.size + len(ids) > BLOCK_IDS or len(filling.keys) >= BLOCK_DOCS
                     ):
                         yield filling.row(part, block, done, words.width)
                         block, done, filling = block + 1, done + filling.size, _Block()
-                    filling.add(next(keys), ids)
+                    filling.add(own, ids)
             give_back()
         if filling.keys:
             yield filling.row(part, block, done, words.width)
 
-    with small_batches(docs.sparkSession):
-        ordered.mapInArrow(blocks, BLOCKS).write.mode("overwrite").parquet(folder)
+    with small_batches(spark):
+        few = numbered.coalesce(files_for(text_bytes(plain, "text")))
+        few.mapInArrow(blocks, BLOCKS).write.mode("overwrite").parquet(folder)
+
+
+def _of_one_part(batch: pa.RecordBatch) -> Iterator[tuple[int, list[int | None], pa.Array]]:
+    """The part, keys and texts of a few consecutive rows of ``key, text, part`` at a time."""
+    parts = batch.column(2).to_numpy()
+    bounds = np.flatnonzero(np.diff(parts, prepend=-1, append=-1)).tolist()
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        rows = batch.slice(a, b - a)
+        for i, j in string_slices(rows.column(1), STEP_BYTES):
+            yield int(parts[a]), rows.column(0).slice(i, j - i).to_pylist(), rows.column(1).slice(i, j - i)
 
 
 def _sequence(value: dict) -> EliasFano:

@@ -72,7 +72,7 @@ class Words:
 
 def string_slices(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of at most ``limit`` bytes, or of one longer text."""
-    ends = _offsets(texts)
+    ends = offsets_in(texts)
     start = 0
     while start < len(texts):
         stop = int(np.searchsorted(ends, ends[start] + limit, "right")) - 1
@@ -87,7 +87,8 @@ def text_steps(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[list[str]]:
         yield texts.slice(i, j - i).to_pylist()
 
 
-def _offsets(texts: pa.Array) -> np.ndarray:
+def offsets_in(texts: pa.Array) -> np.ndarray:
+    """Where the texts of a string column start in its bytes, and the end of the last."""
     kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     raw = np.frombuffer(texts.buffers()[1], kind) if len(texts) else np.zeros(1, kind)
     return raw[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
@@ -95,7 +96,7 @@ def _offsets(texts: pa.Array) -> np.ndarray:
 
 def words_of(texts: pa.Array, hashed: bool = True) -> Words:
     """Find all words of a string column without NULLs."""
-    offsets = _offsets(texts)
+    offsets = offsets_in(texts)
     base, size = int(offsets[0]), int(offsets[-1] - offsets[0])
     buffer = texts.buffers()[2] if len(texts) else None
     data = np.frombuffer(buffer, np.uint8)[base : base + size] if buffer is not None else np.zeros(0, np.uint8)

@@ -84,6 +84,19 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(BATCH_SETTING, before)
 
 
+# Bytes of input for one file of what is written on the way, and files at least.
+FILE_BYTES, LEAST_FILES = 8 << 20, 12
+
+
+def files_for(size: int) -> int:
+    """How many files to write, at most, from ``size`` bytes of input; for ``coalesce``, which keeps fewer as they are.
+
+    Without Hadoop's native library an executor calls ``chmod`` for each file on a local disk, and that process counts
+    with all the executor's memory until it has started.
+    """
+    return max(LEAST_FILES, -(-size // FILE_BYTES))
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path every executor can reach.
 

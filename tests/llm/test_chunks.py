@@ -1,5 +1,6 @@
 """Tables of chunks that are full, and what workers hand back."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 
 from orderloom.llm import decontaminate, language, near_dedup, pieces, token_files, worker
 from orderloom.llm.chunks import ChunkIds, flattened
-from orderloom.session import BATCH_SETTING, small_batches
+from orderloom.session import BATCH_SETTING, LEAST_FILES, small_batches
 
 
 def _codes(chunks):
@@ -98,3 +99,59 @@ def test_token_files_are_written_from_small_batches(spark, tmp_path, monkeypatch
     found = [tuple(r) for r in token_files.digests(spark, str(tmp_path / "ids")).orderBy("start").collect()]
     assert [row[0] for row in found] == [None, 1, 1, 2] and found[0][1:3] == (0, 1)
     assert all(a[1] + a[2] == b[1] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_chunks_of_a_column_give_the_ids_of_the_library():
+    words = token_files.Words(token_files.read_spec(public_tokenizers.path("word_bpe_49k.json")))
+    signs = [*"aZéÿ×÷,.;:!?' \t\n\r\x0b\x0c1…İß|<", "̧", "'s", "<|endoftext|>", "word"]
+    rng = random.Random(7)
+    texts = ["".join(rng.choices(signs, k=rng.randrange(25))) for _ in range(3000)]
+    column = pa.array(["left out", *texts])[1:]
+    lengths, flat = words.encode_column(column)
+    wanted = [e.ids for e in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert lengths.tolist() == list(map(len, wanted))
+    assert flat.tolist() == [i for ids in wanted for i in ids]
+    chunks, ends = token_files._chunks(pa.array(["", " über, a.b", "x…, 1,"]))
+    assert chunks.to_pylist() == [" ", "über", ", ", "a", ".b", "x…, ", "1,"] and ends.tolist() == [0, 0, 5, 7]
+
+
+def test_a_chunk_is_looked_up_once_however_often_it_comes():
+    words = token_files.Words(token_files.read_spec(public_tokenizers.path("word_bpe_49k.json")))
+    asked = Counter()
+
+    class Table(ChunkIds):
+        def __getitem__(self, chunk):
+            asked[chunk] += 1
+            return super().__getitem__(chunk)
+
+    words.table = Table(words._encode_chunks)
+    lengths, _ = words.encode_column(pa.array(["one, two one\none", "two one. one"]))
+    assert lengths.tolist() == [5, 4]
+    # With white space behind it or not, and so 3 times at most; before, 5 times.
+    assert asked["one"] <= 3
+
+
+def test_parts_of_many_shuffle_partitions_share_few_files(spark, tmp_path):
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    rows = [(k * 7 % 300 - 100, f"text {k} of several") for k in range(300)] + [(None, "none"), (5, None)]
+    spec = token_files.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        token_files.write(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "ids"), spec, 2)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # Before, every partition of the shuffle was a file.
+    assert len(list((tmp_path / "ids").glob("part-*"))) <= LEAST_FILES
+    blocks = spark.read.parquet(str(tmp_path / "ids"))
+    assert blocks.select("part").distinct().count() > LEAST_FILES
+    found = [tuple(r) for r in token_files.digests(spark, str(tmp_path / "ids")).orderBy("start").collect()]
+    assert [row[0] for row in found] == [None, *sorted(k for k, _ in rows if k is not None)]
+    assert all(a[1] + a[2] == b[1] for a, b in zip(found, found[1:], strict=False))
+    texts = {row["doc_id"]: row["ids"] for row in token_files.read(spark, str(tmp_path / "ids")).collect()}
+    words = token_files.Words(spec)
+    for key, text in rows[:300:17]:
+        if key != 5:
+            assert texts[key] == [*words.encode([text])[1].tolist(), 2]
