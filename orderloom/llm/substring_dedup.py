@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import fresh, ranges, text_of, visit
+from orderloom.llm.common import fresh, ranges, text_bytes, text_of, visit
 from orderloom.llm.suffix import WordAutomaton, covered
 from orderloom.llm.words import Words, kept_texts, stretches, string_slices, window_owners, windows, words_of
+from orderloom.llm.worker import give_back
 from orderloom.operators.lookup import BROADCAST_LIMIT, broadcast_if_small
-from orderloom.session import shared_dir
+from orderloom.session import files_for, shared_dir, small_batches
 from orderloom.sources.tables import written
 
 WINDOW = 20
@@ -108,6 +109,7 @@ def _packer(window: int, anchor: int, buckets: int):
             for i, j in string_slices(batch.column(2)):
                 ids, marks = (batch.column(c).slice(i, j - i).to_numpy(zero_copy_only=False) for c in range(2))
                 yield from _packed(ids, marks, words_of(batch.column(2).slice(i, j - i)), window, anchor, buckets)
+            give_back()
 
     return packed
 
@@ -191,18 +193,26 @@ def _own_pieces(row: dict) -> pa.Table:
     return _pieces([*columns, *refs.reshape(3, -1)])
 
 
-def repeated_pieces(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, folder: str | None = None) -> DataFrame:
+def repeated_pieces(
+    docs: DataFrame,
+    window: int = WINDOW,
+    anchor: int = ANCHOR,
+    folder: str | None = None,
+    size: int | None = None,
+) -> DataFrame:
     """``doc, mark, place, size, ref_doc, ref_mark, ref_place``: runs of windows whose hashes occur before.
 
     ``docs`` has ``doc, mark, text``. ``size`` windows from word ``place`` on look like those of
     ``ref_doc`` from word ``ref_place`` on, the first of their hashes in the order of document and place.
+    The argument ``size`` is the bytes of all texts, if they are known.
     """
     spark = docs.sparkSession
     folder = folder or shared_dir(spark, "repeats")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    size = text_bytes(docs, "text") if size is None else size
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     sent = docs.select("doc", "mark", "text").mapInArrow(_packer(window, min(anchor, window), buckets), _PACKED)
-    return written(sent.groupBy("bucket").applyInArrow(_bucket_pieces, _PIECE), f"{folder}/pieces")
+    found = sent.groupBy("bucket").applyInArrow(_bucket_pieces, _PIECE)
+    return written(found.coalesce(files_for(size)), f"{folder}/pieces")
 
 
 def _stretches(window: int):
@@ -212,6 +222,7 @@ def _stretches(window: int):
         for batch in batches:
             for i, j in string_slices(batch.column(2)):
                 yield _cut(batch.slice(i, j - i), window)
+            give_back()
 
     return found
 
@@ -275,14 +286,18 @@ def _streamed(window: int):
     return spans
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, window: int = WINDOW, limit_bytes: int = BROADCAST_LIMIT, size: int | None = None
+) -> DataFrame:
     """``doc, mark, start, stop``: stretches of words that windows with an earlier start elsewhere cover.
 
-    ``docs`` has ``doc, mark, text``.
+    ``docs`` has ``doc, mark, text``; ``size`` is the bytes of all texts, if they are known.
     """
     spark = docs.sparkSession
     folder = shared_dir(spark, "substrings")
-    pieces = repeated_pieces(docs, window, folder=folder)
+    size = text_bytes(docs, "text") if size is None else size
+    files = files_for(size)
+    pieces = repeated_pieces(docs, window, folder=folder, size=size)
     # Of the pieces of repeated rows one is left at each place, the longest, so a list is bounded by its text's words.
     single = pieces.groupBy("doc", "mark", "place").agg(
         F.max(F.struct("size", "ref_doc", "ref_mark", "ref_place")).alias("piece")
@@ -296,12 +311,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, limit_bytes: int = BRO
         "doc long, mark long, place int, ref_doc long, ref_mark long, ref_place int, size int, words string"
     )
     cut = texts.join(listed, ["doc", "mark"]).mapInArrow(_stretches(window), schema)
-    found = written(cut, f"{folder}/candidates")
+    found = written(cut.coalesce(files), f"{folder}/candidates")
 
     extents = found.groupBy("ref_doc", "ref_mark").agg(
         F.min("ref_place").alias("first"), F.max(F.col("ref_place") + F.col("size") + (window - 1)).alias("last")
     )
-    extents = written(extents, f"{folder}/extents")
+    extents = written(extents.coalesce(files), f"{folder}/extents")
     wanted = broadcast_if_small(extents, limit_bytes)
     total = extents.agg(F.coalesce(F.sum(F.col("last") - F.col("first")), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
@@ -313,9 +328,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, limit_bytes: int = BRO
     candidates = found.select(shard, "doc", "mark", "place", "size", "words")
     # A shard that many documents repeat is copied, and its candidates are dealt to the copies.
     loads = candidates.groupBy("shard").agg(F.sum(F.col("size").cast("long") + (window - 1)).alias("load"))
-    copies = written(
-        loads.select("shard", F.ceil(F.col("load") / STREAM_WORDS).alias("copies")), f"{folder}/copies"
-    )
+    copies = loads.select("shard", F.ceil(F.col("load") / STREAM_WORDS).alias("copies"))
+    copies = written(copies.coalesce(files), f"{folder}/copies")
     # A row per shard, so as many as the references have words divided by the size of a shard.
     copies = broadcast_if_small(copies, limit_bytes)
     dealt = candidates.join(copies, "shard").withColumn(
@@ -370,6 +384,17 @@ def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
         )
 
 
+def _listed_spans(read: DataFrame, window: int, limit_bytes: int, size: int) -> DataFrame:
+    """``doc, mark, spans``: start and stop of all spans of a text as bytes, so that their size can be measured."""
+    spans = repeated_spans(read, window, limit_bytes, size)
+    span = F.concat(*[F.unhex(F.lpad(F.hex(c), 8, "0")) for c in ("start", "stop")])
+    listed = spans.groupBy("doc", "mark").agg(F.collect_set(span).alias("spans")).select(
+        "doc", "mark", F.concat_ws("", F.transform("spans", F.hex)).alias("spans")
+    )
+    listed = listed.select("doc", "mark", F.unhex("spans").alias("spans")).coalesce(files_for(size))
+    return written(listed, shared_dir(read.sparkSession, "spans"))
+
+
 def remove_repeats(
     docs: DataFrame,
     key: str = "doc_id",
@@ -392,14 +417,9 @@ def remove_repeats(
         F.xxhash64(text_of(text)).alias("mark"),
         text_of(text).alias("text"),
     )
-    spans = repeated_spans(read, window, limit_bytes)
-    # Start and stop of all spans as bytes, so that their size can be measured.
-    span = F.concat(*[F.unhex(F.lpad(F.hex(c), 8, "0")) for c in ("start", "stop")])
-    listed = spans.groupBy("doc", "mark").agg(F.collect_set(span).alias("spans")).select(
-        "doc", "mark", F.concat_ws("", F.transform("spans", F.hex)).alias("spans")
-    )
-    listed = listed.select("doc", "mark", F.unhex("spans").alias("spans"))
-    listed = broadcast_if_small(written(listed, shared_dir(docs.sparkSession, "spans")), limit_bytes)
+    size = text_bytes(read, "text")
+    with small_batches(docs.sparkSession):
+        listed = broadcast_if_small(_listed_spans(read, window, limit_bytes, size), limit_bytes)
     n_words, n_removed = fresh(docs, "n_words"), fresh(docs, "n_removed")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),

@@ -8,9 +8,10 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from orderloom.llm import decontaminate, language, near_dedup, pieces, token_files, worker
+from orderloom.llm import decontaminate, language, near_dedup, pieces, substring_dedup, token_files, worker
 from orderloom.llm.chunks import ChunkIds, flattened
 from orderloom.session import BATCH_SETTING, LEAST_FILES, small_batches
+from orderloom.sources.tables import written
 
 
 def _codes(chunks):
@@ -155,3 +156,31 @@ def test_parts_of_many_shuffle_partitions_share_few_files(spark, tmp_path):
     for key, text in rows[:300:17]:
         if key != 5:
             assert texts[key] == [*words.encode([text])[1].tolist(), 2]
+
+
+def test_repeats_are_written_to_few_files_from_small_batches(spark, monkeypatch):
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    files = {}
+
+    def counted(df, path):
+        found = written(df, path)
+        files[path.rsplit("/", 1)[-1].partition("-")[0]] = (len(found.inputFiles()), spark.conf.get(BATCH_SETTING))
+        return found
+
+    monkeypatch.setattr(substring_dedup, "written", counted)
+    passages = [" ".join(f"p{k}w{i}" for i in range(25)) for k in range(100)]
+    rows = [(k, passages[k % 100] + f" own{k}") for k in range(200)]
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        left = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    want = {(k, text if k < 100 else f"own{k}", 0 if k < 100 else 25) for k, text in rows}
+    assert {(row.doc_id, row.text, row.n_removed) for row in left} == want
+    assert set(files) == {"pieces", "candidates", "extents", "copies", "spans"}
+    # Before, each was as many files as the shuffle had partitions with rows, and batches had 10,000 rows.
+    assert all(n <= LEAST_FILES and size == "4194304b" for n, size in files.values())
+    assert spark.conf.get(BATCH_SETTING) != "4194304b"
